@@ -1,0 +1,6 @@
+"""Structured Streaming jobs.
+
+Intentionally empty. The reference this repository follows defines no
+streaming operator (nor any other), so nothing here is built until a
+streaming requirement exists. See README, "Scope".
+"""

@@ -1,0 +1,27 @@
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from strata.functions import net_revenue, to_report_amount
+
+
+def test_net_revenue_is_exact_and_fits_a_long(spark):
+    df = spark.createDataFrame([(0.10, 0.05), (104997.88, 0.07), (0.01, 0.10)], "p double, d double")
+    out = df.select(net_revenue("p", "d").alias("r"))
+    assert out.schema["r"].dataType.simpleString() == "decimal(17,4)"
+    assert [r.r for r in out.collect()] == [Decimal("0.0950"), Decimal("97648.0284"), Decimal("0.0090")]
+
+
+def test_report_amount_rounds_half_up(spark):
+    df = spark.createDataFrame([(Decimal("0.0950"),), (Decimal("0.0949"),), (Decimal("2.0050"),)], "x decimal(17,4)")
+    got = [r.y for r in df.select(to_report_amount(F.col("x")).alias("y")).collect()]
+    assert got == [0.10, 0.09, 2.01]
+
+
+def test_sum_of_doubles_would_not_be_exact(spark):
+    """Why decimals: summing the same doubles in another order changes the total."""
+    assert (0.1 + 0.2) + 0.3 != 0.1 + (0.2 + 0.3)
+    values = [0.1, 0.2, 0.3] * 1000
+    df = spark.createDataFrame([(v, 0.0) for v in values], "p double, d double")
+    total = df.select(F.sum(net_revenue("p", "d")).alias("t")).first().t
+    assert total == Decimal("600.0000")

@@ -1,0 +1,47 @@
+import pytest
+from conftest import TESTDATA, explain
+
+from strata.operators import broadcast_if_small
+from strata.sources import SCHEMAS, read_table
+
+
+@pytest.mark.parametrize("name", sorted(SCHEMAS))
+def test_declared_schema_equals_file_schema(spark, name):
+    root = str(TESTDATA / "sf0.001")
+    declared = read_table(spark, root, name).schema
+    in_file = spark.read.parquet(f"{root}/{name}.parquet").schema
+    assert [(f.name, f.dataType) for f in declared] == [(f.name, f.dataType) for f in in_file]
+
+
+def test_unknown_table_is_rejected(spark):
+    with pytest.raises(ValueError, match="unknown table"):
+        read_table(spark, str(TESTDATA / "sf0.001"), "no_such_table")
+
+
+def _join_plan(spark, small, big):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return explain(big.join(small, "k"), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_broadcast_if_small_hints_a_side_within_the_bound(spark):
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    plan = _join_plan(spark, broadcast_if_small(small, max_rows=10), big)
+    assert "BroadcastHashJoin" in plan
+
+
+def test_broadcast_if_small_leaves_a_side_over_the_bound_to_the_planner(spark):
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(11).withColumnRenamed("id", "k")
+    plan = _join_plan(spark, broadcast_if_small(small, max_rows=10), big)
+    assert "BroadcastHashJoin" not in plan
+    assert "SortMergeJoin" in plan
+
+
+def test_broadcast_if_small_rejects_negative_bound(spark):
+    with pytest.raises(ValueError):
+        broadcast_if_small(spark.range(1), max_rows=-1)
