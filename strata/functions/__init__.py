@@ -1,3 +1,3 @@
-from strata.functions.money import net_revenue, to_report_amount
+from strata.functions.money import net_revenue_sql, report_amount_sql
 
-__all__ = ["net_revenue", "to_report_amount"]
+__all__ = ["net_revenue_sql", "report_amount_sql"]

@@ -1,35 +1,29 @@
-"""Exact money arithmetic as built-in column expressions (JVM-side, codegen).
+"""Exact money arithmetic, as SQL expressions (Spark SQL and DuckDB read them alike).
 
 Prices and discounts arrive as doubles holding cent values. Summing doubles
 gives an answer that depends on the order of addition, which differs between
 runs, partitionings and engines; a total rounded to cents can then flip in the
 last digit. So amounts are cast to decimals first and summed exactly.
 
-Precision is chosen so the per-line product stays at or below 18 digits, which
-Spark keeps as an unscaled long (no BigDecimal per row): decimal(12,2) times
-decimal(4,2) is decimal(17,4). Sums widen by 10 digits, so a total of up to
-10^23 fits. Under ANSI mode (the Spark 4 default) a value outside these types
-raises an error instead of producing a wrong number.
+decimal(12,2) times decimal(4,2) is decimal(17,4); a sum widens that by 10
+digits, so a total of up to 10^23 fits. Under ANSI mode (the Spark 4 default)
+a value outside these types raises an error instead of producing a wrong
+number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Decimal types for input amounts. Price up to 10^10 - 0.01,
 # discount a fraction in [0, 9.99].
-PRICE_TYPE = "decimal(12,2)"
-RATE_TYPE = "decimal(3,2)"
+PRICE_TYPE = "DECIMAL(12,2)"
+RATE_TYPE = "DECIMAL(3,2)"
 
 
-def net_revenue(price: Column | str, discount: Column | str) -> Column:
+def net_revenue_sql(price: str, discount: str) -> str:
     """``price * (1 - discount)`` as an exact decimal(17,4)."""
-    price = F.col(price) if isinstance(price, str) else price
-    discount = F.col(discount) if isinstance(discount, str) else discount
-    return price.cast(PRICE_TYPE) * (F.lit(1) - discount.cast(RATE_TYPE))
+    return f"CAST({price} AS {PRICE_TYPE}) * (1 - CAST({discount} AS {RATE_TYPE}))"
 
 
-def to_report_amount(total: Column) -> Column:
-    """Round an exact total to cents (half up) and return it as a double."""
-    return F.round(total, 2).cast("double")
+def report_amount_sql(total: str) -> str:
+    """An exact total rounded to cents (half up), as a double."""
+    return f"CAST(round({total}, 2) AS DOUBLE)"

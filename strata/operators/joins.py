@@ -13,14 +13,15 @@ BROADCAST_MAX_ROWS = 100_000
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint ``df`` for broadcast only once it is shown to have at most ``max_rows`` rows.
 
-    The check is one small job: ``limit(max_rows + 1).count()`` stops each
-    partition after ``max_rows + 1`` rows, so it stays cheap even when the
-    side turns out to be large. A side over the bound is returned unhinted,
-    and the planner falls back to a shuffle join (sort-merge, with AQE
-    splitting skewed partitions), or still broadcasts it if runtime
-    statistics show it is small after all.
+    The check fetches at most ``max_rows + 1`` rows of a constant column
+    (``take`` scans partitions incrementally and stops once it has them, and
+    a scan that projects no column reads no column data), so it stays cheap
+    even when the side turns out to be large. A side over the bound is
+    returned unhinted, and the planner falls back to a shuffle join
+    (sort-merge, with AQE splitting skewed partitions), or still broadcasts
+    it if runtime statistics show it is small after all.
     """
     if max_rows < 0:
         raise ValueError("max_rows must be >= 0")
-    rows = df.limit(max_rows + 1).count()
+    rows = len(df.select(F.lit(1).alias("one")).take(max_rows + 1))
     return F.broadcast(df) if rows <= max_rows else df

@@ -1,27 +1,44 @@
 from decimal import Decimal
 
-from pyspark.sql import functions as F
+import duckdb
 
-from strata.functions import net_revenue, to_report_amount
+from strata.functions import net_revenue_sql, report_amount_sql
 
+PAIRS = [(0.10, 0.05), (104997.88, 0.07), (0.01, 0.10), (901.82, 0.0)]
 
-def test_net_revenue_is_exact_and_fits_a_long(spark):
-    df = spark.createDataFrame([(0.10, 0.05), (104997.88, 0.07), (0.01, 0.10)], "p double, d double")
-    out = df.select(net_revenue("p", "d").alias("r"))
+
+def test_net_revenue_is_exact_decimal(spark):
+    df = spark.createDataFrame(PAIRS, "p double, d double")
+    out = df.selectExpr(f"{net_revenue_sql('p', 'd')} AS r")
     assert out.schema["r"].dataType.simpleString() == "decimal(17,4)"
-    assert [r.r for r in out.collect()] == [Decimal("0.0950"), Decimal("97648.0284"), Decimal("0.0090")]
+    assert [r.r for r in out.collect()] == [
+        Decimal("0.0950"),
+        Decimal("97648.0284"),
+        Decimal("0.0090"),
+        Decimal("901.8200"),
+    ]
+
+
+def test_duckdb_evaluates_the_same_expressions_alike(spark):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (p DOUBLE, d DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", PAIRS)
+    expr = report_amount_sql(net_revenue_sql("p", "d"))
+    in_duckdb = [r[0] for r in con.execute(f"SELECT {expr} FROM t").fetchall()]
+    in_spark = [r[0] for r in spark.createDataFrame(PAIRS, "p double, d double").selectExpr(expr).collect()]
+    assert in_duckdb == in_spark == [0.10, 97648.03, 0.01, 901.82]
 
 
 def test_report_amount_rounds_half_up(spark):
-    df = spark.createDataFrame([(Decimal("0.0950"),), (Decimal("0.0949"),), (Decimal("2.0050"),)], "x decimal(17,4)")
-    got = [r.y for r in df.select(to_report_amount(F.col("x")).alias("y")).collect()]
+    df = spark.createDataFrame(
+        [(Decimal("0.0950"),), (Decimal("0.0949"),), (Decimal("2.0050"),)], "x decimal(17,4)"
+    )
+    got = [r[0] for r in df.selectExpr(report_amount_sql("x")).collect()]
     assert got == [0.10, 0.09, 2.01]
 
 
-def test_sum_of_doubles_would_not_be_exact(spark):
-    """Why decimals: summing the same doubles in another order changes the total."""
+def test_decimal_sum_is_exact_where_double_addition_is_not(spark):
     assert (0.1 + 0.2) + 0.3 != 0.1 + (0.2 + 0.3)
-    values = [0.1, 0.2, 0.3] * 1000
-    df = spark.createDataFrame([(v, 0.0) for v in values], "p double, d double")
-    total = df.select(F.sum(net_revenue("p", "d")).alias("t")).first().t
+    df = spark.createDataFrame([(v, 0.0) for v in [0.1, 0.2, 0.3] * 1000], "p double, d double")
+    total = df.selectExpr(f"sum({net_revenue_sql('p', 'd')}) AS t").first().t
     assert total == Decimal("600.0000")

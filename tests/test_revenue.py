@@ -168,9 +168,9 @@ def test_hot_keys_match_oracle(spark, tmp_path):
     assert sum(r[2] for r in got) == len(lines)
 
 
-def test_geo_over_bound_falls_back_to_shuffle_join(spark):
+def test_dimensions_over_bound_fall_back_to_shuffle_join(spark):
     root = str(TESTDATA / "sf0.01")
-    df = revenue_by_region_from(spark, root, geo_max_rows=10)
+    df = revenue_by_region_from(spark, root, dim_max_rows=10)
     assert rows_of(df) == oracle_rows(TESTDATA / "sf0.01")
 
 
@@ -249,8 +249,7 @@ def test_large_table_plan_shuffles_each_big_input_once(spark):
     keys = sorted(re.sub(r"#\d+L?", "", e).rsplit(",", 1)[0] for e in exchanges)
     # lineitem and the filtered orders by order key; the per-customer partial
     # aggregate and customer by customer key; the final partial aggregate by
-    # (region, nation). Region, then nation joined to region, arrive by
-    # checked broadcasts.
+    # (region, nation). Nation and region arrive by checked broadcasts.
     assert keys == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey", "r_name, n_name"], plan
     assert plan.count("BroadcastExchange") == 2, plan
     assert plan.count("SortMergeJoin") == 2, plan
