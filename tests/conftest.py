@@ -69,20 +69,51 @@ def duck(root) -> duckdb.DuckDBPyConnection:
     """DuckDB connection with one view per Parquet file under ``root``."""
     con = duckdb.connect()
     for path in sorted(Path(root).glob("*.parquet")):
-        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+        source = f"{path}/*.parquet" if path.is_dir() else str(path)
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{source}')")
     return con
 
 
-def write_tables(root: Path, rows: dict[str, list[dict]]) -> Path:
-    """Write each table in ``rows`` (missing columns become null) as <root>/<name>.parquet."""
+def write_tables(root: Path, rows: dict[str, list[dict]], parts: dict[str, int] | None = None) -> Path:
+    """Write each table in ``rows`` (missing columns become null) as <root>/<name>.parquet.
+
+    A table named in ``parts`` is written as a folder of that many part files
+    (rows dealt round-robin), the layout of a large data set.
+    """
     root.mkdir(parents=True, exist_ok=True)
     for name, schema in ARROW_SCHEMAS.items():
         table_rows = rows.get(name, [])
-        columns = {f.name: [r.get(f.name) for r in table_rows] for f in schema}
-        pq.write_table(pa.table(columns, schema=schema), root / f"{name}.parquet")
+        n_parts = (parts or {}).get(name, 0)
+        if not n_parts:
+            pq.write_table(_arrow(table_rows, schema), root / f"{name}.parquet")
+            continue
+        folder = root / f"{name}.parquet"
+        folder.mkdir()
+        for i in range(n_parts):
+            pq.write_table(_arrow(table_rows[i::n_parts], schema), folder / f"part-{i:05d}.parquet")
     return root
 
 
+def _arrow(table_rows: list[dict], schema: pa.Schema) -> pa.Table:
+    return pa.table({f.name: [r.get(f.name) for r in table_rows] for f in schema}, schema=schema)
+
+
+@contextlib.contextmanager
+def spark_conf(spark, settings: dict[str, str]):
+    """Apply session settings for the block, then restore (or unset) them."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def explain(df, mode: str = "formatted") -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):

@@ -4,7 +4,7 @@ import datetime as dt
 import re
 
 import pytest
-from conftest import TESTDATA, duck, explain, rows_of, sorted_rows, write_tables
+from conftest import TESTDATA, duck, explain, rows_of, sorted_rows, spark_conf, write_tables
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -231,15 +231,8 @@ def test_scans_are_pruned_and_filtered(spark):
 
 def _static_plan(spark, df):
     """Physical plan as planned for tables too big to broadcast by statistics."""
-    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
-    old = {k: spark.conf.get(k) for k in keys}
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
+    with spark_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
         return explain(df, "simple")
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
 
 
 def test_large_table_plan_shuffles_each_big_input_once(spark):
@@ -255,3 +248,43 @@ def test_large_table_plan_shuffles_each_big_input_once(spark):
     assert plan.count("SortMergeJoin") == 2, plan
     # Both aggregates before a shuffle are partial (map-side) ones.
     assert plan.count("partial_sum(rev") == 2, plan
+
+
+def test_hot_order_key_is_split_when_joins_shuffle(spark, tmp_path):
+    """Half of all lines on one order: with the order join forced to sort-merge,
+    AQE splits the hot partition across tasks and the result stays exact.
+
+    The skew thresholds are scaled down to fixture size; on a cluster the
+    defaults (256 MB, 5x the median) apply. lineitem is a folder of part files
+    because a skewed partition is split by groups of map outputs.
+    """
+    orders, lines = [], []
+    for k in range(1, 2001):
+        orders.append({"o_orderkey": k, "o_custkey": k % 300 + 1, "o_orderdate": _ts(1996, 1 + k % 12, 1)})
+        lines.append({"l_orderkey": k, "l_extendedprice": 100 + k / 100, "l_discount": k % 11 / 100})
+        lines.append({"l_orderkey": k, "l_extendedprice": 200 + k / 100, "l_discount": k % 7 / 100})
+    for n in range(4000):
+        lines.append({"l_orderkey": 7, "l_extendedprice": 1 + n / 100, "l_discount": n % 11 / 100})
+    tables = {
+        "region": [{"r_regionkey": 0, "r_name": "R"}],
+        "nation": [{"n_nationkey": i, "n_name": f"N{i}", "n_regionkey": 0} for i in range(3)],
+        "customer": [{"c_custkey": k, "c_nationkey": k % 3} for k in range(1, 301)],
+        "orders": orders,
+        "lineitem": lines,
+    }
+    root = write_tables(tmp_path / "skew", tables, parts={"lineitem": 8})
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    with spark_conf(spark, conf):
+        df = revenue_by_region_from(spark, str(root))
+        got = rows_of(df)
+        final_plan = explain(df, "simple").split("== Initial Plan ==")[0]
+    assert got == oracle_rows(root)
+    assert sum(r[2] for r in got) == len(lines)
+    assert "SortMergeJoin(skew=true) [l_orderkey" in final_plan, final_plan

@@ -1,5 +1,5 @@
 import pytest
-from conftest import TESTDATA, explain
+from conftest import TESTDATA, explain, spark_conf
 
 from strata.operators import broadcast_if_small
 from strata.sources import SCHEMAS, read_table
@@ -19,12 +19,8 @@ def test_unknown_table_is_rejected(spark):
 
 
 def _join_plan(spark, small, big):
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
+    with spark_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         return explain(big.join(small, "k"), "simple")
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_broadcast_if_small_hints_a_side_within_the_bound(spark):
