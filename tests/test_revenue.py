@@ -177,37 +177,63 @@ def test_dimensions_over_bound_fall_back_to_shuffle_join(spark):
 # --------------------------------------------------------------------------
 # Random fixtures
 
-_keys = st.integers(min_value=0, max_value=6)
 _cents = st.integers(min_value=0, max_value=10_000_000).map(lambda c: c / 100)
 _rate = st.integers(min_value=0, max_value=10).map(lambda c: c / 100)
 _date = st.sampled_from(
-    [_ts(1995, 12, 31, 23, 59, 59, 999999), _ts(1996, 1, 1), _ts(1996, 8, 8, 8), _ts(1996, 12, 31, 23, 59, 59, 999999), _ts(1997, 1, 1), None]
+    [
+        _ts(1996, 1, 1),
+        _ts(1996, 8, 8, 8),
+        _ts(1996, 12, 31, 23, 59, 59, 999999),
+        _ts(1996, 3, 3),
+        _ts(1995, 12, 31, 23, 59, 59, 999999),
+        _ts(1997, 1, 1),
+        None,
+    ]
 )
 
 
 @st.composite
 def _tables(draw):
-    region = [{"r_regionkey": k, "r_name": draw(st.sampled_from(["A", "B"]))} for k in range(draw(st.integers(1, 3)))]
-    nation = [
-        {"n_nationkey": k, "n_name": draw(st.sampled_from(["X", "Y", "Z"])), "n_regionkey": draw(_keys)}
-        for k in range(draw(st.integers(1, 5)))
-    ]
-    customer = [{"c_custkey": k, "c_nationkey": draw(_keys)} for k in range(draw(st.integers(1, 6)))]
-    orders = [
-        {"o_orderkey": k, "o_custkey": draw(_keys), "o_orderdate": draw(_date)}
-        for k in range(draw(st.integers(1, 8)))
-    ]
-    lineitem = [
-        {"l_orderkey": draw(_keys), "l_extendedprice": draw(_cents), "l_discount": draw(_rate)}
-        for _ in range(draw(st.integers(0, 25)))
-    ]
-    return {"region": region, "nation": nation, "customer": customer, "orders": orders, "lineitem": lineitem}
+    """Random star schemas. Half the time a table's keys are unique; otherwise
+    they repeat and may be null. Foreign keys mostly point at existing keys,
+    sometimes at none (orphans) or are null."""
+
+    def keys(n):
+        if draw(st.booleans()):
+            return list(range(n))
+        return [draw(st.sampled_from([0, 1, 2, None])) for _ in range(n)]
+
+    def ref(parent_keys):
+        present = [k for k in parent_keys if k is not None]
+        return draw(st.sampled_from(present * 4 + [None, 99]))
+
+    rk = keys(draw(st.integers(1, 3)))
+    nk = keys(draw(st.integers(1, 5)))
+    ck = keys(draw(st.integers(1, 6)))
+    ok = keys(draw(st.integers(1, 8)))
+    return {
+        "region": [{"r_regionkey": k, "r_name": draw(st.sampled_from(["A", "B", None]))} for k in rk],
+        "nation": [
+            {"n_nationkey": k, "n_name": draw(st.sampled_from(["X", "Y", "Z"])), "n_regionkey": ref(rk)}
+            for k in nk
+        ],
+        "customer": [{"c_custkey": k, "c_nationkey": ref(nk)} for k in ck],
+        "orders": [{"o_orderkey": k, "o_custkey": ref(ck), "o_orderdate": draw(_date)} for k in ok],
+        "lineitem": [
+            {
+                "l_orderkey": ref(ok),
+                "l_extendedprice": draw(st.one_of(_cents, _cents, st.none())),
+                "l_discount": draw(st.one_of(_rate, _rate, st.none())),
+            }
+            for _ in range(draw(st.integers(1, 30)))
+        ],
+    }
 
 
 _counter = iter(range(10**9))
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(tables=_tables())
 def test_random_fixtures_match_oracle(spark, tmp_path, tables):
     root = write_tables(tmp_path / f"r{next(_counter)}", tables)
