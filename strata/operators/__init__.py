@@ -1,3 +1,3 @@
-from strata.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
+from strata.operators.joins import BROADCAST_MAX_ROWS, broadcast_each_if_small, broadcast_if_small
 
-__all__ = ["BROADCAST_MAX_ROWS", "broadcast_if_small"]
+__all__ = ["BROADCAST_MAX_ROWS", "broadcast_each_if_small", "broadcast_if_small"]

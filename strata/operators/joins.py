@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 # Default row bound for a broadcast side. At ~100 bytes a row this is ~10 MB,
 # Spark's own default broadcast threshold.
@@ -25,3 +29,19 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
         raise ValueError("max_rows must be >= 0")
     rows = len(df.select(F.lit(1).alias("one")).take(max_rows + 1))
     return F.broadcast(df) if rows <= max_rows else df
+
+
+def broadcast_each_if_small(
+    dfs: Sequence[DataFrame], max_rows: int = BROADCAST_MAX_ROWS
+) -> list[DataFrame]:
+    """``broadcast_if_small`` for several sides at once, in order.
+
+    Each check is a small job whose time is mostly fixed cost, so the checks
+    are submitted side by side from driver threads. The threads inherit the
+    caller's job group, scheduler pool and tags.
+    """
+    if not dfs:
+        return []
+    check = inheritable_thread_target(dfs[0].sparkSession)(lambda df: broadcast_if_small(df, max_rows))
+    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
+        return list(pool.map(check, dfs))

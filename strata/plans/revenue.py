@@ -55,7 +55,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.money import net_revenue_sql, report_amount_sql
-from strata.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
+from strata.operators.joins import BROADCAST_MAX_ROWS, broadcast_each_if_small
 from strata.sources.tables import read_table
 
 # Output columns, in order.
@@ -101,14 +101,15 @@ def revenue_by_region(
     ``start`` and ``end`` are compared with ``o_orderdate`` as TIMESTAMP_NTZ,
     so the result does not depend on the session time zone.
     """
+    nation, region = broadcast_each_if_small([nation, region], dim_max_rows)
     return lineitem.sparkSession.sql(
         QUERY,
         args={"start": start, "end": end},
         lineitem=lineitem,
         orders=orders,
         customer=customer,
-        nation=broadcast_if_small(nation, dim_max_rows),
-        region=broadcast_if_small(region, dim_max_rows),
+        nation=nation,
+        region=region,
     )
 
 

@@ -1,7 +1,7 @@
 import pytest
 from conftest import TESTDATA, explain, spark_conf
 
-from strata.operators import broadcast_if_small
+from strata.operators import broadcast_each_if_small, broadcast_if_small
 from strata.sources import SCHEMAS, read_table
 
 
@@ -41,3 +41,24 @@ def test_broadcast_if_small_leaves_a_side_over_the_bound_to_the_planner(spark):
 def test_broadcast_if_small_rejects_negative_bound(spark):
     with pytest.raises(ValueError):
         broadcast_if_small(spark.range(1), max_rows=-1)
+
+
+def test_broadcast_each_if_small_checks_every_side_in_order(spark):
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    sides = [spark.range(n).withColumnRenamed("id", "k") for n in (5, 50, 10)]
+    checked = broadcast_each_if_small(sides, max_rows=10)
+    assert [d.count() for d in checked] == [5, 50, 10]
+    hinted = ["BroadcastHashJoin" in _join_plan(spark, d, big) for d in checked]
+    assert hinted == [True, False, True]
+    assert broadcast_each_if_small([], max_rows=10) == []
+
+
+def test_broadcast_each_if_small_runs_checks_in_the_callers_job_group(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("strata-check-group", "size checks")
+    try:
+        broadcast_each_if_small([spark.range(3), spark.range(4)], max_rows=10)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("strata-check-group")) >= 2
