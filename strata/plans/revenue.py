@@ -1,6 +1,6 @@
 """Revenue by region and customer nation for the orders placed in a date range.
 
-Specification (the DuckDB oracle runs exactly this)::
+Specification (``ORACLE_SQL`` below is this, for DuckDB)::
 
     SELECT r_name, n_name, count(*) AS n_lines,
            round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
@@ -11,7 +11,7 @@ Specification (the DuckDB oracle runs exactly this)::
     WHERE o_orderdate >= start AND o_orderdate < end
     GROUP BY r_name, n_name
 
-with amounts summed exactly as decimals (see ``strata.functions.money``).
+with amounts cast to decimals and summed exactly (see ``strata.functions.money``).
 
 How the plan is shaped for a large cluster
 ------------------------------------------
@@ -20,9 +20,9 @@ dates say nothing about order dates, so the date range cannot be carried over.
 It is shuffled once, by order key, and nothing else of it is:
 
 1. Each line is reduced to ``(l_orderkey, revenue)`` before that shuffle: two
-   fixed-width columns instead of price and discount.
+   fixed-width columns instead of key, price and discount.
 2. ``orders`` is read with the date range pushed into the Parquet scan (row
-   groups outside the range are skipped) and only two columns.
+   groups whose date statistics lie outside it are skipped) and two columns.
 3. After the order join the rows are pre-aggregated per customer. The join
    output is partitioned by order key, so all lines of an order sit in one
    task and the partial (map-side) aggregate folds them into one row per
@@ -34,8 +34,9 @@ It is shuffled once, by order key, and nothing else of it is:
    customer join shuffles only ``customer`` (two columns). Both of its sides
    are unique per key there, so it cannot be skewed.
 5. Nation and region are broadcast, each only after checking its row count
-   (``broadcast_if_small``), and joined in the same task as the customer
-   join; over the bound the planner uses a shuffle join instead. They are
+   (``broadcast_each_if_small``; the two checks run as concurrent jobs), and
+   joined in the same task as the customer join; over the bound the planner
+   uses a shuffle join instead. They are
    joined after the per-customer aggregate, so their names never travel
    through a shuffle of the large side.
 6. The last aggregate is partial per task, so its shuffle carries at most one
