@@ -17,13 +17,16 @@ BROADCAST_MAX_ROWS = 100_000
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint ``df`` for broadcast only once it is shown to have at most ``max_rows`` rows.
 
-    The check fetches at most ``max_rows + 1`` rows of a constant column
-    (``take`` scans partitions incrementally and stops once it has them, and
-    a scan that projects no column reads no column data), so it stays cheap
-    even when the side turns out to be large. A side over the bound is
-    returned unhinted, and the planner falls back to a shuffle join
-    (sort-merge, with AQE splitting skewed partitions), or still broadcasts
-    it if runtime statistics show it is small after all.
+    The check is ``take(max_rows + 1)`` of a constant column. A scan that
+    projects no column reads no column data, and ``take`` runs over 1, then
+    4, 16, ... partitions and stops as soon as it has the rows. So a tiny
+    side is settled in one quick job, and a large one touches only a few
+    partitions and sends at most ``max_rows + 1`` one-field rows to the
+    driver. (``limit(n).count()`` would run every partition.)
+
+    A side over the bound is returned unhinted, and the planner falls back
+    to a shuffle join (sort-merge, with AQE splitting skewed partitions), or
+    still broadcasts it if runtime statistics show it is small after all.
     """
     if max_rows < 0:
         raise ValueError("max_rows must be >= 0")

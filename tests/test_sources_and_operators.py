@@ -38,6 +38,14 @@ def test_broadcast_if_small_leaves_a_side_over_the_bound_to_the_planner(spark):
     assert "SortMergeJoin" in plan
 
 
+@pytest.mark.parametrize("n, bound, hinted", [(1001, 1001, True), (1500, 5000, True), (5001, 5000, False), (0, 0, True), (1, 0, False)])
+def test_broadcast_if_small_bound_is_inclusive(spark, n, bound, hinted):
+    big = spark.range(10_000).withColumnRenamed("id", "k")
+    side = spark.range(n, numPartitions=4).withColumnRenamed("id", "k")
+    plan = _join_plan(spark, broadcast_if_small(side, max_rows=bound), big)
+    assert ("BroadcastHashJoin" in plan) == hinted
+
+
 def test_broadcast_if_small_rejects_negative_bound(spark):
     with pytest.raises(ValueError):
         broadcast_if_small(spark.range(1), max_rows=-1)
