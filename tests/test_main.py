@@ -1,0 +1,18 @@
+from conftest import TESTDATA, duck, rows_of, sorted_rows
+
+from strata.__main__ import main
+from strata.plans.revenue import oracle_sql
+
+
+def test_main_writes_the_report(spark, tmp_path):
+    out = tmp_path / "report"
+    main(["--root", str(TESTDATA / "sf0.01"), "--start", "1997-01-01", "--end", "1998-01-01", "--out", str(out)])
+    written = rows_of(spark.read.parquet(str(out)).select("r_name", "n_name", "n_lines", "revenue"))
+    expected = sorted_rows(duck(TESTDATA / "sf0.01").execute(oracle_sql("1997-01-01", "1998-01-01")).fetchall())
+    assert written == expected and len(written) == 25
+
+
+def test_main_prints_without_out(spark, capsys):
+    main(["--root", str(TESTDATA / "sf0.001")])
+    printed = capsys.readouterr().out
+    assert "r_name" in printed and "NATION_0" in printed
