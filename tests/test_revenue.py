@@ -57,6 +57,7 @@ def test_same_result_as_spark_sql_of_the_specification(spark):
         {"spark.sql.adaptive.enabled": "false"},
         {"spark.sql.shuffle.partitions": "1"},
         {"spark.sql.shuffle.partitions": "200", "spark.sql.autoBroadcastJoinThreshold": "-1"},
+        {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0"},
     ],
     ids=lambda d: ",".join(f"{k.rsplit('.', 1)[-1]}={v}" for k, v in d.items()),
 )
@@ -307,9 +308,15 @@ def test_large_table_plan_shuffles_each_big_input_once(spark):
     assert plan.count("partial_sum(rev") == 2, plan
 
 
-def test_hot_order_key_is_split_when_joins_shuffle(spark, tmp_path):
-    """Half of all lines on one order: with the order join forced to sort-merge,
-    AQE splits the hot partition across tasks and the result stays exact.
+@pytest.mark.parametrize(
+    "hash_join_threshold, join",
+    [("0", "SortMergeJoin"), ("64MB", "ShuffledHashJoin")],
+    ids=["sort-merge", "shuffled-hash"],
+)
+def test_hot_order_key_is_split_when_joins_shuffle(spark, tmp_path, hash_join_threshold, join):
+    """Half of all lines on one order: with the order join forced to shuffle,
+    AQE splits the hot partition across tasks and the result stays exact,
+    whether the join sorts both sides or hashes the order side.
 
     The skew thresholds are scaled down to fixture size; on a cluster the
     defaults (256 MB, 5x the median) apply. lineitem is a folder of part files
@@ -337,6 +344,7 @@ def test_hot_order_key_is_split_when_joins_shuffle(spark, tmp_path):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": hash_join_threshold,
     }
     with spark_conf(spark, conf):
         df = revenue_by_region_from(spark, str(root))
@@ -344,4 +352,25 @@ def test_hot_order_key_is_split_when_joins_shuffle(spark, tmp_path):
         final_plan = explain(df, "simple").split("== Initial Plan ==")[0]
     assert got == oracle_rows(root)
     assert sum(r[2] for r in got) == len(lines)
-    assert "SortMergeJoin(skew=true) [l_orderkey" in final_plan, final_plan
+    assert f"{join}(skew=true) [l_orderkey" in final_plan, final_plan
+
+
+def test_with_recommended_settings_large_joins_hash_instead_of_sort(spark):
+    """Under the recommended AQE settings and tables too big to broadcast, both
+    shuffle joins become shuffled hash joins at runtime: lineitem is streamed,
+    not sorted."""
+    root = TESTDATA / "sf0.01"
+    with spark_conf(
+        spark,
+        {
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+        },
+    ):
+        df = revenue_by_region_from(spark, str(root))
+        got = rows_of(df)
+        final_plan = explain(df, "simple").split("== Initial Plan ==")[0]
+    assert got == oracle_rows(root)
+    assert "ShuffledHashJoin [o_custkey" in final_plan, final_plan
+    assert re.search(r"ShuffledHashJoin \[l_orderkey", final_plan), final_plan
+    assert "SortMergeJoin" not in final_plan, final_plan
