@@ -13,8 +13,8 @@ number.
 
 from __future__ import annotations
 
-# Decimal types for input amounts. Price up to 10^10 - 0.01,
-# discount a fraction in [0, 9.99].
+# Decimal types for input amounts: price up to 10^10 - 0.01, discount a
+# fraction in [0, 9.99].
 PRICE_TYPE = "DECIMAL(12,2)"
 RATE_TYPE = "DECIMAL(3,2)"
 

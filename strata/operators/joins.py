@@ -25,8 +25,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     driver. (``limit(n).count()`` would run every partition.)
 
     A side over the bound is returned unhinted, and the planner falls back
-    to a shuffle join (sort-merge, with AQE splitting skewed partitions), or
-    still broadcasts it if runtime statistics show it is small after all.
+    to a shuffle join (with AQE splitting skewed partitions), or still
+    broadcasts it if runtime statistics show it is small after all.
     """
     if max_rows < 0:
         raise ValueError("max_rows must be >= 0")

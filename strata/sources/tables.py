@@ -15,8 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Column names and types of the input tables, as the files
-# declare them.
+# Column names and types of the input tables, as their Parquet files declare
+# them.
 SCHEMAS: dict[str, str] = {
     "region": "r_regionkey INT, r_name STRING",
     "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
