@@ -45,6 +45,14 @@ def broadcast_each_if_small(
     """
     if not dfs:
         return []
-    check = inheritable_thread_target(dfs[0].sparkSession)(lambda df: broadcast_if_small(df, max_rows))
+
+    def check(df: DataFrame) -> DataFrame:
+        return broadcast_if_small(df, max_rows)
+
+    session = dfs[0].sparkSession
+    inherit = inheritable_thread_target(session)
+    # With pinned-thread mode off, PySpark hands the session back: Python
+    # threads then share JVM threads and there is nothing to inherit.
+    target = check if inherit is session else inherit(check)
     with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
-        return list(pool.map(check, dfs))
+        return list(pool.map(target, dfs))

@@ -70,3 +70,13 @@ def test_broadcast_each_if_small_runs_checks_in_the_callers_job_group(spark):
         sc.setLocalProperty("spark.jobGroup.id", None)
         sc.setLocalProperty("spark.job.description", None)
     assert len(sc.statusTracker().getJobIdsForGroup("strata-check-group")) >= 2
+
+
+def test_broadcast_each_if_small_without_pinned_threads(spark, monkeypatch):
+    """With pinned-thread mode off, PySpark's wrapper returns the session itself."""
+    import strata.operators.joins as joins
+
+    monkeypatch.setattr(joins, "inheritable_thread_target", lambda session: session)
+    checked = joins.broadcast_each_if_small([spark.range(3), spark.range(30)], max_rows=10)
+    big = spark.range(1000)
+    assert ["BroadcastHashJoin" in _join_plan(spark, d.withColumnRenamed("id", "k"), big.withColumnRenamed("id", "k")) for d in checked] == [True, False]
