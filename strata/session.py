@@ -22,6 +22,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> Spar
         # build-side partition is measured under this size: the large side is
         # then streamed instead of sorted. Recommended on clusters too (README).
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
+        # zstd shuffles ~1/3 fewer bytes than the default lz4 here (README).
+        .config("spark.io.compression.codec", "zstd")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.driver.memory", "8g")
         .getOrCreate()
