@@ -53,6 +53,8 @@ once instead of once per call, which saves driver time on every run.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.money import net_revenue_sql, report_amount_sql
@@ -93,19 +95,21 @@ def revenue_by_region(
     customer: DataFrame,
     nation: DataFrame,
     region: DataFrame,
-    start: str = "1996-01-01",
-    end: str = "1997-01-01",
+    start: str | dt.date = "1996-01-01",
+    end: str | dt.date = "1997-01-01",
     dim_max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Lines and net revenue per (region, nation) for orders dated in [start, end).
 
-    ``start`` and ``end`` are compared with ``o_orderdate`` as TIMESTAMP_NTZ,
-    so the result does not depend on the session time zone.
+    ``start`` and ``end`` are ISO dates or timestamps (text, ``date`` or naive
+    ``datetime``). They are compared with ``o_orderdate`` as TIMESTAMP_NTZ, so
+    the result does not depend on the session time zone; text that is not a
+    timestamp fails the query.
     """
     nation, region = broadcast_each_if_small([nation, region], dim_max_rows)
     return lineitem.sparkSession.sql(
         QUERY,
-        args={"start": start, "end": end},
+        args={"start": _iso(start), "end": _iso(end)},
         lineitem=lineitem,
         orders=orders,
         customer=customer,
@@ -114,6 +118,13 @@ def revenue_by_region(
     )
 
 
+def _iso(value: str | dt.date) -> str:
+    # Text, not a Python date: PySpark would bind a datetime as a zoned TIMESTAMP.
+    if isinstance(value, dt.datetime) and value.tzinfo is not None:
+        raise ValueError("order dates are zone-less; pass a naive datetime")
+    return value if isinstance(value, str) else value.isoformat()
+
+
 def revenue_by_region_from(spark: SparkSession, root: str, **kwargs) -> DataFrame:
     """``revenue_by_region`` over the tables stored under ``root``."""
     tables = {

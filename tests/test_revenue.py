@@ -48,6 +48,20 @@ def test_same_result_as_spark_sql_of_the_specification(spark):
     assert rows_of(spec) == rows_of(revenue_by_region_from(spark, root))
 
 
+def test_dates_may_be_given_as_python_dates(spark):
+    root = TESTDATA / "sf0.01"
+    with spark_conf(spark, {"spark.sql.session.timeZone": "Pacific/Auckland"}):
+        by_date = rows_of(revenue_by_region_from(spark, str(root), start=dt.date(1998, 2, 1), end=dt.datetime(1998, 3, 1, 12)))
+    assert by_date == oracle_rows(root, start="1998-02-01", end="1998-03-01 12:00:00")
+    with pytest.raises(ValueError, match="zone-less"):
+        revenue_by_region_from(spark, str(root), start=dt.datetime(1998, 2, 1, tzinfo=dt.timezone.utc))
+
+
+def test_malformed_date_fails(spark):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        revenue_by_region_from(spark, str(TESTDATA / "sf0.001"), start="1996-13-45").collect()
+
+
 @pytest.mark.parametrize(
     "settings",
     [
