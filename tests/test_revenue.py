@@ -72,6 +72,7 @@ def test_malformed_date_fails(spark):
         {"spark.sql.shuffle.partitions": "1"},
         {"spark.sql.shuffle.partitions": "200", "spark.sql.autoBroadcastJoinThreshold": "-1"},
         {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0"},
+        {"spark.sql.cbo.enabled": "true", "spark.sql.cbo.joinReorder.enabled": "true"},
     ],
     ids=lambda d: ",".join(f"{k.rsplit('.', 1)[-1]}={v}" for k, v in d.items()),
 )
