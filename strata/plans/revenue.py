@@ -64,8 +64,9 @@ from strata.sources.tables import read_table
 # Output columns, in order.
 COLUMNS = ("r_name", "n_name", "n_lines", "revenue")
 
-# Spark SQL. {name} is an input DataFrame, :start and :end are bound
-# parameters. The whole statement is analysed once, in a single call.
+# Spark SQL. {name} is an input DataFrame, :range_start and :range_end are
+# bound parameters (named so that none is a reserved word under ANSI keyword
+# rules). The whole statement is analysed once, in a single call.
 QUERY = f"""
 WITH per_customer AS (
   SELECT o_custkey, sum(rev) AS rev, count(*) AS n_lines
@@ -73,8 +74,8 @@ WITH per_customer AS (
         FROM {{lineitem}}) AS lines
   JOIN (SELECT o_orderkey, o_custkey
         FROM {{orders}}
-        WHERE o_orderdate >= CAST(:start AS TIMESTAMP_NTZ)
-          AND o_orderdate < CAST(:end AS TIMESTAMP_NTZ)) AS placed
+        WHERE o_orderdate >= CAST(:range_start AS TIMESTAMP_NTZ)
+          AND o_orderdate < CAST(:range_end AS TIMESTAMP_NTZ)) AS placed
     ON l_orderkey = o_orderkey
   GROUP BY o_custkey
 )
@@ -109,7 +110,7 @@ def revenue_by_region(
     nation, region = broadcast_each_if_small([nation, region], dim_max_rows)
     return lineitem.sparkSession.sql(
         QUERY,
-        args={"start": _iso(start), "end": _iso(end)},
+        args={"range_start": _iso(start), "range_end": _iso(end)},
         lineitem=lineitem,
         orders=orders,
         customer=customer,

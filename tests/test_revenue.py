@@ -74,6 +74,7 @@ def test_malformed_date_fails(spark):
         {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0"},
         {"spark.sql.cbo.enabled": "true", "spark.sql.cbo.joinReorder.enabled": "true"},
         {"spark.sql.codegen.wholeStage": "false", "spark.sql.parquet.enableVectorizedReader": "false"},
+        {"spark.sql.ansi.enforceReservedKeywords": "true"},
     ],
     ids=lambda d: ",".join(f"{k.rsplit('.', 1)[-1]}={v}" for k, v in d.items()),
 )
