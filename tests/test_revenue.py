@@ -289,6 +289,18 @@ def test_random_fixtures_match_oracle(spark, tmp_path, tables):
     assert rows_of(revenue_by_region_from(spark, str(root))) == oracle_rows(root)
 
 
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(tables=_tables())
+def test_random_fixtures_match_oracle_through_shuffle_joins(spark, tmp_path, tables):
+    """As above, with broadcasts off so the joins run as they would on large
+    tables (AQE hash joins under the local session's settings), and lineitem
+    split into part files."""
+    root = write_tables(tmp_path / f"s{next(_counter)}", tables, parts={"lineitem": 3})
+    with spark_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        got = rows_of(revenue_by_region_from(spark, str(root)))
+    assert got == oracle_rows(root)
+
+
 # --------------------------------------------------------------------------
 # Plan shape
 
