@@ -47,8 +47,8 @@ when its statistics put them under the broadcast threshold and otherwise
 sort-merges, with AQE splitting skewed order keys. No Python runs per row.
 
 The query is one Spark SQL statement over DataFrame parameters rather than a
-chain of DataFrame calls: the physical plan is the same, but it is analysed
-once instead of once per call, which saves driver time on every run.
+chain of DataFrame calls: it reads like the specification, the physical plan
+is the same, and it is analysed once instead of once per call.
 """
 
 from __future__ import annotations
