@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, line_dedup
+from strata.llm import decontaminate, license_scan, line_dedup, near_dup, packing, quality, secret_scan
 from strata.llm.session import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": lambda spark, d: quality.op1_quality_classifier(documents(spark, d)),
     "op3_line_dedup": lambda spark, d: line_dedup.op3_line_dedup(documents(spark, d)),
+    "op6_best_fit_packing": lambda spark, d: packing.op6_best_fit_packing(documents(spark, d)),
+    "op7_secret_scan": lambda spark, d: secret_scan.op7_secret_scan(documents(spark, d)),
+    "op8_license_scan": lambda spark, d: license_scan.op8_license_scan(documents(spark, d)),
+    "op9_minhash_near_dedup": lambda spark, d: near_dup.op9_minhash_near_dedup(documents(spark, d)),
     "op10_decontaminate": lambda spark, d: decontaminate.op10_decontaminate(documents(spark, d), table(spark, d, "benchmark")),
 }
 
