@@ -1,11 +1,11 @@
 """Quality classifier: weak labels from overlapping heuristics, then a hashed linear scorer.
 
-1. Eight heuristic labellers look at each whole text and vote good, bad or
+1. Nine heuristic labellers look at each whole text and vote good, bad or
    nothing (``LABELLERS``). Their thresholds are round numbers, not fitted.
 2. Expectation-maximisation (Dawid and Skene) over the counts of the vote
    patterns of all documents estimates the share of good documents and, for
    each labeller, how often it votes what in either class. No gold label is
-   used. There are at most 3**8 patterns, so the counts are small whatever the
+   used. There are at most 3**9 patterns, so the counts are small whatever the
    corpus, and come from a map-side partial aggregate.
 3. The posterior of a document's pattern is its label. A linear scorer over
    hashed token shapes learns them from a sample of ``TRAIN_DOCS`` documents
@@ -15,7 +15,7 @@ The scorer sees how a text is written throughout, not the thresholds, and
 decides where labellers disagree or abstain.
 
 Defined cases: a null or empty text is scored as a text without tokens (the
-length labeller calls it bad); repeated rows get equal scores; an empty table
+``empty`` labeller calls it bad); repeated rows get equal scores; an empty table
 gives an empty result; other columns pass through unchanged.
 """
 
@@ -36,17 +36,31 @@ TRAIN_DOCS = 8192
 THRESHOLD = 0.5
 U64 = np.uint64
 
-# (name, measure, bad if, good if) with the measures of ``measures``.
+
+
+def short(m: dict[str, np.ndarray]) -> np.ndarray:
+    """Too few tokens for a share to say much: a number or an address weighs heavily."""
+    return m["tokens"] < 30
+
+
+def few_repeats(m: dict[str, np.ndarray]) -> np.ndarray:
+    return m["repeat_share"] * m["tokens"] <= np.maximum(1, 0.05 * m["tokens"])
+
+
+# Each labeller sees the measures of ``measures`` and says where it votes bad and
+# where good; elsewhere it abstains. A good vote needs positive evidence, so a
+# text with one kind of defect is not voted good by those that look at others.
 LABELLERS = (
-    ("symbols", "symbol_share", lambda x: x >= 0.10, lambda x: x <= 0.02),
-    ("capitals", "capital_share", lambda x: x >= 0.50, lambda x: x <= 0.15),
-    ("repeats", "repeat_share", lambda x: x >= 0.20, lambda x: x <= 0.03),
-    ("separators", "separator_share", lambda x: x >= 0.15, lambda x: x <= 0.02),
-    ("length", "tokens", lambda x: x < 10, lambda x: x >= 30),
-    ("exclamations", "exclamation_share", lambda x: x >= 0.20, lambda x: x <= 0.05),
-    ("variety", "distinct_share", lambda x: x < 0.20, lambda x: x >= 0.45),
-    ("plain", "plain_share", lambda x: x < 0.40, lambda x: x >= 0.85),
-)
+    ("symbols", lambda m: m["symbol_share"] >= 0.10, None),
+    ("capitals", lambda m: (m["capital_share"] >= 0.50) & (m["tokens"] >= 5), None),
+    ("repeats", lambda m: m["repeat_share"] >= 0.20, None),
+    ("separators", lambda m: m["separator_share"] >= 0.10, None),
+    ("exclamations", lambda m: m["exclamation_share"] >= 0.20, None),
+    ("empty", lambda m: m["tokens"] < 2, None),
+    ("variety", lambda m: m["distinct_share"] < 0.20, lambda m: (m["distinct_share"] >= 0.45) & few_repeats(m)),
+    ("prose", lambda m: (m["plain_share"] < 0.40) & ~short(m), lambda m: (m["plain_share"] >= np.where(short(m), 0.45, 0.85)) & few_repeats(m)),
+    ("letters", lambda m: (m["letter_share"] < 0.50) & ~short(m), lambda m: (m["letter_share"] >= np.where(short(m), 0.35, 0.90)) & (m["capital_share"] <= 0.30) & few_repeats(m)),
+)
 PATTERNS = 3 ** len(LABELLERS)
 
 _b = np.arange(256)
@@ -97,6 +111,7 @@ def measures(t: Tokens) -> dict[str, np.ndarray]:
     expected = np.sqrt(np.maximum(t.count, 100) / 100.0)
     return {
         "tokens": t.count,
+        "letter_share": t.bytes_in(_LETTER) / solid,
         "symbol_share": t.bytes_in(_SYMBOL) / solid,
         "capital_share": t.bytes_in(_UPPER) / np.maximum(t.bytes_in(_LETTER), 1),
         "repeat_share": t.per_doc(repeat) / tokens,
@@ -108,13 +123,14 @@ def measures(t: Tokens) -> dict[str, np.ndarray]:
 
 
 def votes(t: Tokens) -> np.ndarray:
-    """(documents, labellers): 1 good, 2 bad, 0 no vote. Without tokens only the length votes."""
+    """(documents, labellers): 1 good, 2 bad, 0 no vote. Without tokens only ``empty`` votes."""
     m = measures(t)
     out = np.zeros((t.n_docs, len(LABELLERS)), dtype=np.int64)
-    for j, (name, measure, bad, good) in enumerate(LABELLERS):
-        x = m[measure]
-        out[:, j] = np.where(bad(x), 2, np.where(good(x), 1, 0))
-        if name != "length":
+    for j, (name, bad, good) in enumerate(LABELLERS):
+        if good is not None:
+            out[good(m), j] = 1
+        out[bad(m), j] = 2
+        if name != "empty":
             out[t.count == 0, j] = 0
     return out
 
@@ -130,11 +146,11 @@ def unpacked(patterns: np.ndarray) -> np.ndarray:
 def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray, np.ndarray]:
     """(share of good, P(vote | class) as [labeller, class, vote], posterior of good per pattern).
 
-    Starts from the majority of the votes; class 0 is bad, class 1 good. Counts
+    Starts from "good unless a labeller objects"; class 0 is bad, class 1 good. Counts
     are smoothed by one pseudo-vote, so no probability is zero.
     """
     v = unpacked(patterns)
-    post = np.clip(0.5 + ((v == 1).sum(axis=1) - 2.0 * (v == 2).sum(axis=1)) / 8, 0.05, 0.95)
+    post = np.where((v == 2).any(axis=1), 0.1, 0.9)
     one_hot = (v[:, :, None] == np.arange(3)).astype(np.float64)
     for _ in range(rounds):
         mass = np.stack([counts * (1 - post), counts * post])
@@ -149,10 +165,11 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
 
 
 def features(t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, dimension, value) of the hashed features; each row has length 1.
+    """(document, dimension, value) of the hashed features, by document.
 
     Token shapes (letter case, digits, punctuation; runs collapsed), pairs of
-    shapes, repeated tokens, and the text's length on a log scale.
+    shapes and repeated tokens, together of length 1; and flags for the share
+    of repeated and of distinct tokens and for the text's length.
     """
     shape = _SHAPE[t.data]
     start_flag = np.zeros(len(shape), dtype=bool)
@@ -164,21 +181,20 @@ def features(t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     exact = arrays.segment_hash(arrays.LOWER[t.data], t.start, t.end)
     follows = np.flatnonzero(t.doc[1:] == t.doc[:-1])
     again = follows[exact[follows] == exact[follows + 1]]
-    length = np.log2(t.count + 1.0).astype(np.int64)
-    docs = np.concatenate([t.doc, t.doc[follows], t.doc[again], np.arange(t.n_docs)])
-    names = np.concatenate(
-        [
-            h,
-            arrays.mix(h[follows] * arrays.BASE + h[follows + 1]),
-            np.full(len(again), 0xA11CE, dtype=U64),
-            arrays.mix(length.astype(U64) + U64(0xBEEF)),
-        ]
-    )
+    docs = np.concatenate([t.doc, t.doc[follows], t.doc[again]])
+    names = np.concatenate([h, arrays.mix(h[follows] * arrays.BASE + h[follows + 1]), np.full(len(again), 0xA11CE, dtype=U64)])
     cell = docs * DIMENSIONS + (arrays.mix(names) >> U64(52)).astype(np.int64)
     cell, n = np.unique(cell, return_counts=True)
     doc, dim, value = cell // DIMENSIONS, cell % DIMENSIONS, np.log1p(n)
-    norm = np.sqrt(np.bincount(doc, weights=value**2, minlength=t.n_docs))
-    return doc, dim, value / norm[doc]
+    value /= np.sqrt(np.bincount(doc, weights=value**2, minlength=t.n_docs))[doc]
+    # How much of the text is repeated, and its length: one flag each.
+    m = measures(t)
+    flags = [np.floor(10 * m["repeat_share"]), np.floor(10 * np.minimum(m["distinct_share"], 1)), np.floor(np.log2(t.count + 1.0))]
+    rows = np.arange(t.n_docs)
+    flag = [(arrays.mix(x.astype(U64) + U64(1000 * (k + 1))) >> U64(52)).astype(np.int64) for k, x in enumerate(flags)]
+    doc, dim, value = np.concatenate([doc, rows, rows, rows]), np.concatenate([dim, *flag]), np.concatenate([value, np.full(3 * len(rows), 0.5)])
+    order = np.argsort(doc, kind="stable")
+    return doc[order], dim[order], value[order]
 
 
 def fit(doc: np.ndarray, dim: np.ndarray, value: np.ndarray, label: np.ndarray, rounds: int = 300, ridge: float = 1e-5) -> np.ndarray:
@@ -234,7 +250,7 @@ def train(documents: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     """Labeller accuracies from all documents, scorer weights from about ``train_docs`` of them."""
     ship_code(documents.sparkSession)
     text = documents.select("text")
-    counted = text.mapInArrow(_patterns, "pattern long").groupBy("pattern").count().collect()  # at most 3**8 rows
+    counted = text.mapInArrow(_patterns, "pattern long").groupBy("pattern").count().collect()  # at most 3**9 rows
     patterns = np.array([r["pattern"] for r in counted], dtype=np.int64)
     counts = np.array([r["count"] for r in counted], dtype=np.float64)
     if not len(counts):
