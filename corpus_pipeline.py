@@ -20,21 +20,36 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, line_dedup
+from strata.llm import decontaminate, line_dedup, near_dup, packing, quality
 from strata.llm.session import documents, shared_folder, table
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.good_documents(docs)
+
+
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).drop(line_dedup.GONE)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dup.deduplicated(docs)
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.op6_best_fit_packing(docs)
+
+
 STAGES = [
+    ("quality", quality_stage),
     ("line_dedup", line_stage),
+    ("near_duplicates", near_duplicate_stage),
     ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
 ]
 
 #: Tokenising, EM and hashed signatures are not expressible in SQL; see the tests.
