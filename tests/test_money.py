@@ -1,6 +1,8 @@
 from decimal import Decimal
 
 import duckdb
+import pytest
+from conftest import spark_conf
 
 from strata.functions import net_revenue_sql, report_amount_sql
 
@@ -19,16 +21,33 @@ def test_net_revenue_is_exact_decimal(spark):
     ]
 
 
-def test_duckdb_evaluates_the_same_expressions_alike(spark):
+def test_duckdb_computes_the_same_amounts(spark):
     con = duckdb.connect()
     con.execute("CREATE TABLE t (p DOUBLE, d DOUBLE)")
     con.executemany("INSERT INTO t VALUES (?, ?)", PAIRS)
-    expr = report_amount_sql(net_revenue_sql("p", "d"))
-    in_duckdb = [r[0] for r in con.execute(f"SELECT {expr} FROM t").fetchall()]
-    in_spark = [r[0] for r in spark.createDataFrame(PAIRS, "p double, d double").selectExpr(expr).collect()]
+    plain = "CAST(p AS DECIMAL(12,2)) * (1 - CAST(d AS DECIMAL(3,2)))"
+    in_duckdb = [r[0] for r in con.execute(f"SELECT {report_amount_sql(plain)} FROM t").fetchall()]
+    ours = report_amount_sql(net_revenue_sql("p", "d"))
+    in_spark = [r[0] for r in spark.createDataFrame(PAIRS, "p double, d double").selectExpr(ours).collect()]
     assert in_duckdb == in_spark == [0.10, 97648.03, 0.01, 901.82]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("price, discount", [(100.125, 0.05), (100.0, 0.055), (2e10, 0.0), (1.0, 10.0), (float("nan"), 0.0), (float("inf"), 0.0), (1e-9, 0.0)])
+def test_amounts_that_the_types_cannot_hold_raise(spark, ansi, price, discount):
+    with spark_conf(spark, {"spark.sql.ansi.enabled": ansi}):
+        df = spark.createDataFrame([(price, discount)], "p double, d double").selectExpr(net_revenue_sql("p", "d"))
+        with pytest.raises(Exception, match="is not a DECIMAL"):
+            df.collect()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_null_amounts_stay_null_and_negative_ones_exact(spark, ansi):
+    with spark_conf(spark, {"spark.sql.ansi.enabled": ansi}):
+        df = spark.createDataFrame([(None, 0.1), (1.0, None), (-5.5, 0.1)], "p double, d double").selectExpr(f"{net_revenue_sql('p', 'd')} AS r")
+        assert [r.r for r in df.collect()] == [None, None, Decimal("-4.9500")]
+
+
 def test_report_amount_rounds_half_up(spark):
     df = spark.createDataFrame(
         [(Decimal("0.0950"),), (Decimal("0.0949"),), (Decimal("2.0050"),)], "x decimal(17,4)"
