@@ -1,3 +1,3 @@
-from strata.sources.tables import SCHEMAS, read_table
+from strata.sources.tables import SCHEMAS, SchemaMismatch, read_table
 
-__all__ = ["SCHEMAS", "read_table"]
+__all__ = ["SCHEMAS", "SchemaMismatch", "read_table"]

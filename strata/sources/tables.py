@@ -2,18 +2,24 @@
 
 Each table lives at ``<root>/<name>.parquet``, which may be one file (the test
 data) or a directory of part files (a cluster data set); ``spark.read.parquet``
-takes either. Reading with a declared schema skips footer-based inference and
-makes a type change in the files fail the job instead of silently changing
-results (e.g. a zoned TIMESTAMP where TIMESTAMP_NTZ is expected would make
-date filters depend on the session time zone).
+takes either. The files' own schemas are checked against the declared one
+before a table is used: a missing column or any other type (a zoned timestamp,
+a 32-bit integer, a float) raises ``SchemaMismatch``. Spark itself would read a
+missing column as nulls and widen or reinterpret many types without a word.
 
-Nothing is read here: the DataFrames are lazy, so Catalyst still prunes columns
+The check reads footers only (``mergeSchema``: one distributed job over all part
+files), so part files of differing types are refused too, whichever they are.
+Not covered: a column missing from only some part files, which Spark's merged
+schema cannot show; it reads as null there.
+
+No data are read here: the DataFrames are lazy, so Catalyst still prunes columns
 and pushes filters into each scan.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Column names and types of the input tables, as their Parquet files declare
 # them.
@@ -36,10 +42,30 @@ SCHEMAS: dict[str, str] = {
 }
 
 
+class SchemaMismatch(ValueError):
+    """The files of a table do not hold the declared columns and types."""
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Lazily read table ``name`` from the folder ``root``."""
+    """Lazily read table ``name`` from the folder ``root``, its schema checked."""
     try:
         schema = SCHEMAS[name]
     except KeyError:
         raise ValueError(f"unknown table {name!r}; known: {sorted(SCHEMAS)}") from None
-    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}.parquet")
+    path = f"{root.rstrip('/')}/{name}.parquet"
+    declared = StructType.fromDDL(schema)
+    try:
+        found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    except Exception as exc:
+        if "CANNOT_MERGE" in str(exc) or "FAILED_MERGING" in str(exc):
+            raise SchemaMismatch(f"{path}: part files differ in their types: {str(exc).splitlines()[0]}") from exc
+        raise
+    types = {f.name: f.dataType for f in found}
+    wrong = [
+        f"{f.name} is {types[f.name].simpleString() if f.name in types else 'missing'}, not {f.dataType.simpleString()}"
+        for f in declared
+        if types.get(f.name) != f.dataType
+    ]
+    if wrong:
+        raise SchemaMismatch(f"{path}: " + "; ".join(wrong))
+    return spark.read.schema(declared).parquet(path)

@@ -1,0 +1,71 @@
+import datetime as dt
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from conftest import ARROW_SCHEMAS, TESTDATA, write_tables
+
+from strata.plans.revenue import revenue_by_region_from
+from strata.sources import SCHEMAS, SchemaMismatch, read_table
+
+
+@pytest.mark.parametrize("name", sorted(SCHEMAS))
+def test_declared_schema_equals_file_schema(spark, name):
+    root = str(TESTDATA / "sf0.001")
+    declared = read_table(spark, root, name).schema
+    in_file = spark.read.parquet(f"{root}/{name}.parquet").schema
+    assert [(f.name, f.dataType) for f in declared] == [(f.name, f.dataType) for f in in_file]
+
+
+def test_unknown_table_is_rejected(spark):
+    with pytest.raises(ValueError, match="unknown table"):
+        read_table(spark, str(TESTDATA / "sf0.001"), "no_such_table")
+
+
+def replaced(schema: pa.Schema, name: str, kind) -> pa.Schema:
+    return schema.set(schema.get_field_index(name), pa.field(name, kind))
+
+
+CHANGES = [
+    ("orders", "o_orderdate", pa.timestamp("us", tz="UTC")),
+    ("lineitem", "l_extendedprice", pa.int32()),
+    ("lineitem", "l_extendedprice", pa.int64()),
+    ("lineitem", "l_discount", pa.float32()),
+    ("lineitem", "l_extendedprice", pa.decimal128(12, 2)),
+    ("nation", "n_nationkey", pa.int64()),
+    ("customer", "c_custkey", pa.int32()),
+    ("region", "r_name", pa.int32()),
+]
+
+
+@pytest.mark.parametrize("table, column, kind", CHANGES, ids=lambda x: str(x))
+def test_a_changed_type_fails(spark, tmp_path, table, column, kind):
+    root = write_tables(tmp_path / "t", {})
+    schema = replaced(ARROW_SCHEMAS[table], column, kind)
+    pq.write_table(schema.empty_table(), root / f"{table}.parquet")
+    with pytest.raises(SchemaMismatch, match=column):
+        revenue_by_region_from(spark, str(root))
+
+
+@pytest.mark.parametrize("table, column", [("orders", "o_orderdate"), ("lineitem", "l_discount"), ("region", "r_name")])
+def test_a_missing_column_fails(spark, tmp_path, table, column):
+    root = write_tables(tmp_path / "t", {})
+    schema = ARROW_SCHEMAS[table]
+    pq.write_table(schema.remove(schema.get_field_index(column)).empty_table(), root / f"{table}.parquet")
+    with pytest.raises(SchemaMismatch, match=f"{column} is missing"):
+        revenue_by_region_from(spark, str(root))
+
+
+def test_one_part_file_of_another_type_fails(spark, tmp_path):
+    root = write_tables(tmp_path / "t", {"lineitem": [{"l_orderkey": k, "l_extendedprice": 1.0} for k in range(9)]}, parts={"lineitem": 3})
+    odd = replaced(ARROW_SCHEMAS["lineitem"], "l_extendedprice", pa.int32())
+    pq.write_table(odd.empty_table(), root / "lineitem.parquet" / "part-00007.parquet")
+    with pytest.raises(SchemaMismatch, match="lineitem"):
+        read_table(spark, str(root), "lineitem")
+
+
+def test_further_columns_are_allowed(spark, tmp_path):
+    root = write_tables(tmp_path / "t", {})
+    wide = ARROW_SCHEMAS["orders"].append(pa.field("revenue", pa.string()))
+    pq.write_table(wide.empty_table(), root / "orders.parquet")
+    assert revenue_by_region_from(spark, str(root), start=dt.date(1996, 1, 1)).collect() == []
