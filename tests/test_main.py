@@ -1,4 +1,9 @@
-from conftest import TESTDATA, duck, rows_of, sorted_rows
+import datetime as dt
+import os
+
+import pytest
+from conftest import TESTDATA, duck, rows_of, sorted_rows, write_tables
+from pyspark.errors import AnalysisException
 
 from strata.__main__ import main
 from strata.plans.revenue import oracle_sql
@@ -16,3 +21,48 @@ def test_main_prints_without_out(spark, capsys):
     main(["--root", str(TESTDATA / "sf0.001")])
     printed = capsys.readouterr().out
     assert "r_name" in printed and "NATION_0" in printed
+
+
+def many_nations(n):
+    return {
+        "region": [{"r_regionkey": 0, "r_name": "R"}],
+        "nation": [{"n_nationkey": k, "n_name": f"N{k:05d}", "n_regionkey": 0} for k in range(n)],
+        "customer": [{"c_custkey": k, "c_nationkey": k} for k in range(n)],
+        "orders": [{"o_orderkey": k, "o_custkey": k, "o_orderdate": dt.datetime(1996, 5, 5)} for k in range(n)],
+        "lineitem": [{"l_orderkey": k, "l_extendedprice": 1.25, "l_discount": 0.0} for k in range(n)],
+    }
+
+
+def test_every_group_is_printed(spark, tmp_path, capsys):
+    root = write_tables(tmp_path / "in", many_nations(1500))
+    main(["--root", str(root)])
+    lines = capsys.readouterr().out.splitlines()
+    assert len(lines) == 1501
+    assert lines[1] == "R\tN00000\t1\t1.25" and lines[-1] == "R\tN01499\t1\t1.25"
+
+
+def test_an_existing_target_is_refused_without_the_flag(spark, tmp_path):
+    root, out = write_tables(tmp_path / "in", many_nations(2)), tmp_path / "out"
+    main(["--root", str(root), "--out", str(out)])
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        main(["--root", str(root), "--out", str(out)])
+    main(["--root", str(root), "--out", str(out), "--overwrite"])
+    assert spark.read.parquet(str(out)).count() == 2
+
+
+def test_a_target_that_meets_the_inputs_is_refused(spark, tmp_path):
+    root = write_tables(tmp_path / "data" / "in", many_nations(2))
+    link = tmp_path / "link"
+    link.symlink_to(root)
+    before = {p: p.read_bytes() for p in sorted(root.rglob("*.parquet"))}
+    assert len(before) == 5
+    # Spark resolves relative paths against the JVM's folder.
+    relative = os.path.relpath(root, spark.sparkContext._jvm.java.lang.System.getProperty("user.dir"))
+    targets = [root, root.parent, tmp_path, root / "report", root / "region.parquet", link, link / "x", f"file://{root}/", f"{root}/../in", relative, f"{root.parent}/other/../in/report"]
+    for out in targets:
+        with pytest.raises(SystemExit):
+            main(["--root", str(root), "--out", str(out), "--overwrite"])
+    assert {p: p.read_bytes() for p in sorted(root.rglob("*.parquet"))} == before
+    # A name that merely starts alike is another folder.
+    main(["--root", str(root), "--out", f"{root}-report"])
+    assert os.path.exists(f"{root}-report/_SUCCESS")
