@@ -1,12 +1,11 @@
 """strata: Spark jobs over the sales star schema (region, nation, customer,
-orders, lineitem), each checked against DuckDB SQL on the same Parquet files.
+orders, lineitem) and over text corpora, checked against DuckDB SQL or brute force.
 
 Layout:
     sources/    typed readers for the input tables
     functions/  column expressions (exact money arithmetic)
-    operators/  reusable DataFrame building blocks (size-checked broadcast)
-    plans/      the queries themselves
-    streaming/  empty: there is nothing to stream yet (see README)
+    plans/      the star-schema queries
+    llm/        operators of a training-data pipeline (nothing else imports it)
 """
 
-__version__ = "0.1.0"
+__version__ = "0.2.0"

@@ -1,17 +1,33 @@
 """revenue_by_region against DuckDB running the plain SQL specification."""
 
+import contextlib
 import datetime as dt
+import json
+import random
 import re
+import subprocess
+import sys
+import uuid
 
-import duckdb
 import pytest
-from conftest import TESTDATA, duck, explain, rows_of, sorted_rows, spark_conf, write_tables
+from conftest import ROOT, TESTDATA, duck, explain, rows_of, sorted_rows, spark_conf, write_tables
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.errors import ArithmeticException
 
-from strata.plans.revenue import COLUMNS, oracle_sql, revenue_by_region_from
-from strata.sources import read_table
+from strata.plans.revenue import COLUMNS, NARROW_RANGE_SETTINGS, oracle_sql, revenue_by_region, revenue_by_region_from
+from strata.sources import SCHEMAS, read_table
+
+
+@contextlib.contextmanager
+def jobs_of(spark):
+    """Counts the Spark jobs that the block starts."""
+    sc, group = spark.sparkContext, uuid.uuid4().hex
+    sc.setJobGroup(group, "counted")
+    try:
+        yield lambda: len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
 
 
 def oracle_rows(root, **kwargs):
@@ -57,9 +73,34 @@ def test_dates_may_be_given_as_python_dates(spark):
         revenue_by_region_from(spark, str(root), start=dt.datetime(1998, 2, 1, tzinfo=dt.timezone.utc))
 
 
-def test_malformed_date_fails(spark):
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        revenue_by_region_from(spark, str(TESTDATA / "sf0.001"), start="1996-13-45").collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ("1996-13-45", "1997-01-01"),
+        ("1996", "1997-01-01"),
+        ("", "1997-01-01"),
+        ("next week", "1997-01-01"),
+        ("1996-01-01T12:00:00+12:00", "1997-01-01"),
+        ("1996-01-01", "1997-01-01T00:00:00Z"),
+        ("1997-01-01", "1996-01-01"),
+        ("1996-01-01", "1996-01-01"),
+    ],
+)
+def test_a_bad_range_fails_before_any_job_starts(spark, ansi, start, end):
+    tables = {n: spark.read.schema(ddl).parquet(f"{TESTDATA}/sf0.001/{n}.parquet") for n, ddl in SCHEMAS.items()}
+    with spark_conf(spark, {"spark.sql.ansi.enabled": ansi}), jobs_of(spark) as jobs:
+        with pytest.raises(ValueError):
+            revenue_by_region(**tables, start=start, end=end)
+    assert jobs() == 0
+
+
+def test_building_the_query_starts_no_job(spark):
+    tables = {n: spark.read.schema(ddl).parquet(f"{TESTDATA}/sf0.001/{n}.parquet") for n, ddl in SCHEMAS.items()}
+    with jobs_of(spark) as jobs:
+        df = revenue_by_region(**tables)
+    assert jobs() == 0
+    assert df.count() == 25
 
 
 @pytest.mark.parametrize(
@@ -86,25 +127,21 @@ def test_result_does_not_depend_on_session_settings(spark, settings):
     assert got == oracle_rows(root)
 
 
-def test_amount_outside_the_declared_type_fails_instead_of_summing_wrong(spark, tmp_path):
-    """A price over 10^10 does not fit decimal(12,2): under ANSI (the Spark 4
-    default) the job fails, as DuckDB's cast does, rather than losing it."""
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("price, discount", [(2e10, 0.0), (100.125, 0.055), (100.13, 0.055), (100.125, 0.05)])
+def test_an_amount_outside_the_declared_type_fails_instead_of_summing_wrong(spark, tmp_path, ansi, price, discount):
+    """Too large, or with a third place: an error in either ANSI mode, never a rounded or missing amount."""
     tables = {
         "region": [{"r_regionkey": 0, "r_name": "R"}],
         "nation": [{"n_nationkey": 0, "n_name": "N", "n_regionkey": 0}],
         "customer": [{"c_custkey": 1, "c_nationkey": 0}],
         "orders": [{"o_orderkey": 1, "o_custkey": 1, "o_orderdate": _ts(1996, 5, 5)}],
-        "lineitem": [{"l_orderkey": 1, "l_extendedprice": 2e10, "l_discount": 0.0}],
+        "lineitem": [{"l_orderkey": 1, "l_extendedprice": price, "l_discount": discount}],
     }
     root = write_tables(tmp_path / "big", tables)
-    with spark_conf(spark, {"spark.sql.ansi.enabled": "true"}):
-        with pytest.raises(ArithmeticException, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+    with spark_conf(spark, {"spark.sql.ansi.enabled": ansi}):
+        with pytest.raises(Exception, match="is not a DECIMAL"):
             revenue_by_region_from(spark, str(root)).collect()
-    with pytest.raises(duckdb.ConversionException, match="DECIMAL\\(12,2\\)"):
-        duck(root).execute(oracle_sql()).fetchall()
-    # Without ANSI mode Spark's cast gives null instead, so the revenue is lost.
-    with spark_conf(spark, {"spark.sql.ansi.enabled": "false"}):
-        assert rows_of(revenue_by_region_from(spark, str(root))) == [("R", "N", 1, None)]
 
 
 # --------------------------------------------------------------------------
@@ -217,10 +254,24 @@ def test_hot_keys_match_oracle(spark, tmp_path):
     assert sum(r[2] for r in got) == len(lines)
 
 
-def test_dimensions_over_bound_fall_back_to_shuffle_join(spark):
-    root = str(TESTDATA / "sf0.01")
-    df = revenue_by_region_from(spark, root, dim_max_rows=10)
-    assert rows_of(df) == oracle_rows(TESTDATA / "sf0.01")
+def test_the_planner_broadcasts_small_dimensions_and_shuffles_wide_ones(spark, tmp_path):
+    """By the size of their files in bytes, under Spark's own threshold."""
+    plan = explain(revenue_by_region_from(spark, str(TESTDATA / "sf0.01")), "simple")
+    broadcast = r"BroadcastHashJoin \[%s#\d+\], \[%s#\d+\], Inner, BuildRight"
+    assert re.search(broadcast % ("c_nationkey", "n_nationkey"), plan) and re.search(broadcast % ("n_regionkey", "r_regionkey"), plan), plan
+    rng = random.Random(5)
+    wide = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(4_000_000))
+    tables = EDGE | {
+        "nation": [{"n_nationkey": k, "n_name": wide[k * 2000 : (k + 1) * 2000], "n_regionkey": k % 3} for k in range(2000)],
+    }
+    root = write_tables(tmp_path / "wide", tables)
+    with spark_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "1MB", "spark.sql.adaptive.enabled": "false"}):
+        df = revenue_by_region_from(spark, str(root))
+        plan = explain(df, "simple")
+        got = rows_of(df)
+    assert not re.search(broadcast % ("c_nationkey", "n_nationkey"), plan), plan
+    assert re.search(broadcast % ("n_regionkey", "r_regionkey"), plan), plan
+    assert got == oracle_rows(root) and got
 
 
 # --------------------------------------------------------------------------
@@ -318,7 +369,7 @@ def test_scans_are_pruned_and_filtered(spark):
 
 def _static_plan(spark, df):
     """Physical plan as planned for tables too big to broadcast by statistics."""
-    with spark_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+    with spark_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "4kB", "spark.sql.adaptive.enabled": "false"}):
         return explain(df, "simple")
 
 
@@ -329,7 +380,8 @@ def test_large_table_plan_shuffles_each_big_input_once(spark):
     keys = sorted(re.sub(r"#\d+L?", "", e).rsplit(",", 1)[0] for e in exchanges)
     # lineitem and the filtered orders by order key; the per-customer partial
     # aggregate and customer by customer key; the final partial aggregate by
-    # (region, nation). Nation and region arrive by checked broadcasts.
+    # (region, nation). Nation and region are under the threshold of 4 kB
+    # (their files' sizes), orders and customer over it.
     assert keys == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey", "r_name, n_name"], plan
     assert plan.count("BroadcastExchange") == 2, plan
     assert plan.count("SortMergeJoin") == 2, plan
@@ -403,3 +455,58 @@ def test_with_recommended_settings_large_joins_hash_instead_of_sort(spark):
     assert "ShuffledHashJoin [o_custkey" in final_plan, final_plan
     assert re.search(r"ShuffledHashJoin \[l_orderkey", final_plan), final_plan
     assert "SortMergeJoin" not in final_plan, final_plan
+
+
+NARROW = r"""
+import json, re, sys
+from pathlib import Path
+sys.path[:0] = [sys.argv[1], sys.argv[1] + "/tests"]
+from pyspark.sql import SparkSession
+from conftest import explain, rows_of
+from strata.plans.revenue import revenue_by_region_from
+
+out = {}
+for name, extra in (("plain", {"spark.sql.optimizer.runtime.bloomFilter.enabled": "false"}), ("filtered", json.loads(sys.argv[4]))):
+    events = Path(sys.argv[3]) / name
+    events.mkdir()
+    spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
+             .config("spark.sql.shuffle.partitions", "4").config("spark.sql.autoBroadcastJoinThreshold", "-1")
+             .config("spark.eventLog.enabled", "true").config("spark.eventLog.rolling.enabled", "false")
+             .config("spark.eventLog.compress", "false").config("spark.eventLog.dir", events.as_uri()).config(map=extra).getOrCreate())
+    df = revenue_by_region_from(spark, sys.argv[2], start="1996-03-05", end="1996-03-06")
+    plan, rows = explain(df), rows_of(df)
+    spark.stop()
+    written = {}
+    for line in next(p for p in events.iterdir() if p.is_file()).open():
+        e = json.loads(line)
+        if e["Event"] == "SparkListenerTaskEnd":
+            m = e.get("Task Metrics") or {}
+            written.setdefault(e["Stage ID"], [0, 0])
+            written[e["Stage ID"]][0] += m.get("Shuffle Write Metrics", {}).get("Shuffle Records Written", 0)
+            written[e["Stage ID"]][1] += m.get("Input Metrics", {}).get("Records Read", 0)
+    lines = max(written.values(), key=lambda x: x[1])  # the stage that scans lineitem
+    out[name] = {"rows": rows, "might_contain": "might_contain" in plan, "shuffled": lines[0], "read": lines[1]}
+print(json.dumps(out))
+"""
+
+
+def test_a_narrow_range_does_not_shuffle_all_of_lineitem(tmp_path):
+    """With the documented settings a runtime Bloom filter drops other lines before their shuffle.
+
+    Only the scan-size threshold is lowered, since the test table is small.
+    """
+    root = TESTDATA / "sf0.1"
+    conf = NARROW_RANGE_SETTINGS | {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    script = tmp_path / "run.py"
+    script.write_text(NARROW)
+    proc = subprocess.run(
+        [sys.executable, str(script), str(ROOT), str(root), str(tmp_path), json.dumps(conf)], capture_output=True, text=True, timeout=300
+    )
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    got = json.loads(proc.stdout.strip().splitlines()[-1])
+    expected = json.loads(json.dumps(oracle_rows(root, start="1996-03-05", end="1996-03-06")))
+    matching = sum(r[2] for r in expected)
+    assert got["plain"]["rows"] == got["filtered"]["rows"] == expected and matching > 0
+    assert not got["plain"]["might_contain"] and got["filtered"]["might_contain"]
+    assert got["plain"]["shuffled"] == got["plain"]["read"] == 600_000
+    assert matching <= got["filtered"]["shuffled"] <= matching + 0.04 * 600_000
