@@ -3,9 +3,10 @@
 Each round lets every node point at the smallest node it touches: first its
 larger neighbours (large star), then itself and its smaller ones (small star).
 The edges shrink to stars whose centres are the components' smallest nodes; the
-number of rounds grows with the logarithm of a component's diameter. A node's
-neighbours are only ever reduced to their minimum (a map-side partial
-aggregate) and joined back, so a hub of any degree is never held by one task.
+number of rounds grows with the logarithm of a component's diameter, and a
+round ends the loop as soon as only stars are left. A node's neighbours are
+only ever reduced to their minimum (a map-side partial aggregate) and joined
+back, so a hub of any degree is never held by one task.
 """
 
 from __future__ import annotations
@@ -16,16 +17,19 @@ from pyspark.sql import functions as F
 from strata.llm.session import checkpointed
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    """Count and order-free hash of the edges, as two small numbers."""
-    h = F.xxhash64("a", "b")
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(F.pmod(h, F.lit(1 << 31)))).first())
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every edge (a, b) joins a node of no other edge to the centre of its star."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("leaf"), F.lit(1).alias("centre"))
+    )
+    per_node = ends.groupBy("node").agg(F.sum("leaf").alias("leaf"), F.max("centre").alias("centre"))
+    return per_node.where("leaf > 1 OR leaf + centre > 1").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    return both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    return both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -37,13 +41,9 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): for each node of an edge (columns a, b; any order, loops allowed) the smallest node it reaches."""
-    now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now, before = checkpointed(now), None
-    print_ = _fingerprint(now)
-    while print_[0] and print_ != before:
-        before = print_
+    now = checkpointed(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    while not _only_stars(now):
         now = checkpointed(_small_star(_large_star(now)))
-        print_ = _fingerprint(now)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

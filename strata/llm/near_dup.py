@@ -21,15 +21,15 @@ From signatures to classes, without emitting all pairs of a group:
    into one node before anything is compared.
 2. The signature is cut into ``BANDS`` bands of ``ROWS`` coordinates. A pair of
    similarity 0.8 misses all 25 bands with probability 5e-5. Band keys are
-   counted (map-side partial sums); only those that several nodes share go on.
-3. Round one: in each shared bucket the nodes are joined by the spanning forest
-   of the highest estimated similarities, at most one edge a node. The edges
-   are verified on the shingles themselves, and components are formed.
-4. Round two: buckets that still hold several components emit their remaining
-   pairs across components (each pair in the first band it shares) if the
-   estimate does not rule a link out; these are verified too. Pairs inside a
-   component need no check, since they can't change the classes.
-   A bucket of more than ``BLOCK`` nodes is dealt over tasks as pairs of blocks.
+   counted (map-side partial sums); only those that several nodes share go on,
+   and of buckets with the same nodes in several bands only the first.
+3. A task holds a bucket's nodes with their weighted sets and goes through their
+   pairs by falling estimate. It verifies a pair on the sets unless the two are
+   already connected (then it can't change the classes), share an earlier band,
+   or the estimate rules a link out; so what it emits is at most one edge a node.
+   A bucket of more than ``BLOCK`` nodes or ``BLOCK_BYTES`` of sets is dealt over
+   tasks as pairs of blocks.
+4. Components of the verified edges are the classes.
 
 Defined cases: a null text counts as empty; empty and wordless texts form a
 class only with equal texts; a class is named by its smallest doc_id (null if
@@ -58,7 +58,7 @@ K, BANDS, ROWS = 128, 25, 5
 # An estimate over K coordinates is below this for a pair of similarity 0.8
 # with probability 1e-5 (four standard deviations).
 RULED_OUT = 0.66
-BLOCK = 1024
+BLOCK, BLOCK_BYTES = 1024, 32 << 20
 U64 = np.uint64
 
 
@@ -202,8 +202,10 @@ def _base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     seen.add(x)
                     mine.append(i)
             sig: list[bytes | None] = [None] * len(nodes)
+            sizes = [0] * len(nodes)
             if mine:
-                doc, h, weight, _ = shingles(w)
+                doc, h, weight, first = shingles(w)
+                sizes = np.diff(first).tolist()
                 keep = np.zeros(len(nodes), dtype=bool)
                 keep[mine] = True
                 live = keep[doc]
@@ -211,8 +213,8 @@ def _base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for i in mine:
                     sig[i] = made[i].tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].slice(lo, hi - lo), batch["k"].slice(lo, hi - lo), pa.array(nodes, pa.binary()), pa.array(sig, pa.binary())],
-                ["doc_id", "k", "node", "sig"],
+                [batch["doc_id"].slice(lo, hi - lo), batch["k"].slice(lo, hi - lo), pa.array(nodes, pa.binary()), pa.array(sig, pa.binary()), pa.array(sizes, pa.int32())],
+                ["doc_id", "k", "node", "sig", "size"],
             )
 
 
@@ -234,18 +236,16 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig = np.frombuffer(b"".join(batch["sig"].to_pylist()), dtype=np.uint32).reshape(-1, K)
         rows = pa.array(np.repeat(np.arange(len(sig)), BANDS))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(arrays.signed(band_keys(sig).ravel())), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(sig))), batch["node"].take(rows)],
-            ["key", "band", "node"],
+            [
+                pa.array(arrays.signed(band_keys(sig).ravel())),
+                pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(sig))),
+                batch["node"].take(rows),
+                batch["size"].take(rows),
+            ],
+            ["key", "band", "node", "size"],
         )
 
 
-def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """16 bits of each coordinate: enough to compare two nodes, and half the bytes to move."""
-    for batch in batches:
-        short = [np.frombuffer(x, dtype=np.uint32).astype(np.uint16).tobytes() for x in batch["sig"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["node"], pa.array(short, pa.binary())], ["node", "short"])
-
-
 def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
     """The rows of each group of a partition that is sorted by the columns ``by``."""
     rest: pa.Table | None = None
@@ -261,8 +261,8 @@ def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Tab
         yield rest
 
 
-def _short(group: pa.Table) -> tuple[list[bytes], np.ndarray]:
-    return group["node"].to_pylist(), np.frombuffer(b"".join(group["short"].to_pylist()), dtype=np.uint16).reshape(len(group), K)
+def _signed_nodes(group: pa.Table) -> tuple[list[bytes], np.ndarray]:
+    return group["node"].to_pylist(), np.frombuffer(b"".join(group["sig"].to_pylist()), dtype=np.uint32).reshape(len(group), K)
 
 
 def _pairs(found: Iterator[tuple[list[bytes], list[bytes]]]) -> Iterator[pa.RecordBatch]:
@@ -278,67 +278,86 @@ def _pairs(found: Iterator[tuple[list[bytes], list[bytes]]]) -> Iterator[pa.Reco
     yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per bucket, the spanning forest of the highest estimates among its nodes (Prim's method)."""
+def _linked_in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per bucket (or pair of its blocks), verified edges that connect all that its pairs connect."""
 
-    def trees() -> Iterator[tuple[list[bytes], list[bytes]]]:
+    def edges() -> Iterator[tuple[list[bytes], list[bytes]]]:
         for group in _groups(batches, ["key", "x", "y"]):
-            nodes, sig = _short(group)
-            n = len(nodes)
-            best, near, done, at = np.full(n, -1.0, dtype=np.float32), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=bool), 0
-            for _ in range(n - 1):
-                done[at] = True
-                est = (sig == sig[at]).mean(axis=1, dtype=np.float32)
-                closer = est > best
-                best[closer], near[closer] = est[closer], at
-                at = int(np.argmax(np.where(done, np.float32(-2), best)))
-                if best[at] >= RULED_OUT:
-                    yield [nodes[at]], [nodes[near[at]]]
-
-    return _pairs(trees())
-
-
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per bucket, the pairs of different components that are not ruled out and share no earlier band."""
-
-    def pairs() -> Iterator[tuple[list[bytes], list[bytes]]]:
-        for group in _groups(batches, ["key", "x", "y"]):
-            nodes, sig = _short(group)
-            names = {c: i for i, c in enumerate(dict.fromkeys(group["component"].to_pylist()))}
-            component = np.array([names[c] for c in group["component"].to_pylist()])
+            nodes, sig = _signed_nodes(group)
             block, (x, y, band) = group["block"].to_numpy(), (group[c][0].as_py() for c in ("x", "y", "band"))
             left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
-            for i in left.tolist():
-                j = right[component[right] != component[i]]
-                j = j[j > i] if x == y else j
-                for s in range(0, len(j), 1 << 14):
-                    part = j[s : s + (1 << 14)]
-                    same = sig[part] == sig[i]
-                    ok = same.mean(axis=1, dtype=np.float32) >= RULED_OUT
-                    if band:
-                        ok &= ~same[:, : band * ROWS].reshape(len(part), band, ROWS).all(axis=2).any(axis=1)
-                    hit = part[ok].tolist()
-                    yield [nodes[i]] * len(hit), [nodes[p] for p in hit]
+            i, j, est = _candidates(sig, left, right, x == y, band)
+            if not len(i):
+                continue
+            order = np.argsort(-est, kind="stable")
+            i, j = i[order], j[order]
+            raw_h, raw_w = group["h"], group["w"]
+            loaded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+            def weighted(k: int) -> tuple[np.ndarray, np.ndarray]:
+                if k not in loaded:
+                    loaded[k] = _load(raw_h[k].as_py(), raw_w[k].as_py())
+                return loaded[k]
+
+            part = np.arange(len(nodes))
+            a, b = [], []
+            for s in range(0, len(i), 4096):
+                open_ = np.flatnonzero(part[i[s : s + 4096]] != part[j[s : s + 4096]]) + s
+                for p, q in zip(i[open_].tolist(), j[open_].tolist()):
+                    if part[p] != part[q] and _similar(weighted(p), weighted(q)):
+                        part[part == part[q]] = part[p]
+                        a.append(nodes[p])
+                        b.append(nodes[q])
+            yield a, b
+
+    return _pairs(edges())
+
+
+def _candidates(sig: np.ndarray, left: np.ndarray, right: np.ndarray, one_block: bool, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, estimate) of the pairs to look at: not ruled out, and without an earlier band in common."""
+    out_i, out_j, out_e = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.float32)]
+    for k, i in enumerate(left.tolist()):
+        others = right[k + 1 :] if one_block else right
+        if not len(others):
+            continue
+        same = sig[others] == sig[i]
+        est = same.mean(axis=1, dtype=np.float32)
+        ok = est >= RULED_OUT
+        if band and ok.any():
+            near = np.flatnonzero(ok)
+            earlier = same[near, : band * ROWS].reshape(len(near), band, ROWS).all(axis=2).any(axis=1)
+            ok[near[earlier]] = False
+        hit = np.flatnonzero(ok)
+        out_i.append(np.full(len(hit), i))
+        out_j.append(others[hit])
+        out_e.append(est[hit])
+    return np.concatenate(out_i), np.concatenate(out_j), np.concatenate(out_e)
 
-    return _pairs(pairs())
 
+def _load(h: bytes, w: bytes) -> tuple[np.ndarray, np.ndarray]:
+    x = np.frombuffer(h, dtype=U64)
+    return x, np.frombuffer(w, dtype=np.uint32).astype(np.int64) if w else np.ones(len(x), dtype=np.int64)
 
-def _block_number(seed: int) -> F.Column:
-    return F.pmod(F.xxhash64("node", F.lit(seed)), F.ceil(F.col("n") / F.lit(BLOCK))).cast("int")
 
+def _similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> bool:
+    """Whether two weighted sets (sorted elements, weights) have a Jaccard similarity of SIMILARITY or more."""
+    (x, p), (y, q) = (a, b) if len(a[0]) <= len(b[0]) else (b, a)
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = y[at] == x
+    low = int(np.minimum(p[both], q[at[both]]).sum())
+    # low / (|a| + |b| - low) >= 4/5, in whole numbers
+    return round(SIMILARITY * 1000) * (int(p.sum()) + int(q.sum()) - low) <= 1000 * low
 
-def _in_forest_blocks(members: DataFrame) -> DataFrame:
-    """x, y: the forest's task. A large bucket is dealt into blocks twice, by different hashes, so that blocks get linked."""
-    seeds = F.when(F.col("n") > BLOCK, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return members.withColumn("x", F.explode(seeds)).withColumn("y", F.when(F.col("x") == 0, _block_number(0)).otherwise(_block_number(1)))
+
+def _block_number() -> F.Column:
+    return F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
 
 
 def _in_block_pairs(members: DataFrame) -> DataFrame:
     """x <= y: the pair of blocks that a task compares; a row goes to each pair that has its block."""
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     return (
-        members.withColumn("block", _block_number(0))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        members.withColumn("block", _block_number())
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("x", F.least("block", "other"))
         .withColumn("y", F.greatest("block", "other"))
         .drop("other")
@@ -360,78 +379,46 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs (a, b) whose weighted sets have a Jaccard similarity of SIMILARITY or more."""
-
-    def load(h: bytes, w: bytes) -> tuple[np.ndarray, np.ndarray]:
-        x = np.frombuffer(h, dtype=U64)
-        return x, np.frombuffer(w, dtype=np.uint32).astype(np.int64) if w else np.ones(len(x), dtype=np.int64)
-
-    for batch in batches:
-        good = []
-        for ha, wa, hb, wb in zip(*(batch[c].to_pylist() for c in ("ha", "wa", "hb", "wb"))):
-            (x, p), (y, q) = load(ha, wa), load(hb, wb)
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            both = y[at] == x
-            low = int(np.minimum(p[both], q[at[both]]).sum())
-            # low / (|a| + |b| - low) >= 4/5, in whole numbers
-            good.append(round(SIMILARITY * 1000) * (int(p.sum()) + int(q.sum()) - low) <= 1000 * low)
-        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-
-def _verified(sets: DataFrame, edges: DataFrame) -> DataFrame:
-    left = sets.select(F.col("node").alias("a"), F.col("h").alias("ha"), F.col("w").alias("wa"))
-    right = sets.select(F.col("node").alias("b"), F.col("h").alias("hb"), F.col("w").alias("wb"))
-    return edges.join(left, "a").join(right, "b").mapInArrow(_similar, "a binary, b binary")
-
-
-def _by_bucket(rows: DataFrame) -> DataFrame:
-    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "node")
-
-
 def linked(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, k, node) of every row; (node, component) of the nodes linked to another one."""
     ship_code(documents.sparkSession)
     keyed = documents.select("doc_id", "text", F.xxhash64("text").alias("k"))
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    base = checkpointed(keyed.mapInArrow(_base, f"doc_id {kind}, k long, node binary, sig binary"))
+    base = checkpointed(keyed.mapInArrow(_base, f"doc_id {kind}, k long, node binary, sig binary, size int"))
     rows = base.select("doc_id", "k", "node")
-    signatures = base.where("sig IS NOT NULL").groupBy("node").agg(F.first("sig").alias("sig"))
-
-    # Keys that one node alone has go no further than a partial count.
-    banded = signatures.mapInArrow(_bands, "key long, band int, node binary")
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = checkpointed(banded.join(shared, "key"))
+    signatures = base.where("sig IS NOT NULL").groupBy("node").agg(F.first("sig").alias("sig"), F.first("size").alias("size"))
+
+    # Keys that one node alone has go no further than a partial count. Buckets
+    # with the same nodes have the same 128 bits; the one of the first band stays.
+    banded = signatures.mapInArrow(_bands, "key long, band int, node binary, size int")
+    blocks = F.greatest(F.ceil(F.col("n") / F.lit(BLOCK)), F.ceil(F.col("elements") * 8 / F.lit(BLOCK_BYTES))).cast("int")
+    buckets = (
+        banded.groupBy("key")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.col("size").cast("long")).alias("elements"),
+            F.min("band").alias("band"),
+            F.bit_xor(F.xxhash64("node")).alias("f1"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("f2"),
+        )
+        .where("n > 1")
+        .groupBy("n", "elements", "f1", "f2")
+        .agg(F.min(F.struct("band", "key")).alias("first"))
+        .select("first.key", "first.band", blocks.alias("blocks"))
+    )
+    members = checkpointed(banded.select("key", "node").join(buckets, "key"))
     involved = members.select("node").distinct()
-    short = checkpointed(signatures.join(involved, "node").mapInArrow(_shorten, "node binary, short binary"))
     # One text of each node in a shared bucket, as a weighted set.
     one = rows.join(involved, "node").groupBy("node").agg(F.min(F.struct("doc_id", "k")).alias("r"))
-    text = keyed.alias("t").join(one, keyed["doc_id"].eqNullSafe(one["r"]["doc_id"]) & (keyed["k"] == one["r"]["k"]))
-    sets = checkpointed(text.select("node", "text").mapInArrow(_sets, "node binary, h binary, w binary").dropDuplicates(["node"]))
-
-    edges = checkpointed(
-        _by_bucket(_in_forest_blocks(members).join(short, "node").select("key", "x", "y", "node", "short"))
-        .mapInArrow(_forest, "a binary, b binary")
-        .distinct()
-    )
-    found = components(_verified(sets, edges))
-
-    labelled = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = labelled.groupBy("key").agg((F.min("component") != F.max("component")).alias("open")).where("open").select("key")
-    rest = (
-        _by_bucket(
-            _in_block_pairs(labelled.join(several, "key"))
-            .join(short, "node")
-            .select("key", "x", "y", "node", "block", "band", "component", "short")
-        )
-        .mapInArrow(_across, "a binary, b binary")
-        .distinct()
-        .join(edges, ["a", "b"], "left_anti")
+    text = keyed.join(one, keyed["doc_id"].eqNullSafe(one["r"]["doc_id"]) & (keyed["k"] == one["r"]["k"]))
+    sets = text.select("node", "text").mapInArrow(_sets, "node binary, h binary, w binary").dropDuplicates(["node"])
+    edges = (
+        _in_block_pairs(members.join(sets.join(signatures.select("node", "sig"), "node"), "node"))
+        .repartition("key", "x", "y")
+        .sortWithinPartitions("key", "x", "y", "node")
+        .mapInArrow(_linked_in_buckets, "a binary, b binary")
     )
-    more = checkpointed(_verified(sets, rest))
-    if not more.isEmpty():
-        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-    return rows, found
+    return rows, components(edges)
 
 
 def classes(documents: DataFrame) -> DataFrame:
