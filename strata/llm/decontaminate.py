@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import arrays
-from strata.llm.session import ship_code
+from strata.llm.session import same_columns, ship_code
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
@@ -195,21 +195,22 @@ def decontaminated(
     ship_code(spark)
     out = documents
     for windows in blocks(benchmark, window, block_bytes):
-        out = out.mapInArrow(_cutter(spark, windows, remove), documents.schema)
+        out = same_columns(out, _cutter(spark, windows, remove, documents.columns))
     return out
 
 
-def _cutter(spark: SparkSession, windows: WindowSet, remove: str):
+def _cutter(spark: SparkSession, windows: WindowSet, remove: str, columns: list[str]):
     shared = spark.sparkContext.broadcast(pickle.dumps(windows))
+    text_at = columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pickle.loads(shared.value)
         for batch in batches:
             clean, cut = [], {}
-            for row, (_, spans, _, w, doc) in enumerate(scan(batch["text"], known)):
+            for row, (_, spans, _, w, doc) in enumerate(scan(batch.column(text_at), known)):
                 clean.append(not spans)
                 if spans and remove == "spans":
-                    text, base, first = batch["text"][row].as_py().encode(), int(w.at[doc]), int(w.first[doc])
+                    text, base, first = batch.column(text_at)[row].as_py().encode(), int(w.at[doc]), int(w.first[doc])
                     kept, at = [], 0
                     for s, e in spans:
                         kept.append(text[at : int(w.start[first + s]) - base])
@@ -219,10 +220,11 @@ def _cutter(spark: SparkSession, windows: WindowSet, remove: str):
                 yield batch.filter(pa.array(clean, pa.bool_()))
                 continue
             for name, value in (("text", lambda t: t), ("n_chars", len)):
-                if cut and name in batch.schema.names:
-                    old = batch[name].to_pylist()
-                    new = pa.array([value(cut[i]) if i in cut else x for i, x in enumerate(old)], batch[name].type)
-                    batch = batch.set_column(batch.schema.get_field_index(name), batch.schema.field(name), new)
+                if cut and name in columns:
+                    at = columns.index(name)
+                    old = batch.column(at)
+                    new = pa.array([value(cut[i]) if i in cut else x for i, x in enumerate(old.to_pylist())], old.type)
+                    batch = batch.set_column(at, batch.schema.field(at), new)
             yield batch
 
     return run

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import arrays
-from strata.llm.session import ship_code
+from strata.llm.session import same_columns, ship_code
 
 DIMENSIONS = 1 << 12
 TRAIN_DOCS = 8192
@@ -311,12 +311,13 @@ def good_documents(documents: DataFrame, model: Model | None = None, threshold:
     spark = documents.sparkSession
     model = model or train(documents)
     shared = spark.sparkContext.broadcast((model.posterior, model.weights))
+    text_at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_judged(batch["text"], *shared.value)[0] >= threshold))
+            yield batch.filter(pa.array(_judged(batch.column(text_at), *shared.value)[0] >= threshold))
 
-    return documents.mapInArrow(run, documents.schema)
+    return same_columns(documents, run)
 
 
 def op1_quality_classifier(documents: DataFrame) -> DataFrame:

@@ -61,3 +61,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def same_columns(df: DataFrame, run) -> DataFrame:
+    """``df.mapInArrow(run)`` for a function that keeps the columns, whatever their names.
+
+    ``run`` sees column i as ``c<i>`` (PySpark can't resolve a name with a dot
+    there), and the result has the old names again.
+    """
+    names = df.columns
+    plain = df.toDF(*[f"c{i}" for i in range(len(names))])
+    return plain.mapInArrow(run, plain.schema).toDF(*names)
