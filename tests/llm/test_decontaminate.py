@@ -1,0 +1,116 @@
+"""Against a brute-force scan of word windows."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from strata.llm import decontaminate as dc
+
+from llm_fixtures import SCHEMA, nothing, odd, odd_rows, prose, rows_from  # noqa: F401
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(t):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+
+
+def brute(docs, items, window=10):
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        n = min(window, len(w))
+        for k in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[k : k + n]), set()).add(str(item) if item is not None else "")
+    out = []
+    for doc, text in docs:
+        w, hit, who = words(text), set(), set()
+        for n in {len(x) for x in windows}:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in windows:
+                    hit.update(range(k, k + n))
+                    who |= windows[tuple(w[k : k + n])]
+        digest = hashlib.sha256(",".join(sorted(who)).encode()).hexdigest()
+        out.append((doc, len(w), len(hit), len(who), digest, bool(hit)))
+    return sorted(out, key=repr)
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    items = [(k, prose(rng, rng.choice([1, 2, 3, 9, 10, 11, 30]), ["red", "green", "blue", "white"])) for k in range(25)]
+    items += [(3, "RED, red -- blue"), (None, "blue blue"), (40, None), (41, " . "), (42, items[5][1])]
+    texts = []
+    for _ in range(60):
+        t = prose(rng, rng.randint(0, 60))
+        for _, item in rng.sample(items, 3):
+            if item and rng.random() < 0.6:
+                w = item.split()
+                t += "\n" + " ".join(w[rng.randint(0, 2) :]).upper() + "; " + prose(rng, 5)
+        texts.append(t)
+    return [(r[0], r[1]) for r in rows_from(texts)] + [(r[0], r[1]) for r in odd_rows()], items
+
+
+def got(spark, docs, items, **kw):
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    found = dc.contamination(d, b, **kw).collect()
+    return sorted(
+        ((r.doc_id, r.n_words, sum(s.e - s.s for s in r.spans), len(r["items"]), hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), bool(r.spans)) for r in found),
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_brute_force(spark, seed):
+    docs, items = corpus(seed)
+    assert got(spark, docs, items) == brute(docs, items)
+    rows = dc.op10_decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(tuple, rows.collect()), key=repr) == brute(docs, items)
+
+
+def test_items_beyond_a_block_are_scanned_in_several_passes(spark):
+    docs, items = corpus(4)
+    assert len(list(dc.blocks(spark.createDataFrame(items, "item_id long, text string"), 10, 500))) > 3
+    assert got(spark, docs, items, block_bytes=500) == brute(docs, items)
+
+
+def test_a_hash_collision_is_not_a_hit(spark, monkeypatch):
+    """With all hashes equal, only the verified words decide."""
+    import numpy as np
+
+    from strata.llm import arrays
+
+    monkeypatch.setattr(arrays, "mix", lambda x: np.zeros_like(x))
+    import pyarrow as pa
+
+    known = dc.WindowSet([("1", "one two three")], 10)
+    column = pa.array(["one two four", "zero one two three"])
+    found = [(n, spans, items) for n, spans, items, _, _ in dc.scan(column, known)]
+    assert found == [(3, [], []), (4, [(1, 4)], ["1"])]
+
+
+def test_documents_or_spans_are_removed(spark):
+    item = "the quick brown fox jumps over the lazy dog and then rests"
+    texts = ["Before. " + item.upper() + "! After.", "clean text of this one", None, ""]
+    docs = spark.createDataFrame(rows_from(texts), SCHEMA).selectExpr("*", "1 AS n_words", "'x' AS spans")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = dc.decontaminated(docs, bench)
+    assert kept.schema == docs.schema
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3]
+    cut = {r.doc_id: (r.text, r.n_chars) for r in dc.decontaminated(docs, bench, remove="spans").collect()}
+    assert cut == {0: ("Before. ! After.", 16), 1: (texts[1], len(texts[1])), 2: (None, None), 3: ("", 0)}
+    with pytest.raises(ValueError):
+        dc.decontaminated(docs, bench, remove="everything")
+
+
+def test_odd_rows_and_empty_tables(spark, odd, nothing):
+    bench = spark.createDataFrame([], "item_id long, text string")
+    rows = dc.op10_decontaminate(odd, bench).collect()
+    assert len(rows) == odd.count() and not any(r.contaminated for r in rows)
+    some = spark.createDataFrame([(1, "one two")], "item_id long, text string")
+    assert dc.op10_decontaminate(nothing, some).count() == 0
+    assert [r.doc_id for r in dc.op10_decontaminate(odd, some).where("contaminated").collect()] == [9]
+    assert dc.decontaminated(odd, some).count() == odd.count() - 1
+    assert dc.decontaminated(odd, bench).schema == odd.schema

@@ -1,0 +1,120 @@
+"""Block reading by hand-written pages; extraction on the test pages and on layouts not trained on."""
+
+import random
+import re
+
+import html as html_module
+import numpy as np
+import pytest
+from conftest import TESTDATA
+
+from strata.llm import html_extract as hx
+from strata.llm.html_blocks import blocks
+
+
+def texts(page):
+    return [b.text for b in blocks(page)]
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<p>a<p>b</p>c", ["a", "b", "c"]),
+        ("<p>one <b>two</b>\n\t three<br>four</p>", ["one two three four"]),
+        ("<ul><li>a<li>b <i>c</i></ul>d", ["a", "b c", "d"]),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", ["a", "b", "c"]),
+        ("<script>var t='</p>';</script><style>p{}</style><title>t</title>x<!-- <p>no</p> -->y", ["xy"]),
+        ("a<script>never ends", ["a"]),
+        ("a &lt;b&gt; &amp;amp; &#233;&eacute;&nbsp;x", ["a <b> &amp; éé x"]),
+        ("<div title='a > b' class=\"x\">in</div>", ["in"]),
+        ("1 < 2 and 3 > 2", ["1 < 2 and 3 > 2"]),
+        ("</p></div>stray", ["stray"]),
+        ("<div>broken <a href='x", ["broken"]),
+        ("<p>x</p" + " " * 3, ["x"]),
+        ("", []),
+        ("  \n ", []),
+        ("<!DOCTYPE html><?xml ?><![CDATA[x]]>t", ["t"]),
+        ("<DIV>Up<P>Per</DIV>", ["Up", "Per"]),
+    ],
+)
+def test_blocks(page, want):
+    assert texts(page) == want
+
+
+def test_paths_and_links():
+    found = blocks('<body><div class="sideBar top-menu" id=Nav1><ul><li><a href="#">go</a> on</ul></div><article><p>x</article>')
+    assert found[0].text == "go on" and found[0].linked == 2
+    assert [t for t, _ in found[0].path] == ["body", "div", "ul", "li"]
+    assert found[0].path[1][1] == ("side", "bar", "top", "menu", "nav")
+    assert [t for t, _ in found[1].path] == ["body", "article", "p"]
+
+
+def test_a_very_long_page_is_read_in_linear_time():
+    page = "<div><p>word <b>x</b> " * 40_000
+    assert len(blocks(page)) == 40_000
+    assert texts("<" * 50_000) and texts('<a b="' * 20_000) is not None
+
+
+@pytest.fixture(scope="module")
+def chain(spark):
+    return hx.train(spark.read.parquet(str(TESTDATA / "sf0.01" / "pages.parquet")))
+
+
+def test_the_article_of_every_test_page(spark, chain):
+    """By the pages' own markup: the blocks inside <article>, and nothing else."""
+    pages = spark.read.parquet(str(TESTDATA / "sf0.01" / "pages.parquet"))
+    got = {r.page_id: r.text for r in hx.extract(pages, chain).collect()}
+    for r in pages.collect():
+        article = re.search(r"<article>(.*?)(</article>|\Z)", r.html, re.DOTALL).group(1)
+        parts = [" ".join(html_module.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br>", " ", x))).split()) for x in re.split(r"</?(?:p|h1)>", article)]
+        assert got[r.page_id] == "\n\n".join(x for x in parts if x), r.page_id
+    assert len(got) == 250
+
+
+def test_layouts_not_trained_on(chain):
+    rng = random.Random(99)
+    right = total = 0
+    for _ in range(20):
+        for page, label in hx._layouts(rng, list(hx.FILLER[:3]), list(hx.FILLER[3:])):
+            found = blocks(page)
+            if len(found) != len(label):
+                continue
+            text = hx.main_text([page], chain)[0].split("\n\n")
+            want = [b.text for b, y in zip(found, label) if y == hx.MAIN]
+            right += text == want
+            total += 1
+    assert total > 200 and right / total > 0.8
+
+
+PAGE = """<html><head><title>T</title></head><body>
+<header class="site-header"><a href="/">Home</a></header><nav><a href="/a">Menu entry</a></nav>
+<div class="cookie-banner">We use cookies.<button>OK</button></div>
+<main><article><h1>A flood</h1><p>The river rose slowly in the night, and by morning the fields were under water.</p>
+<aside class="related">Related: another flood</aside>
+<p>Nobody had expected it so early in the year; the sluices had not been opened.</p></article></main>
+<section id="comments"><h3>Comments</h3><p>First! What a story, I was there and saw it all myself.</p></section>
+<form><label>Search</label><input name=q></form>
+<footer><p>&copy; 2020 Somebody</p></footer></body></html>"""
+
+
+def test_a_page_of_another_site(chain):
+    want = "A flood\n\nThe river rose slowly in the night, and by morning the fields were under water.\n\nNobody had expected it so early in the year; the sluices had not been opened."
+    assert hx.main_text([PAGE], chain) == [want]
+
+
+def test_null_blank_and_repeated_pages_and_empty_tables(spark, chain):
+    schema = "page_id long, url string, html string"
+    rows = [(1, None, None), (2, "u", ""), (None, "u", "<p> </p>"), (4, "u", PAGE), (4, "u", PAGE)]
+    got = hx.op5_html_extract(spark.createDataFrame(rows, schema).selectExpr("*", "'x' AS text", "1 AS n_chars")).collect()
+    assert [r.n_chars for r in got] == [len(r.text) for r in got]
+    assert sorted(r.text for r in got)[:3] == ["", "", ""] and len(got) == 5
+    assert hx.op5_html_extract(spark.createDataFrame([], schema)).count() == 0
+    one = hx.extract(spark.createDataFrame(rows[3:4], schema), chain).first().text
+    assert one.startswith("A flood\n\n")
+
+
+def test_training_is_repeatable():
+    a = hx.training_pages([PAGE])
+    b = hx.training_pages([PAGE])
+    assert all((x == u).all() and (y == v).all() for (x, y), (u, v) in zip(a, b)) and len(a) > 100
+    assert all(set(np.unique(y)) <= {0, 1} for _, y in a)

@@ -1,0 +1,124 @@
+"""Round trips through the tokenizer, and valid, tight sequences."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_fixtures import SCHEMA, nothing, odd, odd_rows, prose, rows_from  # noqa: F401
+
+from strata.llm import packing, tokens
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_str(tokens.vocabulary())
+    t.encode_special_tokens = True
+    return t
+
+
+_piece = st.sampled_from(
+    ["word", " ", "  ", "\n", "\n\n", "\t", " x", "é", "É 1", "'s", "'ll", " 't", "12", " 345", "!?", " (", " ", " ", "　", "ß", "語", "\U0001f600", "\x85", "\x1f", "<|endoftext|>", "×", "á", "\r\n", "don't", " \n", "\n "]
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(_piece, max_size=14).map("".join), min_size=1, max_size=4))
+def test_pieces_give_the_ids_of_whole_texts(tokenizer, texts):
+    encoder = tokens.Encoder.of(tokens.vocabulary())
+    [(_, ids, at)] = list(encoder.encode_column(pa.array(texts)))
+    assert [ids[s:e].tolist() for s, e in zip(at[:-1], at[1:])] == [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_a_full_table_starts_anew(tokenizer, monkeypatch):
+    rng = random.Random(2)
+    encoder = tokens.Encoder(tokens.vocabulary())
+    monkeypatch.setattr(tokens, "STORE_IDS", 50)
+    for _ in range(5):
+        texts = [prose(rng, 30) + str(rng.random()) for _ in range(5)]
+        [(_, ids, at)] = list(encoder.encode_column(pa.array(texts)))
+        assert [ids[s:e].tolist() for s, e in zip(at[:-1], at[1:])] == [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 16), max_size=60))
+def test_best_fit_takes_the_fullest_bin_that_fits(sizes):
+    bins, offsets, fill = packing.best_fit(np.array(sizes, dtype=np.int64), 16)
+    expected = []
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        fit = [f for f in expected if f[0] + sizes[i] <= 16]
+        best = max(fit, key=lambda f: f[0]) if fit else None
+        if best is None:
+            expected.append([sizes[i]])
+        else:
+            best[0] += sizes[i]
+    assert sorted(fill.tolist()) == sorted(f[0] for f in expected)
+    for b in range(len(fill)):
+        mine = sorted((int(offsets[i]), sizes[i]) for i in np.flatnonzero(bins == b))
+        assert [o for o, _ in mine] == [sum(s for _, s in mine[:k]) for k in range(len(mine))]
+        assert sum(s for _, s in mine) == fill[b] <= 16
+
+
+def check(rows, ids_of, capacity):
+    """All pieces of all documents, each sequence gapless and within capacity; the number of sequences."""
+    per_doc, per_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        per_doc[r.doc_id].append((r.piece, r.start, r.length, r.ids_crc32))
+        per_sequence[r.sequence_id].append((r.offset, r.length))
+    assert set(per_doc) == set(ids_of)
+    for doc, ids in ids_of.items():
+        n = len(ids)
+        head = n if n <= capacity else n % capacity or capacity
+        starts = [0, *range(head, n, capacity)]
+        cuts = list(zip(starts, [*starts[1:], n]))
+        want = [(k, s, e - s, zlib.crc32(np.array(ids[s:e], dtype="<u4").tobytes())) for k, (s, e) in enumerate(cuts)]
+        assert sorted(per_doc[doc]) == want, doc
+    for places in per_sequence.values():
+        places.sort()
+        assert [o for o, _ in places] == [sum(x for _, x in places[:k]) for k in range(len(places))]
+        assert sum(x for _, x in places) <= capacity
+    return len(per_sequence)
+
+
+@pytest.mark.parametrize("capacity, partitions", [(1024, 1), (1024, 9), (64, 5), (7, 3)])
+def test_packs_every_id_once_and_tightly(spark, tokenizer, capacity, partitions):
+    rng = random.Random(capacity)
+    texts = [prose(rng, rng.choice([0, 1, 5, 40, 200, 900])) for _ in range(150)] + [None, ""]
+    docs = spark.createDataFrame(rows_from(texts), SCHEMA).repartition(partitions, "doc_id")
+    ids = {k: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for k, t in enumerate(texts)}
+    rows = packing.pack(docs, capacity=capacity, slack=2).collect()
+    bound = -(-sum(map(len, ids.values())) // capacity)
+    assert check(rows, ids, capacity) <= bound * 1.04 + 1
+
+
+def test_underfull_bins_of_many_partitions_are_merged(spark, tokenizer):
+    """One short document per partition: apart, each would be a sequence of its own."""
+    rng = random.Random(9)
+    texts = [prose(rng, 20) for _ in range(40)]
+    ids = {k: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for k, t in enumerate(texts)}
+    docs = spark.createDataFrame(rows_from(texts), SCHEMA).repartitionByRange(40, "doc_id")
+    bound = -(-sum(map(len, ids.values())) // 1024)
+    for group_rows in (50_000, 8):
+        rows = packing.pack(docs, group_rows=group_rows).collect()
+        assert check(rows, ids, 1024) <= (bound + 1 if group_rows > 40 else 20)
+
+
+def test_ids_come_along_if_wanted(spark, tokenizer):
+    texts = ["one two three", None, "four " * 2000]
+    rows = packing.pack(spark.createDataFrame(rows_from(texts), SCHEMA), with_ids=True).collect()
+    for k, t in enumerate(texts):
+        mine = sorted((r.piece, r.ids) for r in rows if r.doc_id == k)
+        assert [i for _, x in mine for i in x] == [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
+
+
+def test_odd_rows_and_an_empty_table(spark, odd, nothing):
+    rows = packing.op6_best_fit_packing(odd).collect()
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+    assert sum(r.piece == 0 for r in rows) == len(odd_rows())
+    assert packing.op6_best_fit_packing(nothing).count() == 0
