@@ -409,7 +409,7 @@ def linked(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = checkpointed(banded.select("key", "node").join(buckets, "key"))
     involved = members.select("node").distinct()
     # One text of each node in a shared bucket, as a weighted set.
-    one = rows.join(involved, "node").groupBy("node").agg(F.min(F.struct("doc_id", "k")).alias("r"))
+    one = rows.groupBy("node").agg(F.min(F.struct("doc_id", "k")).alias("r")).join(involved, "node")
     text = keyed.join(one, keyed["doc_id"].eqNullSafe(one["r"]["doc_id"]) & (keyed["k"] == one["r"]["k"]))
     sets = text.select("node", "text").mapInArrow(_sets, "node binary, h binary, w binary").dropDuplicates(["node"])
     edges = (
@@ -424,11 +424,14 @@ def linked(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 def classes(documents: DataFrame) -> DataFrame:
     """One row per row of ``documents``: doc_id, k (hash of the text), class_id, n_class (rows), kept."""
     rows, found = linked(documents)
-    named = rows.join(found, "node", "left").select("doc_id", "k", F.coalesce("component", "node").alias("class"))
     place = F.struct(F.isnull("doc_id").alias("n"), F.col("doc_id"), F.col("k"))
-    heads = named.groupBy("class").agg(F.min(place).alias("head"), F.count(F.lit(1)).alias("n_class"))
-    return named.join(heads, "class").select(
-        "doc_id", "k", F.col("head.doc_id").alias("class_id"), "n_class", (place == F.col("head")).alias("kept")
+    # Copies are folded into their node before anything is joined.
+    nodes = rows.groupBy("node").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"))
+    named = nodes.join(found, "node", "left").withColumn("class", F.coalesce("component", "node"))
+    heads = named.groupBy("class").agg(F.min("first").alias("head"), F.sum("copies").alias("n_class"))
+    return (
+        rows.join(named.join(heads, "class").select("node", "head", "n_class"), "node")
+        .select("doc_id", "k", F.col("head.doc_id").alias("class_id"), "n_class", (place == F.col("head")).alias("kept"))
     )
 
 
