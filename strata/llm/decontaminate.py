@@ -7,8 +7,10 @@ of the same lengths and looked up; each hit is verified against the item's
 words themselves, so a hash collision changes nothing.
 
 The set is broadcast only within a proven bound: the items' total size is
-measured first, and items beyond ``block_bytes`` are dealt over several blocks,
-each broadcast for a scan of its own, whose hits are merged per document.
+measured first, and items beyond ``block_bytes`` are dealt over several blocks.
+Each is read, broadcast (about six bytes for a byte of text) and scanned for in
+a pass of its own, whose hits are written before the next block is read; then
+they are merged per document. The driver holds one block at a time.
 
 Defined cases: a null or wordless document has no words and no hits; a null or
 wordless item has no windows; an item without id counts as item ``""``; items
@@ -18,8 +20,6 @@ further columns of the inputs are ignored.
 
 from __future__ import annotations
 
-import pickle
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,56 +28,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import arrays
-from strata.llm.session import same_columns, ship_code
+from strata.llm.session import checkpointed, same_columns, ship_code
 
 WINDOW = 10
-BLOCK_BYTES = 32 << 20
-WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+BLOCK_BYTES = 8 << 20
 FILTER_BITS = 22
 
 
 class WindowSet:
-    """The windows of some items: length -> hash -> [(words, item index), ...]."""
+    """The windows of some items: the items' words, and per window length their hashes, sorted, with their places."""
 
     def __init__(self, items: list[tuple[str, str]], window: int):
-        self.ids = sorted({i for i, _ in items})
-        number = {i: k for k, i in enumerate(self.ids)}
-        found: dict[int, dict[bytes, set[int]]] = {}
-        for item, text in items:
-            words = WORD.findall(text.lower().encode() if text.isascii() else _lower(text))
-            n = min(window, len(words))
-            for k in range(len(words) - n + 1 if n else 0):
-                found.setdefault(n, {}).setdefault(b" ".join(words[k : k + n]), set()).add(number[item])
+        self.ids = [i for i, _ in items]
+        self.words = arrays.Words(*arrays.texts(pa.array([t for _, t in items], pa.string())))
+        h, count = self.words.hashes(), self.words.count
         self.tables = {}
-        for n, windows in found.items():
-            column = pa.array([w.decode() for w in windows])
-            w = arrays.Words(*arrays.texts(column))
-            hashes = arrays.roll(w.hashes(), n)[w.first[:-1]]
-            by_hash: dict[int, list[tuple[bytes, list[int]]]] = {}
-            for h, (words, who) in zip(hashes.tolist(), windows.items()):
-                by_hash.setdefault(h, []).append((words, sorted(who)))
-            known = np.sort(np.array(list(by_hash), dtype=np.uint64))
+        for n in sorted({min(window, c) for c in count.tolist()} - {0}):
+            rolled = arrays.roll(h, n)
+            if n == window:
+                at = np.flatnonzero(arrays.in_one_text(self.words.doc, n))
+            else:
+                at = self.words.first[:-1][count == n]
+            at = at[np.argsort(rolled[at], kind="stable")]
+            known = rolled[at]
             bits = np.zeros(1 << FILTER_BITS, dtype=bool)
             bits[(known >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-            self.tables[n] = (known, bits, by_hash)
+            self.tables[n] = (known, at, bits)
 
 
-def _lower(text: str) -> bytes:
-    return arrays.LOWER[np.frombuffer(text.encode(), dtype=np.uint8)].tobytes()
-
-
-def hits(w: arrays.Words, windows: WindowSet) -> Iterator[tuple[int, int, int, list[int]]]:
+def hits(w: arrays.Words, windows: WindowSet) -> Iterator[tuple[int, int, int, set[str]]]:
     """(document, first word, number of words, items) of each verified occurrence."""
     words = w.hashes()
-    for n, (known, bits, by_hash) in windows.tables.items():
+    for n, (known, places, bits) in windows.tables.items():
         h = arrays.roll(words, n)
         maybe = np.flatnonzero(bits[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] & arrays.in_one_text(w.doc, n))
-        place = np.minimum(np.searchsorted(known, h[maybe]), len(known) - 1)
-        for i in maybe[known[place] == h[maybe]].tolist():
+        lo, hi = (np.searchsorted(known, h[maybe], side=side) for side in ("left", "right"))
+        found: dict[bytes, set[str]] = {}  # by the words themselves
+        for k in np.flatnonzero(hi > lo).tolist():
+            i = int(maybe[k])
             text = w.text(i, n)
-            for same, items in by_hash[int(h[i])]:
-                if same == text:
-                    yield int(w.doc[i]), i - int(w.first[w.doc[i]]), n, items
+            if text not in found:
+                same = [p for p in places[lo[k] : hi[k]].tolist() if windows.words.text(p, n) == text]
+                found[text] = {windows.ids[windows.words.doc[p]] for p in same}
+            if found[text]:
+                yield int(w.doc[i]), i - int(w.first[w.doc[i]]), n, found[text]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -96,31 +90,61 @@ def scan(column: pa.Array, windows: WindowSet) -> Iterator[tuple[int, list[tuple
     for lo, hi, data, at in arrays.chunks(column):
         w = arrays.Words(data, at)
         spans: dict[int, list[tuple[int, int]]] = {}
-        items: dict[int, set[int]] = {}
+        items: dict[int, set[str]] = {}
         for doc, first, n, who in hits(w, windows):
             spans.setdefault(doc, []).append((first, first + n))
             items.setdefault(doc, set()).update(who)
         for doc in range(hi - lo):
-            yield int(w.count[doc]), merged(spans.get(doc, [])), sorted(windows.ids[k] for k in items.get(doc, ())), w, doc
+            yield int(w.count[doc]), merged(spans.get(doc, [])), sorted(items.get(doc, ())), w, doc
 
 
-def blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[WindowSet]:
-    """The items' windows in sets made from at most about ``block_bytes`` of text each.
+class Blocks:
+    """The items' windows in sets made from about ``block_bytes`` of text each, read one at a time.
 
-    Only a block at a time is on the driver. (A single item longer than a block
-    is a block by itself.)
+    Items are dealt over the blocks by a hash; a single item longer than a block
+    is still whole.
     """
-    items = benchmark.select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").alias("words")
-    ).where("words IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    n = -(-size // max(1, block_bytes // 2))
-    for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("item", "words"), F.lit(n)) == k) if n > 1 else items
-        yield WindowSet([tuple(r) for r in part.collect()], window)
 
+    def __init__(self, benchmark: DataFrame, window: int, block_bytes: int):
+        self.window = window
+        self.items = benchmark.select(
+            F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").alias("words")
+        ).where("words IS NOT NULL")
+        size = self.items.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+        self.count = 1 if size <= block_bytes else -(-size // max(1, block_bytes // 2))
+
+    def __iter__(self) -> Iterator[WindowSet]:
+        for k in range(self.count):
+            part = self.items.where(F.pmod(F.xxhash64("item", "words"), F.lit(self.count)) == k) if self.count > 1 else self.items
+            yield WindowSet([tuple(r) for r in part.collect()], self.window)
+
+
+PAIRS = "array<struct<s:long,e:long>>"
+# Sorted spans to disjoint ones that cover the same words.
+UNION = (
+    f"aggregate(array_sort(flatten(collect_list(spans))), cast(array() as {PAIRS}), (a, x) -> "
+    "CASE WHEN size(a) > 0 AND element_at(a, -1).e >= x.s THEN concat(slice(a, 1, size(a) - 1), "
+    "array(named_struct('s', element_at(a, -1).s, 'e', greatest(element_at(a, -1).e, x.e)))) ELSE concat(a, array(x)) END)"
+)
+
+
+def _hits_of_blocks(documents: DataFrame, sets: Blocks) -> DataFrame:
+    """doc_id, k (hash of the text), spans, items of the documents with a hit; each block's pass is written down."""
+    spark = documents.sparkSession
+    slim = documents.select("doc_id", "text", F.xxhash64("text").alias("k"))
+    kind = slim.schema["doc_id"].dataType.simpleString()
+    found = None
+    for windows in sets:
+        run, shared = _scanner(spark, windows, ("doc_id", "k"))
+        part = checkpointed(slim.mapInArrow(run, f"doc_id {kind}, k long, {FOUND}").where("size(spans) > 0"))
+        shared.destroy()
+        found = part if found is None else found.unionByName(part)
+    # Rows that agree in id and text have the same hits: merging makes them one.
+    items = F.array_sort(F.array_distinct(F.flatten(F.collect_list("items"))))
+    return checkpointed(found.groupBy("doc_id", "k").agg(F.expr(UNION).alias("spans"), items.alias("items")))
 
-FOUND = "n_words long, spans array<struct<s:long,e:long>>, items array<string>"
+
+FOUND = f"n_words long, spans {PAIRS}, items array<string>"
 
 
 def contamination(
@@ -128,55 +152,44 @@ def contamination(
 ) -> DataFrame:
     """doc_id, n_words, spans (merged word spans hit, end exclusive), items (ids, sorted).
 
-    One block of items (the usual case): one narrow pass over the documents,
-    no shuffle. Several: a pass each, merged by document row.
+    One block of items (the usual case): one narrow pass over the documents, no
+    shuffle. Several: a pass each, and their hits joined to the documents.
     """
     spark = documents.sparkSession
     ship_code(spark)
     slim = documents.select("doc_id", "text")
     kind = slim.schema["doc_id"].dataType.simpleString()
-    sets = list(blocks(benchmark, window, block_bytes)) or [WindowSet([], window)]
-    if len(sets) == 1:
-        return slim.mapInArrow(_scanner(spark, sets[0]), f"doc_id {kind}, {FOUND}")
-    # Rows that agree in id and text have the same hits: one result, repeated by their number.
-    keyed = slim.withColumn("k", F.xxhash64("text"))
-    rows = keyed.groupBy("doc_id", "k", "text").agg(F.count(F.lit(1)).alias("copies"))
-    found = None
-    for s in sets:
-        part = rows.mapInArrow(_scanner(spark, s, ("doc_id", "k", "copies")), f"doc_id {kind}, k long, copies long, {FOUND}")
-        found = part if found is None else found.unionByName(part)
-    merged_spans = F.expr(
-        "aggregate(array_sort(flatten(collect_list(spans))), cast(array() as array<struct<s:long,e:long>>), (a, x) -> "
-        "CASE WHEN size(a) > 0 AND element_at(a, -1).e >= x.s THEN concat(slice(a, 1, size(a) - 1), "
-        "array(named_struct('s', element_at(a, -1).s, 'e', greatest(element_at(a, -1).e, x.e)))) ELSE concat(a, array(x)) END)"
+    sets = Blocks(benchmark, window, block_bytes)
+    if sets.count == 1:
+        return slim.mapInArrow(_scanner(spark, next(iter(sets)))[0], f"doc_id {kind}, {FOUND}")
+    found = _hits_of_blocks(documents, sets)
+    counted = slim.withColumn("k", F.xxhash64("text")).mapInArrow(
+        _scanner(spark, WindowSet([], window), ("doc_id", "k"))[0], f"doc_id {kind}, k long, {FOUND}"
     )
-    return (
-        found.groupBy("doc_id", "k", "copies")
-        .agg(
-            F.max("n_words").alias("n_words"),
-            merged_spans.alias("spans"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        )
-        .withColumn("again", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select("doc_id", "n_words", "spans", "items")
+    same = counted["doc_id"].eqNullSafe(found["doc_id"]) & (counted["k"] == found["k"])
+    return counted.join(found, same, "left").select(
+        counted["doc_id"],
+        "n_words",
+        F.coalesce(found["spans"], counted["spans"]).alias("spans"),
+        F.coalesce(found["items"], counted["items"]).alias("items"),
     )
 
 
 def _scanner(spark: SparkSession, windows: WindowSet, keep: tuple[str, ...] = ("doc_id",)):
-    shared = spark.sparkContext.broadcast(pickle.dumps(windows))
+    """(the function for mapInArrow, the broadcast it reads)."""
+    shared = spark.sparkContext.broadcast(windows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pickle.loads(shared.value)
         pair = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
         for batch in batches:
-            found = [(n, [{"s": s, "e": e} for s, e in spans], items) for n, spans, items, _, _ in scan(batch["text"], known)]
+            found = [(n, [{"s": s, "e": e} for s, e in spans], items) for n, spans, items, _, _ in scan(batch["text"], shared.value)]
             n, spans, items = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [*(batch[c] for c in keep), pa.array(n, pa.int64()), pa.array(spans, pair), pa.array(items, pa.list_(pa.string()))],
                 [*keep, "n_words", "spans", "items"],
             )
 
-    return run
+    return run, shared
 
 
 def decontaminated(
@@ -186,28 +199,47 @@ def decontaminated(
 
     remove="documents" drops each document with a hit; "spans" cuts the hit
     words (from the first hit word to the end of the last one) out of the text
-    and sets n_chars anew where there is such a column. Each block of items is
-    one more narrow pass, so nothing is shuffled.
+    and sets n_chars anew where there is such a column. With one block of items
+    this is one narrow pass; with several, the hits are joined to the documents.
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove must be 'documents' or 'spans'")
     spark = documents.sparkSession
     ship_code(spark)
-    out = documents
-    for windows in blocks(benchmark, window, block_bytes):
-        out = same_columns(out, _cutter(spark, windows, remove, documents.columns))
-    return out
+    sets = Blocks(benchmark, window, block_bytes)
+    names = documents.columns
+    if sets.count == 1:
+        shared = spark.sparkContext.broadcast(next(iter(sets)))
+        return same_columns(documents, _cutter(names, remove, lambda batch: scan(batch.column(names.index("text")), shared.value)))
+    found = _hits_of_blocks(documents, sets)
+    row, k = F.struct(*[F.col(f"`{c}`") for c in names]), F.xxhash64("text")
+    rows = documents.select(row.alias("_strata_row"), k.alias("_strata_k"))
+    same = rows["_strata_row"]["doc_id"].eqNullSafe(found["doc_id"]) & (rows["_strata_k"] == found["k"])
+    if remove == "documents":
+        out = rows.join(found, same, "left_anti")
+        return out.select(*[F.col(f"_strata_row.`{c}`").alias(c) for c in names])
+    spans = F.coalesce("spans", F.expr(f"cast(array() as {PAIRS})")).alias("_strata_spans")
+    out = rows.join(found, same, "left").select(*[F.col(f"_strata_row.`{c}`").alias(c) for c in names], spans)
+    return same_columns(out, _cutter([*names, "_strata_spans"], remove, lambda batch: _given(batch, names.index("text")))).drop("_strata_spans")
+
+
+def _given(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[int, list[tuple[int, int]], list[str], arrays.Words, int]]:
+    """Like ``scan``, with the spans of the batch's last column."""
+    spans = batch.column(batch.num_columns - 1).to_pylist()
+    for lo, hi, data, at in arrays.chunks(batch.column(text_at)):
+        w = arrays.Words(data, at)
+        for doc in range(hi - lo):
+            yield int(w.count[doc]), [(x["s"], x["e"]) for x in spans[lo + doc]], [], w, doc
 
 
-def _cutter(spark: SparkSession, windows: WindowSet, remove: str, columns: list[str]):
-    shared = spark.sparkContext.broadcast(pickle.dumps(windows))
+def _cutter(columns: list[str], remove: str, find):
+    """The function that drops hit documents, or cuts hit words; ``find`` yields each row's hits as ``scan`` does."""
     text_at = columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pickle.loads(shared.value)
         for batch in batches:
             clean, cut = [], {}
-            for row, (_, spans, _, w, doc) in enumerate(scan(batch.column(text_at), known)):
+            for row, (_, spans, _, w, doc) in enumerate(find(batch)):
                 clean.append(not spans)
                 if spans and remove == "spans":
                     text, base, first = batch.column(text_at)[row].as_py().encode(), int(w.at[doc]), int(w.first[doc])

@@ -72,7 +72,7 @@ def test_equals_brute_force(spark, seed):
 
 def test_items_beyond_a_block_are_scanned_in_several_passes(spark):
     docs, items = corpus(4)
-    assert len(list(dc.blocks(spark.createDataFrame(items, "item_id long, text string"), 10, 500))) > 3
+    assert dc.Blocks(spark.createDataFrame(items, "item_id long, text string"), 10, 500).count > 3
     assert got(spark, docs, items, block_bytes=500) == brute(docs, items)
 
 
@@ -101,6 +101,12 @@ def test_documents_or_spans_are_removed(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3]
     cut = {r.doc_id: (r.text, r.n_chars) for r in dc.decontaminated(docs, bench, remove="spans").collect()}
     assert cut == {0: ("Before. ! After.", 16), 1: (texts[1], len(texts[1])), 2: (None, None), 3: ("", 0)}
+    many = spark.createDataFrame([(1, item), (2, "nothing of it stands anywhere here"), (3, "zz zz")], "item_id long, text string")
+    assert dc.Blocks(many, 10, 20).count > 2
+    for remove in ("documents", "spans"):
+        a = dc.decontaminated(docs, many, remove=remove, block_bytes=20)
+        b = dc.decontaminated(docs, many, remove=remove)
+        assert a.schema == b.schema == docs.schema and sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
     with pytest.raises(ValueError):
         dc.decontaminated(docs, bench, remove="everything")
 
