@@ -56,8 +56,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 K, BANDS, ROWS = 128, 25, 5
 # An estimate over K coordinates is below this for a pair of similarity 0.8
-# with probability 1e-5 (four standard deviations).
-RULED_OUT = 0.66
+# with probability 1.4e-6.
+RULED_OUT = 0.62
 BLOCK, BLOCK_BYTES = 1024, 32 << 20
 U64 = np.uint64
 
