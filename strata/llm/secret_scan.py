@@ -2,10 +2,10 @@
 
 Base spans are the patterns' matches (leftmost, not overlapping, per kind);
 they are always reported. The CRF learns from them: a sample of ``TRAIN_DOCS``
-documents (spread by a hash of their rows) gives labelled windows around base
-secrets and around other unusual tokens, each secret also once with its
-neighbours hidden, so that the shape of a secret counts without a keyword
-before it. Its features are a token's shape (length, character sets, switches
+documents (spread by a hash of their rows) gives ``TRAIN_WINDOWS`` labelled
+windows around base secrets and as many around other unusual tokens, each secret
+also once with its neighbours hidden, so that the shape of a secret counts
+without a keyword before it. Its features are a token's shape (length, character sets, switches
 between letters and digits), its first bytes, the neighbouring words, and what
 the file contains. Whole texts are then decoded by Viterbi; a tagged span that
 meets no base span is reported as kind ``crf``.
@@ -39,7 +39,7 @@ HEX = re.compile(rb"[0-9a-f]+")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 KEYWORDS = ("password", "passwd", "pwd", "secret", "token", "api", "key", "apikey", "api_key", "auth", "bearer", "credential", "access", "private")
-TRAIN_DOCS = 20_000
+TRAIN_DOCS, TRAIN_WINDOWS = 20_000, 1_000
 WINDOW, AROUND = 24, 11
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 U64 = np.uint64
@@ -207,11 +207,8 @@ def train(documents: DataFrame, train_docs: int = TRAIN_DOCS) -> crf.Chain | Non
     secret = (tags > 0).any(axis=1)
     if not secret.any():
         return None
-    # Windows without secrets are many and alike: 4,000 of them, evenly taken, stand for all.
-    plain = np.flatnonzero(~secret)
-    plain = plain[:: max(1, len(plain) // 4000)]
-    held = np.flatnonzero(secret)
-    held = held[:: max(1, len(held) // 4000)]
+    # The windows are many and alike: TRAIN_WINDOWS of either kind, evenly taken, stand for all.
+    plain, held = (x[:: -(-len(x) // TRAIN_WINDOWS) or 1] for x in (np.flatnonzero(~secret), np.flatnonzero(secret)))
     hidden = ids[held].copy()
     for slot in (4, 5, 6, 7):
         hidden[:, :, slot] = OFFSETS[slot]
