@@ -62,7 +62,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.money import net_revenue_sql, report_amount_sql
-from strata.sources.tables import read_table
+from strata.sources.tables import read_tables
 
 # Output columns, in order.
 COLUMNS = ("r_name", "n_name", "n_lines", "revenue")
@@ -158,10 +158,7 @@ def _instant(value: str | dt.date) -> dt.datetime:
 
 def revenue_by_region_from(spark: SparkSession, root: str, **kwargs) -> DataFrame:
     """``revenue_by_region`` over the tables stored under ``root``."""
-    tables = {
-        name: read_table(spark, root, name)
-        for name in ("lineitem", "orders", "customer", "nation", "region")
-    }
+    tables = read_tables(spark, root, ("lineitem", "orders", "customer", "nation", "region"))
     return revenue_by_region(**tables, **kwargs)
 
 

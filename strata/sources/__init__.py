@@ -1,3 +1,3 @@
-from strata.sources.tables import SCHEMAS, SchemaMismatch, read_table
+from strata.sources.tables import SCHEMAS, SchemaMismatch, read_table, read_tables
 
-__all__ = ["SCHEMAS", "SchemaMismatch", "read_table"]
+__all__ = ["SCHEMAS", "SchemaMismatch", "read_table", "read_tables"]
