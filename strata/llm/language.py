@@ -3,9 +3,14 @@
 Training counts, per language, every byte after its three preceding bytes over
 all training texts (a text starts after three zero bytes): the context tree of
 depth three, whose shorter contexts are its marginals. The counts are made in
-the tasks and summed with map-side partial sums; what reaches the driver is the
-tree, pruned to contexts seen often enough that at most ``MAX_NODES`` leaves
-remain, whatever the corpus.
+the tasks and summed with map-side partial sums. Every counted context is kept.
+
+The tree is broadcast only within a proven bound: its size is measured first,
+and beyond ``BLOCK_CELLS`` it is dealt over blocks by the two bytes before a
+byte (a single such pair is never split). Each block is read, broadcast and
+scored with in a pass of its own, whose code lengths are written before the next
+block is read; then they are summed per document. The driver holds one block at
+a time, and the counts of two bytes (at most 65,536 for a language).
 
 Frozen statistics then give every byte an exact probability (PPM, escape method
 C, with exclusion): in a context with n bytes seen, d of them different, a seen
@@ -30,13 +35,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import arrays
 from strata.llm.session import checkpointed, ship_code
 
-MAX_NODES = 200_000
+BLOCK_CELLS = 1 << 22  # of a block's table: listed grams times languages
+PAIRS = 1 << 16  # contexts of two bytes
 UNDETERMINED = "und"
 FOLDS, HELD_OUT = 5, 0
 _LETTER = re.compile(r"[^\W\d_]")
@@ -72,24 +78,30 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Code lengths in bits under frozen context trees, for all languages side by side."""
+    """Code lengths in bits under frozen context trees, for all languages side by side.
+
+    ``counts`` holds each language's grams and their counts. A block of a larger
+    tree has the grams whose two middle bytes are in ``span``, and ``pairs``, the
+    counts of two bytes in the whole tree; it scores the bytes after such a pair.
+    """
 
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
-        self.languages = sorted(counts)
+    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]], pairs: dict[str, tuple[np.ndarray, np.ndarray]] | None = None, span: tuple[int, int] = (0, PAIRS)):
+        self.languages, self.span = sorted(counts if pairs is None else pairs), span
         parts: dict[str, list[np.ndarray]] = {k: [] for k in ("bits2", "bits3", "bits4", "escape2", "escape3")}
-        four = {lang: _summed(*counts[lang]) for lang in self.languages}
-        three = {lang: _summed(g & np.uint32(0xFFFFFF), n) for lang, (g, n) in four.items()}
         none = np.zeros(0, dtype=np.uint32)
+        four = {lang: _summed(*counts.get(lang, (none, none))) for lang in self.languages}
+        three = {lang: _summed(g & np.uint32(0xFFFFFF), n) for lang, (g, n) in four.items()}
         self.u4 = np.unique(np.concatenate([none, *(g for g, _ in four.values())]))
         self.u3 = np.unique(np.concatenate([none, *(g for g, _ in three.values())]))
         self.contexts = np.unique(self.u4 >> np.uint32(8))
         suffix = np.searchsorted(self.u3, self.u4 & np.uint32(0xFFFFFF))
         for lang in self.languages:
             g3, n3 = three[lang]
-            byte = np.bincount(g3 & np.uint32(255), weights=n3, minlength=256)
+            g2, n2 = (g3, n3) if pairs is None else pairs[lang]
+            byte = np.bincount(g2 & np.uint32(255), weights=n2, minlength=256)
             p1 = _blend(byte[None, :], np.full((1, 256), 1 / 256))[0]
             pair = np.zeros((256, 256))
-            np.add.at(pair, ((g3 >> np.uint32(8)) & np.uint32(255), g3 & np.uint32(255)), n3)
+            np.add.at(pair, ((g2 >> np.uint32(8)) & np.uint32(255), g2 & np.uint32(255)), n2)
             p2 = _blend(pair, np.broadcast_to(p1, (256, 256)))
             # Context of two bytes, then of three: only the known bytes of a context are listed.
             low = self.u3 & np.uint32(0xFFFF)
@@ -159,7 +171,15 @@ class Model:
         out = np.zeros((len(at) - 1, len(self.languages)))
         full = np.flatnonzero(np.diff(at) > 0)
         if len(full) and self.languages:
-            out[full] = np.add.reduceat(self.bits(grams(data, at)), at[full], axis=0, dtype=np.float64)
+            g = grams(data, at)
+            if self.span == (0, PAIRS):
+                bits = self.bits(g)
+            else:
+                pair = (g >> np.uint32(8)) & np.uint32(PAIRS - 1)
+                mine = (pair >= self.span[0]) & (pair < self.span[1])
+                bits = np.zeros((len(g), len(self.languages)), dtype=np.float32)
+                bits[mine] = self.bits(g[mine])
+            out[full] = np.add.reduceat(bits, at[full], axis=0, dtype=np.float64)
         return out
 
 
@@ -206,13 +226,31 @@ def _listed(grams_: np.ndarray, known: np.ndarray, n: np.ndarray, shorter: np.nd
     return np.where(count > 0, count / all_[context], factor[context] * shorter), factor
 
 
-def train(documents: DataFrame, max_nodes: int = MAX_NODES) -> Model:
-    """Context trees of all rows with a text and a lang; columns text, lang."""
+def counted(documents: DataFrame) -> DataFrame:
+    """lang, gram, n: the counts over all rows with a text and a lang, written to the shared folder."""
     ship_code(documents.sparkSession)
     texts = documents.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
-    counts = checkpointed(
+    return checkpointed(
         texts.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     )
+
+
+def _by_language(counts: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    rows = counts.select("lang", "gram", "n").toArrow()
+    grams_, n = rows["gram"].to_numpy().astype(np.uint32), rows["n"].to_numpy().astype(np.float64)
+    lang = rows["lang"].combine_chunks().dictionary_encode()
+    which = lang.indices.to_numpy()
+    return {name: (grams_[which == i], n[which == i]) for i, name in enumerate(lang.dictionary.to_pylist())}
+
+
+def train(documents: DataFrame, max_nodes: int | None = None) -> Model:
+    """The context trees of all rows with a text and a lang, in one piece; columns text, lang.
+
+    ``max_nodes``, where given, keeps at most so many leaves, the most frequent ones.
+    """
+    counts = counted(documents)
+    if max_nodes is None:
+        return Model(_by_language(counts))
     # The lowest count (a power of two) at which the tree fits.
     sizes = counts.groupBy(F.floor(F.log2("n")).alias("b")).count().collect()
     least, room = 0, max_nodes
@@ -221,14 +259,62 @@ def train(documents: DataFrame, max_nodes: int = MAX_NODES) -> Model:
         if room < 0:
             least = 2 ** (r["b"] + 1)
             break
-    kept = counts.where(F.col("n") >= least).toPandas()
-    return Model({lang: (x["gram"].to_numpy().astype(np.uint32), x["n"].to_numpy().astype(np.float64)) for lang, x in kept.groupby("lang")})
+    return Model(_by_language(counts.where(F.col("n") >= least)))
+
+
+class Blocks:
+    """The unpruned context trees of all rows with a text and a lang, as one ``Model`` after another."""
+
+    def __init__(self, documents: DataFrame, block_cells: int = BLOCK_CELLS):
+        self.counts = counted(documents)
+        pair = F.shiftright("gram", 8).bitwiseAND(F.lit(PAIRS - 1))
+        two = self.counts.groupBy("lang", F.col("gram").bitwiseAND(F.lit(PAIRS - 1)).alias("gram")).agg(F.sum("n").alias("n"))
+        self.pairs = _by_language(two)
+        self.languages = sorted(self.pairs)
+        self.counts = self.counts.withColumn("pair", pair)
+        sizes = self.counts.select("pair", "gram").distinct().groupBy("pair").count().collect()
+        self.spans, at, cells = [], 0, 0
+        for p, n in sorted((r["pair"], r["count"] * len(self.pairs)) for r in sizes):
+            if cells and cells + n > block_cells:
+                self.spans.append((at, p))
+                at, cells = p, 0
+            cells += n
+        self.spans.append((at, PAIRS))
+
+    def __iter__(self) -> Iterator[Model]:
+        for span in self.spans:
+            mine = self.counts.where((F.col("pair") >= span[0]) & (F.col("pair") < span[1]))
+            yield Model(_by_language(mine), self.pairs, span)
 
 
 def has_letter(text: bytes) -> bool:
     return bool(_ASCII_LETTER.search(text)) or not text.isascii() and bool(_LETTER.search(text.decode()))
 
 
+PREDICTED = "lang_pred string, score double, bits_per_byte double"
+
+
+def _verdicts(languages: list[str], bits: np.ndarray, length: list[int]) -> list[pa.Array]:
+    """The columns PREDICTED of texts with these code lengths; ``length`` is in bytes, 0 for a text without a letter."""
+    names, scores, rates = [], [], []
+    for k, n in enumerate(length):
+        if not languages or not n:
+            names.append(UNDETERMINED)
+            scores.append(0.0)
+            rates.append(None)
+            continue
+        best = int(bits[k].argmin())
+        names.append(languages[best])
+        scores.append(float(1 / np.exp2(np.maximum(bits[k, best] - bits[k], -1000)).sum()))
+        rates.append(float(bits[k, best] / n))
+    return [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())]
+
+
+def _lengths(data: np.ndarray, at: np.ndarray) -> list[int]:
+    texts = (data[s:e].tobytes() for s, e in zip(at[:-1], at[1:]))
+    return [len(t) if has_letter(t) else 0 for t in texts]
+
+
 def predict(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score (its posterior share among the languages), bits_per_byte. Reads only text."""
     spark = documents.sparkSession
@@ -239,34 +325,77 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            names, scores, rates = [], [], []
             for lo, hi, data, at in arrays.chunks(batch["text"]):
-                bits = m.code_lengths(data, at)
-                for k in range(hi - lo):
-                    text = data[at[k] : at[k + 1]].tobytes()
-                    if not m.languages or not has_letter(text):
-                        names.append(UNDETERMINED)
-                        scores.append(0.0)
-                        rates.append(None)
-                        continue
-                    best = int(bits[k].argmin())
-                    names.append(m.languages[best])
-                    scores.append(float(1 / np.exp2(np.maximum(bits[k, best] - bits[k], -1000)).sum()))
-                    rates.append(float(bits[k, best] / len(text)))
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())],
-                ["doc_id", "lang_pred", "score", "bits_per_byte"],
-            )
-
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, bits_per_byte double")
+                found = _verdicts(m.languages, m.code_lengths(data, at), _lengths(data, at))
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo), *found], ["doc_id", "lang_pred", "score", "bits_per_byte"])
+
+    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {PREDICTED}")
+
+
+def predict_in_blocks(documents: DataFrame, blocks: Blocks) -> DataFrame:
+    """What ``predict`` gives with the whole tree. One block (the usual case) is one narrow pass over the documents.
+
+    Several are a pass each; their code lengths meet per document (rows that
+    agree in doc_id and text have the same ones).
+    """
+    spark = documents.sparkSession
+    if len(blocks.spans) == 1:
+        return predict(documents, next(iter(blocks)))
+    ship_code(spark)
+    slim = documents.select("doc_id", F.xxhash64("text").alias("k"), "text")
+    kind, languages = slim.schema["doc_id"].dataType.simpleString(), blocks.languages
+
+    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, at in arrays.chunks(batch["text"]):
+                n = pa.array(_lengths(data, at), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo), batch["k"].slice(lo, hi - lo), n], ["doc_id", "k", "length"])
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.zeros((len(batch), len(languages)))
+            for i, parts in enumerate(batch["parts"].to_pylist()):
+                for x in sorted(parts or [], key=lambda x: x["block"]):
+                    bits[i] += x["bits"]
+            found = _verdicts(languages, bits, batch["length"].to_pylist())
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *found], ["doc_id", "lang_pred", "score", "bits_per_byte"])
+
+    parts = None
+    for number, model in enumerate(blocks):
+        run, shared = _scorer(spark, model)
+        mine = checkpointed(slim.mapInArrow(run, f"doc_id {kind}, k long, bits array<double>")).withColumn("block", F.lit(number))
+        shared.destroy()
+        parts = mine if parts is None else parts.union(mine)
+    total = (
+        parts.groupBy("doc_id", "k", "block")
+        .agg(F.first("bits").alias("bits"))
+        .groupBy("doc_id", "k")
+        .agg(F.collect_list(F.struct("block", "bits")).alias("parts"))
+    )
+    rows = slim.mapInArrow(lengths, f"doc_id {kind}, k long, length long")
+    same = rows["doc_id"].eqNullSafe(total["doc_id"]) & (rows["k"] == total["k"])
+    return rows.join(total, same, "left").select(rows["doc_id"], "length", "parts").mapInArrow(decide, f"doc_id {kind}, {PREDICTED}")
+
+
+def _scorer(spark: SparkSession, model: Model):
+    """(the function for mapInArrow that gives each row's code lengths under one block, the broadcast it reads)."""
+    shared = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, at in arrays.chunks(batch["text"]):
+                bits = pa.array(shared.value.code_lengths(data, at).tolist(), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo), batch["k"].slice(lo, hi - lo), bits], ["doc_id", "k", "bits"])
+
+    return run, shared
 
 
 def fold(doc_id: str = "doc_id") -> F.Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(FOLDS))
 
 
-def op4_language_id(documents: DataFrame) -> DataFrame:
-    model = train(documents.where(fold() != HELD_OUT))
-    return predict(documents, model).select(
+def op4_language_id(documents: DataFrame, block_cells: int = BLOCK_CELLS) -> DataFrame:
+    blocks = Blocks(documents.where(fold() != HELD_OUT), block_cells)
+    return predict_in_blocks(documents, blocks).select(
         "doc_id", F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out"), "lang_pred", "score", "bits_per_byte"
     )

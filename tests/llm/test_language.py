@@ -97,3 +97,28 @@ def test_odd_rows_and_empty_tables(spark, odd, nothing):
     assert language.op4_language_id(nothing).count() == 0
     unlabelled = odd.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")
     assert {r.lang_pred for r in language.op4_language_id(unlabelled).collect()} == {"und"}
+
+
+def test_no_counted_context_is_left_out(spark):
+    rng = random.Random(4)
+    signs = "".join(map(chr, range(33, 127)))
+    texts = ["".join(rng.choices(signs, k=5000)) for _ in range(50)]
+    docs = spark.createDataFrame([*rows_from(texts), (99, "été où", "fr", "s", 6)], SCHEMA)
+    u, n = counts_of(texts)
+    assert len(u) > 200_000
+    blocks = language.Blocks(docs)
+    grams, counts = language._by_language(blocks.counts)["en"]
+    assert dict(zip(grams.tolist(), counts)) == dict(zip(u.tolist(), n))
+    [model] = list(blocks)
+    assert set(model.u4.tolist()) == set(u.tolist()) | set(counts_of(["été où"])[0].tolist())
+
+
+def test_blocks_of_the_tree_give_what_the_whole_tree_gives(spark, odd):
+    docs = spark.read.parquet(str(TESTDATA / "sf0.001" / "documents.parquet"))
+    docs = docs.unionByName(odd.select(*docs.columns))
+    assert len(language.Blocks(docs, 30_000).spans) > 3
+
+    def rows(**kw):
+        return sorted((repr(r.doc_id), r.held_out, r.lang_pred, round(r.score, 6), r.bits_per_byte and round(r.bits_per_byte, 6)) for r in language.op4_language_id(docs, **kw).collect())
+
+    assert rows(block_cells=30_000) == rows()
