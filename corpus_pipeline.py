@@ -5,7 +5,9 @@ STAGES are applied in order, each on all that the one before it kept:
 1. quality classifier: documents that it rejects go;
 2. line dedup: later occurrences of repeated three-line windows are cut out;
 3. MinHash near-dedup: one document of each group of near copies stays;
-4. benchmark decontamination: documents that hold a test item's words go;
+4. benchmark decontamination: documents that hold a test item's words go; then
+   later occurrences of repeated windows of fifty words are cut out, which need
+   not be whole lines (after near-dedup, so that near copies are still alike there);
 5. best-fit packing: the token sequences.
 
 A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the
@@ -20,10 +22,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, line_dedup, near_dup, packing, quality
+from strata.llm import decontaminate, line_dedup, near_dup, packing, passages, quality
 from strata.llm.session import documents, shared_folder, table
 
 
+def _written(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
+    docs.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.good_documents(docs)
 
@@ -37,7 +44,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+    clean = decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+    # Written, since the search for passages reads its input several times.
+    return passages.cut_passages(_written(spark, clean, f"{shared_folder(spark)}/clean-{uuid.uuid4().hex}"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +71,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            path = f"{folder}/{k}-{name}"
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
+            docs = _written(spark, docs, f"{folder}/{k}-{name}")
     return docs
