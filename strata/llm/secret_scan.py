@@ -1,9 +1,10 @@
 """Secret scans: base patterns, and a linear-chain CRF that tags tokens as begin, inside or outside of a secret.
 
 Base spans are the patterns' matches (leftmost, not overlapping, per kind);
-they are always reported. The CRF learns from them: a sample of ``TRAIN_DOCS``
-documents (spread by a hash of their rows) gives ``TRAIN_WINDOWS`` labelled
-windows around base secrets and as many around other unusual tokens, each secret
+they are always reported. The CRF learns from them: all documents are labelled
+first; about ``TRAIN_DOCS`` of those with a base span give ``TRAIN_WINDOWS``
+labelled windows around base secrets, and about as many of all documents give as
+many around other unusual tokens (each sample by a hash of the rows), each secret
 also once with its neighbours hidden, so that the shape of a secret counts
 without a keyword before it. Its features are a token's shape (length, character sets, switches
 between letters and digits), its first bytes, the neighbouring words, and what
@@ -14,7 +15,7 @@ Tokens are runs of letters, digits, ``_`` and non-ASCII bytes, and runs of
 other visible characters. Offsets are code points, ends exclusive.
 
 Defined cases: a null text is empty and has no spans; without any base secret
-in the sample the CRF adds nothing; repeated rows are scanned one by one; other
+in the table the CRF adds nothing; repeated rows are scanned one by one; other
 columns are ignored.
 """
 
@@ -167,36 +168,71 @@ def labels(t: Tokens) -> np.ndarray:
     return tags
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Labelled windows of WINDOW tokens: around secrets, around unusual tokens, and from the text's start."""
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's hash, and whether its text has a base span."""
     for batch in batches:
-        for _, hi_, data, at in arrays.chunks(batch["text"]):
-            t = Tokens(data, at)
-            ids, tags = features(t), labels(t)
-            unusual = np.flatnonzero((tags == BEGIN) | ((ids[:, 3] - OFFSETS[3] == 5) & (t.end - t.start >= 6)))
-            centre = np.unique(np.concatenate([unusual, t.first[:-1][np.diff(t.first) > 0]]))
-            # At most eight windows of a text: the sample is of documents, not of their repetitions.
-            rank = np.arange(len(centre)) - np.searchsorted(t.doc[centre], t.doc[centre])
-            rows_ids, rows_tags = [], []
-            for c in centre[rank < 8].tolist():
-                lo = max(int(t.first[t.doc[c]]), c - AROUND)
-                hi = min(int(t.first[t.doc[c] + 1]), lo + WINDOW)
-                rows_ids.append(ids[lo:hi].astype(np.int32).tobytes())
-                rows_tags.append(tags[lo:hi].astype(np.int32).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(rows_ids, pa.binary()), pa.array(rows_tags, pa.binary())], ["ids", "tags"])
+        for lo, hi, data, at in arrays.chunks(batch["text"]):
+            held = [bool(base_spans(data[s:e].tobytes())) for s, e in zip(at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([batch["h"].slice(lo, hi - lo), pa.array(held, pa.bool_())], ["h", "held"])
+
+
+def _windows(below_held: int, below_all: int):
+    """Labelled windows of WINDOW tokens of the sampled rows: around secrets, around unusual tokens, and from the text's start.
+
+    ``below_held`` and ``below_all`` bound the hashes of the rows that give
+    windows with a secret and windows without one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch["h"].to_numpy()
+            rows = np.flatnonzero(hashes < max(below_held, below_all))
+            texts = batch["text"].take(pa.array(rows))
+            for lo, hi, data, at in arrays.chunks(texts):
+                h = hashes[rows[lo:hi]]
+                # Rows beyond the common sample count only where they hold a secret.
+                use = [i for i in range(hi - lo) if h[i] < below_all or base_spans(data[at[i] : at[i + 1]].tobytes())]
+                data, at = arrays.texts(pa.array([data[at[i] : at[i + 1]].tobytes() for i in use], pa.binary()))
+                t = Tokens(data, at)
+                ids, tags = features(t), labels(t)
+                begin = tags == BEGIN
+                other = np.flatnonzero(~begin & (ids[:, 3] - OFFSETS[3] == 5) & (t.end - t.start >= 6))
+                # At most eight windows of either kind of a text: the sample is of documents, not of their repetitions.
+                for secrets, centre in ((True, np.flatnonzero(begin)), (False, np.union1d(other, t.first[:-1][np.diff(t.first) > 0]))):
+                    rank = np.arange(len(centre)) - np.searchsorted(t.doc[centre], t.doc[centre])
+                    out = {"ids": [], "tags": [], "secret": [], "h": [], "rank": []}
+                    for c, r in zip(centre[rank < 8].tolist(), rank[rank < 8].tolist()):
+                        lo_ = max(int(t.first[t.doc[c]]), c - AROUND)
+                        hi_ = min(int(t.first[t.doc[c] + 1]), lo_ + WINDOW)
+                        own = h[use[t.doc[c]]]
+                        # A window beside a secret that shows it is one with a secret already.
+                        if (tags[lo_:hi_] > 0).any() != secrets or own >= (below_held if secrets else below_all):
+                            continue
+                        for name, x in zip(out, (ids[lo_:hi_].astype(np.int32).tobytes(), tags[lo_:hi_].astype(np.int32).tobytes(), secrets, int(own), r)):
+                            out[name].append(x)
+                    kinds = (pa.binary(), pa.binary(), pa.bool_(), pa.int64(), pa.int32())
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out.values(), kinds)], list(out))
+
+    return run
 
 
 def train(documents: DataFrame, train_docs: int = TRAIN_DOCS) -> crf.Chain | None:
-    """The CRF fitted to the base patterns' secrets in about ``train_docs`` documents; None if those have none."""
+    """The CRF fitted to the base patterns' secrets of about ``train_docs`` documents that have some; None if none has."""
     ship_code(documents.sparkSession)
-    total = documents.count()
-    by_row = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    share = min(1.0, train_docs / max(total, 1))
-    chosen = documents.select("doc_id", "text").where(by_row < int(share * (1 << 30))).select("text")
-    rows = chosen.mapInArrow(_windows, "ids binary, tags binary").limit(4 * train_docs).collect()
-    rows = sorted((bytes(r["ids"]), bytes(r["tags"])) for r in rows)
-    if not rows:
+    keys = 1 << 30
+    slim = documents.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(keys)).alias("h"), "text")
+    marked = slim.mapInArrow(_marked, "h long, held boolean")
+    total, held = marked.agg(F.count(F.lit(1)), F.count_if("held")).first()
+    if not held:
         return None
+    below_held, below_all = (int(min(1.0, train_docs / n) * keys) for n in (held, total))
+    drawn = slim.where(F.col("h") < max(below_held, below_all)).mapInArrow(
+        _windows(below_held, below_all), "ids binary, tags binary, secret boolean, h long, rank int"
+    )
+    # TRAIN_WINDOWS of either kind, those with the smallest hashes in whatever partition, stand for all.
+    order = (F.xxhash64("h", "rank"), F.col("ids"), F.col("tags"))
+    drawn = [drawn.where(F.col("secret") == flag).orderBy(*order).limit(TRAIN_WINDOWS).select("ids", "tags") for flag in (True, False)]
+    rows = sorted((bytes(r["ids"]), bytes(r["tags"])) for r in drawn[0].union(drawn[1]).collect())
     n = len(rows)
     ids = np.broadcast_to(OFFSETS[:-1], (n, WINDOW, len(SIZES))).copy()
     tags, mask = np.zeros((n, WINDOW), dtype=np.int64), np.zeros((n, WINDOW), dtype=bool)
@@ -207,8 +243,7 @@ def train(documents: DataFrame, train_docs: int = TRAIN_DOCS) -> crf.Chain | Non
     secret = (tags > 0).any(axis=1)
     if not secret.any():
         return None
-    # The windows are many and alike: TRAIN_WINDOWS of either kind, evenly taken, stand for all.
-    plain, held = (x[:: -(-len(x) // TRAIN_WINDOWS) or 1] for x in (np.flatnonzero(~secret), np.flatnonzero(secret)))
+    plain, held = np.flatnonzero(~secret), np.flatnonzero(secret)
     hidden = ids[held].copy()
     for slot in (4, 5, 6, 7):
         hidden[:, :, slot] = OFFSETS[slot]

@@ -142,3 +142,16 @@ def test_odd_rows_and_an_empty_table(spark, odd, nothing):
 def test_features_of_little_and_long_texts(text):
     t = ss.Tokens(*arrays.texts(pa.array([text])))
     assert ss.features(t).shape == (len(t.start), len(ss.SIZES))
+
+
+def test_rare_secrets_in_a_large_table_train_the_crf(spark):
+    rng = random.Random(8)
+    texts = [prose(rng, 12) for _ in range(3000)]
+    texts[1234] += " token = " + random_secret(rng)
+    # Beyond eight unusual tokens, in a document that a uniform sample of ten would hardly draw.
+    texts[2345] = " ".join(f"abc{k}def" for k in range(20)) + " password: " + random_secret(rng)
+    docs = spark.createDataFrame(rows_from(texts), SCHEMA)
+    assert ss.train(docs, train_docs=10) is not None
+    only = docs.where("doc_id = 2345")
+    assert ss.train(only) is not None
+    assert ss.train(docs.where("doc_id NOT IN (1234, 2345)"), train_docs=10) is None
