@@ -9,7 +9,7 @@ also once with its neighbours hidden, so that the shape of a secret counts
 without a keyword before it. Its features are a token's shape (length, character sets, switches
 between letters and digits), its first bytes, the neighbouring words, and what
 the file contains. Whole texts are then decoded by Viterbi; a tagged span that
-meets no base span is reported as kind ``crf``.
+does not lie wholly inside one base span is reported as kind ``crf``.
 
 Tokens are runs of letters, digits, ``_`` and non-ASCII bytes, and runs of
 other visible characters. Offsets are code points, ends exclusive.
@@ -282,7 +282,7 @@ def scan(column: pa.Array, chain: crf.Chain | None) -> Iterator[list[dict]]:
         if chain is not None:
             for doc, s, e in tagged(Tokens(data, at), chain):
                 mine = found.setdefault(doc, [])
-                if all(e <= x[1] or x[2] <= s for x in mine if x[0] != "crf"):
+                if not any(x[1] <= s and e <= x[2] for x in mine if x[0] != "crf"):
                     mine.append(("crf", s, e))
         for doc in range(hi - lo):
             spans = found.get(doc)

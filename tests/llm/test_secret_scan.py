@@ -155,3 +155,13 @@ def test_rare_secrets_in_a_large_table_train_the_crf(spark):
     only = docs.where("doc_id = 2345")
     assert ss.train(only) is not None
     assert ss.train(docs.where("doc_id NOT IN (1234, 2345)"), train_docs=10) is None
+
+
+def test_a_tagged_span_beyond_a_base_span_is_reported(monkeypatch):
+    text = 'password: "Abc123$Def456" token=abcdef12'
+    inside, beyond = text.index("abcdef12"), text.index("Abc")
+    spans = [(0, beyond, text.index('" token')), (0, inside, inside + 8)]
+    monkeypatch.setattr(ss, "tagged", lambda t, chain: iter(spans))
+    [got] = list(ss.scan(pa.array([text]), crf.Chain(1, 3)))
+    assert [(s["kind"], s["start"], s["end"]) for s in got if s["kind"] == "crf"] == [("crf", *spans[0][1:])]
+    assert [(s["kind"], s["start"], s["end"]) for s in got if s["kind"] != "crf"] == brute(text)
