@@ -140,3 +140,11 @@ def test_odd_rows_and_an_empty_table(spark, odd, nothing):
     assert len(rows) == len(odd_rows()) and all(r.labels == "" and r.score == 0 for r in rows)
     assert {r.doc_id: r.n_words for r in rows}[1] == 0
     assert ls.op8_license_scan(nothing).count() == 0
+
+
+@pytest.mark.parametrize("label", ["bsd-2-clause", "bsd-3-clause"])
+def test_the_bsd_liability_clause_is_mandatory(label):
+    full = ls.MARKUP.sub(" ", TEMPLATES[label])
+    assert ("template", label) in [x[:2] for x in found(full)]
+    for text in (full[: full.index("IN NO EVENT")], full.replace("STRICT LIABILITY", "NO LIABILITY")):
+        assert ("template", label) not in [x[:2] for x in found(text)]
