@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import (
+    conversations,
     decontaminate,
+    fill_middle,
     html_extract,
     language,
     license_scan,
@@ -16,6 +18,7 @@ from strata.llm import (
     packing,
     quality,
     secret_scan,
+    token_files,
     vector_dedup,
 )
 from strata.llm.session import documents, table
@@ -31,6 +34,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": lambda spark, d: license_scan.op8_license_scan(documents(spark, d)),
     "op9_minhash_near_dedup": lambda spark, d: near_dup.op9_minhash_near_dedup(documents(spark, d)),
     "op10_decontaminate": lambda spark, d: decontaminate.op10_decontaminate(documents(spark, d), table(spark, d, "benchmark")),
+    "op11_fill_in_middle": lambda spark, d: fill_middle.op11_fill_in_middle(documents(spark, d)),
+    "op12_token_files": lambda spark, d: token_files.op12_token_files(documents(spark, d)),
+    "op13_conversation_repair": lambda spark, d: conversations.op13_conversation_repair(table(spark, d, "conversations")),
 }
 
 #: DuckDB SQL where SQL can express the whole result; the others are tested against brute force.
@@ -38,4 +44,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_lattice_near_dedup": vector_dedup.ORACLE_SQL,
     "op3_line_dedup": line_dedup.ORACLE_SQL,
     "op10_decontaminate": decontaminate.ORACLE_SQL,
+    "op11_fill_in_middle": fill_middle.ORACLE_SQL,
 }

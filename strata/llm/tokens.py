@@ -1,8 +1,8 @@
 """Token ids of whole texts, with a published byte-level BPE vocabulary.
 
 The ids are those of the ``tokenizers`` library. It is slow on running text but
-its first step cuts the text at white space, so the ids of a text are the ids
-of its white-space pieces one after another. A task therefore encodes each
+its first step cuts the text at white space and before stops, so the ids of a text are the ids
+of these pieces one after another. A special token's string in a text is that token, as in a plain call. A task therefore encodes each
 distinct piece once and looks repeated ones up in a direct-mapped table.
 """
 
@@ -20,16 +20,21 @@ from strata.llm import arrays
 SLOTS = 20  # 2**20 table entries
 STORE_IDS = 1 << 23  # the table starts anew beyond this many ids
 
+_LETTER = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", np.uint8))
+_STOP = np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
 _GRAPHIC = (np.arange(256) >= 0x21) & (np.arange(256) <= 0x7E)
 
 
+def public(name: str) -> str:
+    """The path of a published vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def vocabulary(path: str | None = None) -> str:
     """The vocabulary file's text (read on the driver, about 2 MB)."""
-    if path is None:
-        import public_tokenizers
-
-        path = public_tokenizers.path("byte_bpe_50k.json")
-    with open(path, encoding="utf-8") as f:
+    with open(path or public("byte_bpe_50k.json"), encoding="utf-8") as f:
         return f.read()
 
 
@@ -40,7 +45,7 @@ class Encoder:
 
     @classmethod
     def of(cls, vocabulary_json: str) -> Encoder:
-        key = hashlib.md5(vocabulary_json.encode()).hexdigest()
+        key = f"{cls.__name__} {hashlib.md5(vocabulary_json.encode()).hexdigest()}"
         if key not in cls._made:
             cls._made[key] = cls(vocabulary_json)
         return cls._made[key]
@@ -50,7 +55,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary_json)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.reset()
 
     def reset(self) -> None:
@@ -97,13 +101,25 @@ class Encoder:
             yield lo, *self.encode(data, at)
 
 
+class LowerCasing(Encoder):
+    """For a vocabulary that lower-cases its texts: words that differ in the case of A-Z are one piece."""
+
+    def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # A special token's string is one only as written, so a slice with "<|" stays as it is.
+        if len(data) and not ((data[:-1] == 0x3C) & (data[1:] == 0x7C)).any():
+            # A letter before a combining mark stays too: W with a ring has no single character, w has one.
+            alone = np.append(data[1:], 0) < 0x80
+            data = np.where(alone, arrays.LOWER[data], data)
+        return super().encode(data, at)
+
+
 def pieces(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Places where a text can be cut without changing its ids.
 
     Before a single space, and on both sides of a single line feed, that stands
     between two characters that are surely not white space (ASCII graphic, or
-    U+00C0 to U+00FF): there the vocabulary's pattern always starts a new match,
-    and what follows can't change the match before.
+    U+00C0 to U+00FF), and between an ASCII letter and a stop: there the vocabularies' patterns
+    always start a new match, and what follows can't change the match before.
     """
     n = len(data)
     cut = np.zeros(n + 1, dtype=bool)
@@ -120,6 +136,7 @@ def pieces(data: np.ndarray, at: np.ndarray) -> np.ndarray:
         line = np.flatnonzero(alone & (data == 0x0A))
         cut[line] = True
         cut[line + 1] = True
+        cut[1:n] |= _LETTER[data[:-1]] & _STOP[data[1:]]
     cut[at] = True
     cut[n] = False
     return np.flatnonzero(cut)

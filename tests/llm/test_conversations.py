@@ -1,0 +1,229 @@
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+from itertools import product
+
+import pytest
+from conftest import TESTDATA, rows_of, sorted_rows, spark_conf
+
+from strata.llm import conversations as c
+from strata.llm.session import table
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+BLANK = " \t\n\x0b\x0c\r"
+
+
+def damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        key = ":".join(" " if x is None else str(x) for x in (conv, turn))
+        role, text = (" " if x is None else x for x in (role, text))
+        kind = zlib.crc32(key.encode()) % 20
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = "".join(x for x in text if x not in ".!?")
+        if kind == 4:
+            role = "user"
+        out += [] if kind == 0 else [(conv, turn, role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def faults(rows):
+    seen, out = set(), []
+    for _, _, role, text in rows:
+        end = text.rstrip(BLANK)
+        fault = "blank" if not end else "duplicate" if (role, text) in seen else "truncated" if end[-1] not in ".!?" else ""
+        seen.add((role, text))
+        out.append(fault)
+    return out
+
+
+def well_formed(initials):
+    body = initials[1:] if initials[:1] == "s" else initials
+    return initials == "" or (len(body) > 0 and len(body) % 2 == 0 and body == "ua" * (len(body) // 2))
+
+
+def exhaustive(rows, wrong):
+    """Every sequence of edits with up to two insertions at each place."""
+    best = None
+    gaps = ["", "u", "a", "ua", "au", "uu", "aa"]
+    edits = [["D"] if w in ("blank", "duplicate") else ["K", "Ru", "Ra", "D"] for w in wrong]
+    for choice in product(*edits):
+        for inserted in product(gaps, repeat=len(rows) + 1):
+            out, audit, cost = [], "", 0
+            for k in range(len(rows) + 1):
+                for x in inserted[k]:
+                    out.append(({"u": "user", "a": "assistant"}[x], ""))
+                    audit, cost = audit + "I", cost + 3
+                if k == len(rows):
+                    break
+                _, _, role, text = rows[k]
+                e = choice[k]
+                audit += e[0]
+                if e == "D":
+                    cost += 4
+                    continue
+                cost += (3 if e[0] == "R" else 0) + (3 if wrong[k] == "truncated" else 0)
+                out.append((role if e == "K" else {"u": "user", "a": "assistant"}[e[1]], text))
+            if well_formed("".join(r[:1] or "?" for r, _ in out)) and (best is None or (cost, audit) < best[:2]):
+                best = cost, audit, out
+    return best
+
+
+def quick(rows, wrong):
+    """The same by a table over suffixes: for rows[i:] and the state before them the least (cost, audit, messages)."""
+    step = {"": "u", "s": "u", "u": "a", "a": "u"}
+    names = {"u": "user", "a": "assistant"}
+    after = {s: (0, "", []) if s in ("", "a") else None for s in step}
+
+    def with_inserts(at):
+        out = dict(at)
+        for _ in range(3):
+            for s in step:
+                if out[step[s]] is not None:
+                    cost, audit, ms = out[step[s]]
+                    new = (cost + 3, "I" + audit, [(names[step[s]], ""), *ms])
+                    if out[s] is None or new[:2] < out[s][:2]:
+                        out[s] = new
+        return out
+
+    after = with_inserts(after)
+    for (_, _, role, text), w in zip(reversed(rows), reversed(wrong)):
+        now = {}
+        for s in step:
+            ways = [(after[s], 4, "D", [])]
+            more = 3 if w == "truncated" else 0
+            if w not in ("blank", "duplicate"):
+                if role[:1] == step[s] or (s == "" and role[:1] == "s"):
+                    ways.append((after[role[:1]], more, "K", [(role, text)]))
+                ways.append((after[step[s]], 3 + more, "R", [(names[step[s]], text)]))
+            made = [(v[0] + cost, edit + v[1], m + v[2]) for v, cost, edit, m in ways if v is not None]
+            now[s] = min(made, key=lambda x: x[:2]) if made else None
+        after = with_inserts(now)
+    return after[""]
+
+
+def by_hand(rows, hurt=True, solve=quick):
+    groups = defaultdict(list)
+    for r in damage(rows) if hurt else rows:
+        groups[r[0]].append(r)
+    out = []
+    for conv in {r[0] for r in rows}:
+        mine = sorted(groups[conv], key=lambda r: (r[1] is not None, r[1] or 0))
+        wrong = faults(mine)
+        turns = [r[1] for r in mine if r[1] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        initials = [r[2][:1] for r in mine]
+        illegal = sum(x + y not in ("su", "ua", "au") for x, y in zip(initials, initials[1:]))
+        cost, audit, messages = solve(mine, wrong)
+        sha = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in messages).encode()).hexdigest()
+        out.append((conv, gaps, *(wrong.count(x) for x in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha))
+    return sorted_rows(out)
+
+
+def random_rows(rng, conv, n):
+    roles = ["user", "assistant", "system", "tool", "user", "assistant", "", "User"]
+    texts = ["Yes.", "No!", "What?", "cut off", " \t", "", "Yes.", "one. two", "end.\n "]
+    return [(conv, t, rng.choice(roles), rng.choice(texts) + (str(rng.randrange(9)) + "." if rng.random() < 0.4 else "")) for t in range(n)]
+
+
+def test_the_table_equals_every_sequence_of_edits():
+    rng = random.Random(1)
+    for _ in range(60):
+        rows = random_rows(rng, 1, rng.randrange(4))
+        wrong = faults(rows)
+        assert quick(rows, wrong)[:2] == exhaustive(rows, wrong)[:2]
+
+
+def codes(rows):
+    run = c.Run()
+    seen = set()
+    for _, turn, role, text in rows:
+        run.add(turn, role, text, (role, text) in seen)
+        seen.add((role, text))
+    return bytes(run.codes)
+
+
+def test_agenda_and_tree_equal_the_table():
+    rng = random.Random(2)
+    for n in [*range(12), 63, 64, 65, 200, 513]:
+        rows = random_rows(rng, 1, n)
+        want = quick(rows, faults(rows))[:2]
+        assert c.cheapest(codes(rows)) == want
+        parts = [c.span(codes(rows)[i : i + 3]) for i in range(0, n, 3)]
+        if parts:
+            assert c.whole(c.in_tree(parts)) == want
+
+
+def test_ties_take_the_least_audit():
+    assert c.cheapest(codes([(1, 0, "user", "Hi.")])) == (3, "KI")
+    assert c.cheapest(codes([(1, 0, "assistant", "Hi.")])) == (3, "IK")
+    assert c.cheapest(codes([(1, 0, "system", "Hi.")])) == (4, "D")
+    assert c.cheapest(b"") == (0, "")
+
+
+@pytest.mark.parametrize("settings", [{}, {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "23", "spark.sql.autoBroadcastJoinThreshold": "-1"}])
+def test_equals_the_definition(spark, settings):
+    """One conversation holds a third of the rows and lies in many tasks."""
+    rng = random.Random(3)
+    rows = [r for conv in range(120) for r in random_rows(rng, conv, rng.randrange(1, 12))]
+    rows += random_rows(rng, 777, 400) + random_rows(rng, 778, 70)
+    rng.shuffle(rows)
+    with spark_conf(spark, settings):
+        df = spark.createDataFrame(rows, SCHEMA)
+        assert rows_of(c.op13_conversation_repair(df)) == by_hand(rows)
+        assert rows_of(c.repair(c.as_is(df)).where("place IS NULL").select("conv_id", *c.REPORT, "audit", "repaired_sha256")) == by_hand(rows, hurt=False)
+
+
+def test_messages_are_what_the_hash_covers(spark):
+    rng = random.Random(4)
+    rows = [r for conv in range(40) for r in random_rows(rng, conv, rng.randrange(1, 9))] + random_rows(rng, 500, 150)
+    made = c.repair(c.damaged(spark.createDataFrame(rows, SCHEMA))).collect()
+    messages = defaultdict(list)
+    for r in made:
+        if r["place"] is not None:
+            messages[r["conv_id"]].append((r["place"], r["role"], r["text"], r["edit"]))
+    for r in made:
+        if r["place"] is None:
+            mine = sorted(messages[r["conv_id"]])
+            assert [m[0] for m in mine] == list(range(len(mine)))
+            assert "".join(m[3] for m in mine) == r["audit"].replace("D", "")
+            assert well_formed("".join(m[1][:1] for m in mine))
+            assert hashlib.sha256("\n".join(f"{m[1]}:{m[2]}" for m in mine).encode()).hexdigest() == r["repaired_sha256"]
+
+
+def test_odd_rows(spark):
+    """Nulls in every column, turns apart, repeated rows, long texts, rows dropped whole, clashing columns."""
+    gone = next(k for k in range(1000, 2000) if zlib.crc32(f"{k}:0".encode()) % 20 == 0)
+    rows = [
+        (1, None, "user", "Hi."), (1, 3, "assistant", "Hello."), (1, 7, None, "What?"), (1, 9, "user", None),
+        (None, 1, "user", "Hi."), (None, None, "assistant", "x" * 300_000), (None, 5, None, None),
+        (2, None, None, None), (3, 10**12, "user", "A."), (3, -5, "assistant", "B."), (gone, 0, "user", "Hi."),
+        (4, 1, "user", "Same."), (4, 1, "user", "Same."), (4, 1, "user", "Same."), (5, 2, "", ""), (6, 1, "úser", "Ü…"),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS row", "'k' AS k1", "0 AS copy", "'a' AS audit", "true AS lost", "2 AS n", "'z' AS `a.b`")
+    got = rows_of(c.op13_conversation_repair(df))
+    assert got == by_hand(rows)
+    assert (gone, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest()) in got
+
+
+def test_empty_table(spark):
+    assert c.op13_conversation_repair(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_whole_table(spark):
+    d = str(TESTDATA / "sf0.01")
+    df = table(spark, d, "conversations")
+    rows = [tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()]
+    assert rows_of(c.op13_conversation_repair(df)) == by_hand(rows)
+
+
+def test_a_hot_conversation_is_dealt_over_tasks(spark):
+    rng = random.Random(6)
+    rows = random_rows(rng, 1, 3000) + [r for conv in range(10, 500) for r in random_rows(rng, conv, 3)]
+    with spark_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}):
+        dealt = c._marked(c.damaged(spark.createDataFrame(rows, SCHEMA))).repartitionByRange(*c.ORDER)
+        sizes = [r["count"] for r in dealt.selectExpr("spark_partition_id() AS p").groupBy("p").count().collect()]
+    assert len(sizes) >= 12 and max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2]

@@ -18,13 +18,11 @@ from strata.llm import packing, tokens
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_str(tokens.vocabulary())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_str(tokens.vocabulary())  # as it is: a special token's string in a text is that token
 
 
 _piece = st.sampled_from(
-    ["word", " ", "  ", "\n", "\n\n", "\t", " x", "é", "É 1", "'s", "'ll", " 't", "12", " 345", "!?", " (", " ", " ", "　", "ß", "語", "\U0001f600", "\x85", "\x1f", "<|endoftext|>", "×", "á", "\r\n", "don't", " \n", "\n "]
+    ["word", " ", "  ", "\n", "\n\n", "\t", " x", "é", "É 1", "'s", "'ll", " 't", "12", " 345", "!?", " (", " ", " ", "　", "ß", "語", "\U0001f600", "\x85", "\x1f", "<|endoftext|>", "×", "á", "\r\n", "don't", " \n", "\n ", "end.", "a,b", "x;", "?!", ".\u0301", "<|endof", "|>"]
 )
 
 
@@ -122,3 +120,12 @@ def test_odd_rows_and_an_empty_table(spark, odd, nothing):
     assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
     assert sum(r.piece == 0 for r in rows) == len(odd_rows())
     assert packing.op6_best_fit_packing(nothing).count() == 0
+
+
+def test_a_special_tokens_string_is_that_token(spark, tokenizer):
+    texts = ["end <|endoftext|> of text", "<|endoftext|>", "a<|endoftext|>b <|endoftext|>\n<|ENDOFTEXT|>"]
+    ids = [tokenizer.encode(t, add_special_tokens=False).ids + [packing.END_ID] for t in texts]
+    assert ids[0][:-1] == [437, 220, 50256, 286, 2420]
+    got = {r["doc_id"]: r for r in packing.op6_best_fit_packing(spark.createDataFrame(rows_from(texts), SCHEMA)).collect()}
+    for k, x in enumerate(ids):
+        assert (got[k]["length"], got[k]["ids_crc32"]) == (len(x), zlib.crc32(np.array(x, dtype="<u4").tobytes()))

@@ -1,0 +1,181 @@
+import os
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from conftest import TESTDATA, rows_of, sorted_rows, spark_conf
+from llm_fixtures import SCHEMA, nothing, odd, odd_rows, prose, rows_from  # noqa: F401
+
+from strata.llm import arrays, token_files, tokens
+from strata.llm.session import documents
+
+
+def plain_tokenizer():
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Tokenizer.from_file(tokens.public(token_files.VOCABULARY))
+
+
+def by_hand(rows):
+    """rows: (doc_id, text) in the order of the files."""
+    t, start, out = plain_tokenizer(), 0, []
+    for doc_id, text in rows:
+        ids = [*t.encode(text or "", add_special_tokens=False).ids, 1]
+        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        start += len(ids)
+    return sorted_rows(out)
+
+
+def skewed(rng, n, top=49408):
+    return np.minimum((rng.pareto(0.5, n) * 3).astype(np.int64), top - 1)
+
+
+@pytest.mark.parametrize("n", [0, 1, 31, 32, 33, 8191, 8192, 8193, 65536, 65537, 200_000, 2_200_000])
+def test_round_trip(n):
+    ids = skewed(np.random.default_rng(n), n)
+    table = token_files.Table(token_files.frequencies(np.bincount(ids, minlength=49408)))
+    payloads = token_files.encode_blocks(ids, table)
+    assert len(payloads) == -(-n // token_files.BLOCK)
+    back = token_files.decode_blocks(payloads, table)
+    assert np.array_equal(np.concatenate(back) if back else ids, ids)
+    if n:
+        last = len(payloads) - 1
+        of_last = n - last * token_files.BLOCK
+        segment = (of_last - 1) // token_files.SEGMENT
+        alone = token_files.decode_segment(payloads[last], segment, table)
+        assert np.array_equal(alone, ids[last * token_files.BLOCK + segment * token_files.SEGMENT :])
+
+
+def test_one_symbol_and_every_symbol():
+    for ids in (np.zeros(70_000, dtype=np.int64), np.arange(49408).repeat(2)):
+        freq = token_files.frequencies(np.bincount(ids, minlength=49408))
+        assert freq.sum() == 1 << token_files.PROB and (freq[np.unique(ids)] > 0).all()
+        table = token_files.Table(freq)
+        assert np.array_equal(np.concatenate(token_files.decode_blocks(token_files.encode_blocks(ids, table), table)), ids)
+
+
+def test_frequencies_sum_up():
+    rng = np.random.default_rng(1)
+    for counts in ([1], [1, 10**15], [1] * 40_000 + [10**12] * 3, rng.integers(0, 50, 49408), [0, 0, 5], [10**9] + [1] * 49_000):
+        f = token_files.frequencies(np.array(counts))
+        assert f.sum() == 1 << token_files.PROB and ((f > 0) == (np.array(counts) > 0)).all()
+    assert token_files.frequencies(np.zeros(4, dtype=np.int64)).sum() == 0
+
+
+def test_size_is_near_the_entropy():
+    ids = skewed(np.random.default_rng(3), 1_000_000, 3000)
+    counts = np.bincount(ids, minlength=49408)
+    p = counts[counts > 0] / len(ids)
+    ideal = -(p * np.log2(p)).sum() * len(ids) / 8
+    table = token_files.Table(token_files.frequencies(counts))
+    assert sum(map(len, token_files.encode_blocks(ids, table))) < 1.05 * ideal
+
+
+def test_a_damaged_payload_raises():
+    ids = skewed(np.random.default_rng(4), 20_000)
+    table = token_files.Table(token_files.frequencies(np.bincount(ids, minlength=49408)))
+    payload = token_files.encode_blocks(ids, table)[0]
+    for at in (0, 4, 9, 30, len(payload) // 2, len(payload) - 1):
+        bad = bytearray(payload)
+        bad[at] ^= 1
+        with pytest.raises(token_files.BadChecksum):
+            token_files.decode_blocks([bytes(bad)], table)
+    other = token_files.Table(token_files.frequencies(np.ones(49408, dtype=np.int64)))
+    with pytest.raises(token_files.BadChecksum):
+        token_files.decode_blocks([payload], other)
+
+
+def test_shifted_checksums_add_up():
+    rng = random.Random(5)
+    text = rng.randbytes(5000)
+    for _ in range(30):
+        a, b = sorted(rng.sample(range(len(text) + 1), 2))
+        parts = [(text[:a], len(text) - a), (text[a:b], len(text) - b), (text[b:], 0)]
+        total = 0
+        for part, behind in parts:
+            total ^= token_files.shifted(zlib.crc32(part), behind)
+        assert total == zlib.crc32(text)
+
+
+TRICKY = [
+    "Don't STOP, it's 3.5km; A.B!C?D:e", "end <|endoftext|> of", "x<|STARTOFTEXT|>y <|startoftext|>", "W̊ H̱ K Ǆ İ İ é",
+    "Σ ΑΣ ΑΣ. σς", "a b c　d", "tab\there\r\nthere", "naïve Ünï. ÉCOLE.", "1234567890", "\U0001f600.\U0001f600!", "a.́b A.́", "ok.;:!?,.", "'S 'Re I'LL", "\x00\x01 \x1f",
+]
+
+
+def test_ids_of_pieces_equal_those_of_texts():
+    rng = random.Random(6)
+    words = [w for t in TRICKY for w in t.split(" ")] + ["The", "the", "THE", "don't", "end."]
+    given = TRICKY + [rng.choice(["", " ", "\n"]) + rng.choice([" ", "  ", "\n", " \n"]).join(rng.choices(words, k=rng.randrange(1, 12))) for _ in range(400)]
+    encoder = tokens.LowerCasing(tokens.vocabulary(tokens.public(token_files.VOCABULARY)))
+    want = [x.ids for x in plain_tokenizer().encode_batch(given, add_special_tokens=False)]
+    for _ in range(2):
+        got = []
+        for _, ids, at in encoder.encode_column(pa.array(given)):
+            got += [ids[s:e].tolist() for s, e in zip(at[:-1], at[1:])]
+        assert got == want
+
+
+@pytest.mark.parametrize("settings", [{}, {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"}])
+def test_equals_plain_calls(spark, settings):
+    rng = random.Random(7)
+    given = [*TRICKY, "", None, prose(rng, 90_000), prose(rng, 70_000)] + [prose(rng, rng.randrange(1, 200)) for _ in range(300)]
+    rows = rows_from(given)
+    shuffled = rng.sample(rows, len(rows))
+    with spark_conf(spark, settings):
+        got = token_files.op12_token_files(spark.createDataFrame(shuffled, SCHEMA).repartition(5))
+        assert rows_of(got) == by_hand([(r[0], r[1]) for r in rows])
+
+
+def test_ids_come_back(spark, tmp_path):
+    rng = random.Random(8)
+    given = [prose(rng, 50_000), "", prose(rng, 30_000), "a b c"]
+    path = f"file://{tmp_path}/files"
+    token_files.write_token_files(spark.createDataFrame(rows_from(given), SCHEMA), path)
+    t = plain_tokenizer()
+    got = {r["doc_id"]: r["ids"] for r in token_files.read_token_files(spark, path, with_ids=True).collect()}
+    assert got == {k: [*t.encode(x, add_special_tokens=False).ids, 1] for k, x in enumerate(given)}
+    sizes = spark.read.parquet(f"{path}/blocks").selectExpr("file", "first", "n_ids").orderBy("file", "first").collect()
+    assert all(r["n_ids"] <= token_files.BLOCK for r in sizes)
+
+
+def test_odd_rows(odd):
+    got = [tuple(r) for r in token_files.op12_token_files(odd).collect()]
+    assert len(got) == len(odd_rows())
+    t = plain_tokenizer()
+    size = lambda x: len(t.encode(x or "", add_special_tokens=False).ids) + 1
+    assert sorted((d is not None, d or 0, n) for d, _, n, _ in got) == sorted((r[0] is not None, r[0] or 0, size(r[1])) for r in odd_rows())
+    at = 0
+    for d, start, n, _ in sorted(got, key=lambda r: r[1]):
+        assert start == at
+        at += n
+    ids = [d for d, *_ in sorted(got, key=lambda r: r[1])]
+    assert ids == sorted(ids, key=lambda d: (d is not None, d or 0))
+
+
+def test_one_id_for_a_third_of_all_rows(spark):
+    """Rows of one doc_id lie in several files."""
+    rng = random.Random(9)
+    given = [(5 if k % 3 == 0 else k, prose(rng, 20), "en", "s", 1) for k in range(900)] + [(7, "same", "en", "s", 4)] * 900
+    with spark_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}):
+        got = token_files.op12_token_files(spark.createDataFrame(given, SCHEMA).repartition(4))
+        parts = [r["count"] for r in got.withColumn("p", got["start"]).groupBy("doc_id").count().collect()]
+        assert sum(parts) == 1800
+        path = f"{token_files.shared_folder(spark)}/hot-files"
+        token_files.write_token_files(spark.createDataFrame(given, SCHEMA).repartition(4), path)
+        files = [r["n_ids"] for r in spark.read.parquet(f"{path}/files").collect()]
+    assert len(files) >= 12
+
+
+def test_empty_table(nothing):
+    assert token_files.op12_token_files(nothing).collect() == []
+
+
+def test_whole_table(spark):
+    d = str(TESTDATA / "sf0.01")
+    docs = documents(spark, d)
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect())
+    assert rows_of(token_files.op12_token_files(docs)) == by_hand(rows)
