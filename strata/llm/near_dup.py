@@ -19,49 +19,70 @@ From signatures to classes, without emitting all pairs of a group:
 
 1. Copies (equal word sequences; texts without words only if equal) are folded
    into one node before anything is compared.
-2. The signature is cut into ``BANDS`` bands of ``ROWS`` coordinates. A pair of
-   similarity 0.8 misses all 25 bands with probability 5e-5. Band keys are
-   counted (map-side partial sums); only those that several nodes share go on,
-   and of buckets with the same nodes in several bands only the first.
-3. A task holds a bucket's nodes with their weighted sets and goes through their
-   pairs by falling estimate. It verifies a pair on the sets unless the two are
-   already connected (then it can't change the classes), share an earlier band,
-   or the estimate rules a link out; so what it emits is at most one edge a node.
-   A bucket of more than ``BLOCK`` nodes or ``BLOCK_BYTES`` of sets is dealt over
-   tasks as pairs of blocks.
-4. Components of the verified edges are the classes.
+2. The signature is cut into bands of rows, as many as a pair at the threshold needs
+   to meet in one but for ``MISS`` (``settings``). Band keys are counted (map-side partial
+   sums); only those that several nodes share go on, and of buckets with the same nodes only one.
+3. Stars: every node of a bucket is compared with the bucket's smallest one. Most
+   groups of near copies are connected by that, at one exact comparison a node.
+4. What stays open: only buckets whose nodes are in several components go on, and only pairs
+   across components are compared there, again exactly. The bucket's largest component is
+   dealt over tasks in blocks and is not paired with itself; the other nodes
+   meet each of its blocks and one another. No candidate is ruled out by an estimate.
+5. Components of the verified edges are the classes.
+
+Names of 16 bytes travel until step 3 ships each weighted set once per star, and step 4
+once per block it must meet: a large group of near copies costs in proportion to its size. A
+bucket of n nodes that are alike in a band but in nothing else needs its n^2/2 comparisons.
+The texts of nodes in shared buckets are reached by a broadcast of their (doc_id, hash) if
+these are measured to be small (``session.sized``), so no other text is shuffled; beyond that by a shuffle.
 
 Defined cases: a null text counts as empty; empty and wordless texts form a
 class only with equal texts; a class is named by its smallest doc_id (null if
 all are null), and rows that share a doc_id keep their own texts' classes; the
 kept row of a class is the one with the smallest (doc_id, text) and, of fully
-equal rows, one. Other columns pass through unchanged.
+equal rows, one. A very long text is one long weighted set, never cut; pairs of exactly
+the threshold are linked; an empty table gives an empty one. Other columns pass through
+unchanged, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import arrays
 from strata.llm.components import components
-from strata.llm.session import checkpointed, ship_code
+from strata.llm.session import checkpointed, ship_code, sized
 
 SHINGLE = 5
 SIMILARITY = 0.8
-K, BANDS, ROWS = 128, 25, 5
-# An estimate over K coordinates is below this for a pair of similarity 0.8
-# with probability 1.4e-6.
-RULED_OUT = 0.62
+MISS = 1e-4  # a pair at the threshold meets in no band with at most this probability
 BLOCK, BLOCK_BYTES = 1024, 32 << 20
 U64 = np.uint64
 
 
+class Settings(NamedTuple):
+    similarity: float
+    k: int
+    bands: int
+    rows: int
+
+
+def settings(similarity: float = SIMILARITY, miss: float = MISS) -> Settings:
+    """The fewest coordinates, and of these the longest bands (of three rows at least), that keep the miss."""
+    for k in (128, 256, 512, 1024, 2048):
+        for rows in range(16, 2, -1):
+            if (1 - similarity**rows) ** (k // rows) <= miss:
+                return Settings(similarity, k, k // rows, rows)
+    raise ValueError("no bands for so low a similarity")
+
+
 def shingles(w: arrays.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document, element hash, weight, first entry of each document) of the weighted sets, by document and hash."""
     words = w.hashes()
@@ -96,7 +117,7 @@ def _unit(h: np.ndarray) -> np.ndarray:
     return (h >> U64(11)).astype(np.float64) * (1.0 / (1 << 53))
 
 
-def dart_signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs: int, k: int = K) -> np.ndarray:
+def dart_signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs: int, k: int = 128) -> np.ndarray:
     """One row of ``k`` 32-bit dart names per document; rows without elements are zeros.
 
     Weights are positive reals. A row's darts come from its own elements only,
@@ -189,61 +210,62 @@ def _sequence_hash(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return arrays.mix((sums[first[1:]] - sums[first[:-1]]) * down[first[:-1]] + np.diff(first).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
-def _base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _base(s: Settings):
     """Every row's node; the signature with the first row of a node in a batch."""
-    for batch in batches:
-        seen: set[bytes] = set()
-        for lo, hi, data, at in arrays.chunks(batch["text"]):
-            w = arrays.Words(data, at)
-            nodes = node_names(w, data, at)
-            mine = []
-            for i, (x, c) in enumerate(zip(nodes, w.count.tolist())):
-                if c and x not in seen:
-                    seen.add(x)
-                    mine.append(i)
-            sig: list[bytes | None] = [None] * len(nodes)
-            sizes = [0] * len(nodes)
-            if mine:
-                doc, h, weight, first = shingles(w)
-                sizes = np.diff(first).tolist()
-                keep = np.zeros(len(nodes), dtype=bool)
-                keep[mine] = True
-                live = keep[doc]
-                made = dart_signatures(doc[live], h[live], weight[live], len(nodes))
-                for i in mine:
-                    sig[i] = made[i].tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].slice(lo, hi - lo), batch["k"].slice(lo, hi - lo), pa.array(nodes, pa.binary()), pa.array(sig, pa.binary()), pa.array(sizes, pa.int32())],
-                ["doc_id", "k", "node", "sig", "size"],
-            )
 
-
-def band_keys(sig: np.ndarray) -> np.ndarray:
-    """(documents, BANDS) 64-bit keys of 32-bit signatures."""
-    out = np.empty((len(sig), BANDS), dtype=U64)
-    for b in range(BANDS):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: set[bytes] = set()
+            for lo, hi, data, at in arrays.chunks(batch["text"]):
+                w = arrays.Words(data, at)
+                nodes = node_names(w, data, at)
+                mine = []
+                for i, (x, c) in enumerate(zip(nodes, w.count.tolist())):
+                    if c and x not in seen:
+                        seen.add(x)
+                        mine.append(i)
+                sig: list[bytes | None] = [None] * len(nodes)
+                sizes = [0] * len(nodes)
+                if mine:
+                    doc, h, weight, first = shingles(w)
+                    sizes = np.diff(first).tolist()
+                    keep = np.zeros(len(nodes), dtype=bool)
+                    keep[mine] = True
+                    live = keep[doc]
+                    made = dart_signatures(doc[live], h[live], weight[live], len(nodes), s.k)
+                    for i in mine:
+                        sig[i] = made[i].tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].slice(lo, hi - lo), batch["k"].slice(lo, hi - lo), pa.array(nodes, pa.binary()), pa.array(sig, pa.binary()), pa.array(sizes, pa.int32())],
+                    ["doc_id", "k", "node", "sig", "size"],
+                )
+
+    return run
+
+
+def band_keys(sig: np.ndarray, s: Settings) -> np.ndarray:
+    """(documents, bands) 64-bit keys of 32-bit signatures."""
+    out = np.empty((len(sig), s.bands), dtype=U64)
+    for b in range(s.bands):
         acc = np.full(len(sig), b + 1, dtype=U64)
-        for r in range(ROWS):
-            acc = arrays.mix(acc * arrays.BASE + sig[:, b * ROWS + r].astype(U64))
+        for r in range(s.rows):
+            acc = arrays.mix(acc * arrays.BASE + sig[:, b * s.rows + r].astype(U64))
         out[:, b] = acc
     return out
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not len(batch):
-            continue
-        sig = np.frombuffer(b"".join(batch["sig"].to_pylist()), dtype=np.uint32).reshape(-1, K)
-        rows = pa.array(np.repeat(np.arange(len(sig)), BANDS))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(arrays.signed(band_keys(sig).ravel())),
-                pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(sig))),
-                batch["node"].take(rows),
-                batch["size"].take(rows),
-            ],
-            ["key", "band", "node", "size"],
-        )
+def _bands(s: Settings):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            sig = np.frombuffer(b"".join(batch["sig"].to_pylist()), dtype=np.uint32).reshape(-1, s.k)
+            rows = pa.array(np.repeat(np.arange(len(sig)), s.bands))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(arrays.signed(band_keys(sig, s).ravel())), batch["node"].take(rows), batch["size"].take(rows)], ["key", "node", "size"]
+            )
+
+    return run
 
 
 def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
@@ -261,8 +283,18 @@ def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Tab
         yield rest
 
 
-def _signed_nodes(group: pa.Table) -> tuple[list[bytes], np.ndarray]:
-    return group["node"].to_pylist(), np.frombuffer(b"".join(group["sig"].to_pylist()), dtype=np.uint32).reshape(len(group), K)
+def _by_head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The groups of a partition in which each group starts with a row marked ``head``."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        now = pa.concat_tables([rest, now]).combine_chunks() if rest is not None else now
+        starts = np.flatnonzero(now["head"].to_numpy())
+        for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            yield now.slice(s, e - s)
+        rest = now.slice(int(starts[-1])) if len(starts) else now
+    if rest is not None and len(rest):
+        yield rest
 
 
 def _pairs(found: Iterator[tuple[list[bytes], list[bytes]]]) -> Iterator[pa.RecordBatch]:
@@ -278,90 +310,81 @@ def _pairs(found: Iterator[tuple[list[bytes], list[bytes]]]) -> Iterator[pa.Reco
     yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
-def _linked_in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per bucket (or pair of its blocks), verified edges that connect all that its pairs connect."""
-
-    def edges() -> Iterator[tuple[list[bytes], list[bytes]]]:
-        for group in _groups(batches, ["key", "x", "y"]):
-            nodes, sig = _signed_nodes(group)
-            block, (x, y, band) = group["block"].to_numpy(), (group[c][0].as_py() for c in ("x", "y", "band"))
-            left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
-            i, j, est = _candidates(sig, left, right, x == y, band)
-            if not len(i):
-                continue
-            order = np.argsort(-est, kind="stable")
-            i, j = i[order], j[order]
-            raw_h, raw_w = group["h"], group["w"]
-            loaded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-            def weighted(k: int) -> tuple[np.ndarray, np.ndarray]:
-                if k not in loaded:
-                    loaded[k] = _load(raw_h[k].as_py(), raw_w[k].as_py())
-                return loaded[k]
-
-            part = np.arange(len(nodes))
-            a, b = [], []
-            for s in range(0, len(i), 4096):
-                open_ = np.flatnonzero(part[i[s : s + 4096]] != part[j[s : s + 4096]]) + s
-                for p, q in zip(i[open_].tolist(), j[open_].tolist()):
-                    if part[p] != part[q] and _similar(weighted(p), weighted(q)):
-                        part[part == part[q]] = part[p]
-                        a.append(nodes[p])
-                        b.append(nodes[q])
-            yield a, b
-
-    return _pairs(edges())
-
-
-def _candidates(sig: np.ndarray, left: np.ndarray, right: np.ndarray, one_block: bool, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, estimate) of the pairs to look at: not ruled out, and without an earlier band in common."""
-    out_i, out_j, out_e = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.float32)]
-    for k, i in enumerate(left.tolist()):
-        others = right[k + 1 :] if one_block else right
-        if not len(others):
-            continue
-        same = sig[others] == sig[i]
-        est = same.mean(axis=1, dtype=np.float32)
-        ok = est >= RULED_OUT
-        if band and ok.any():
-            near = np.flatnonzero(ok)
-            earlier = same[near, : band * ROWS].reshape(len(near), band, ROWS).all(axis=2).any(axis=1)
-            ok[near[earlier]] = False
-        hit = np.flatnonzero(ok)
-        out_i.append(np.full(len(hit), i))
-        out_j.append(others[hit])
-        out_e.append(est[hit])
-    return np.concatenate(out_i), np.concatenate(out_j), np.concatenate(out_e)
-
-
-def _load(h: bytes, w: bytes) -> tuple[np.ndarray, np.ndarray]:
-    x = np.frombuffer(h, dtype=U64)
-    return x, np.frombuffer(w, dtype=np.uint32).astype(np.int64) if w else np.ones(len(x), dtype=np.int64)
-
-
-def _similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> bool:
-    """Whether two weighted sets (sorted elements, weights) have a Jaccard similarity of SIMILARITY or more."""
-    (x, p), (y, q) = (a, b) if len(a[0]) <= len(b[0]) else (b, a)
-    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-    both = y[at] == x
-    low = int(np.minimum(p[both], q[at[both]]).sum())
-    # low / (|a| + |b| - low) >= 4/5, in whole numbers
-    return round(SIMILARITY * 1000) * (int(p.sum()) + int(q.sum()) - low) <= 1000 * low
-
-
-def _block_number() -> F.Column:
-    return F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-
-
-def _in_block_pairs(members: DataFrame) -> DataFrame:
-    """x <= y: the pair of blocks that a task compares; a row goes to each pair that has its block."""
-    return (
-        members.withColumn("block", _block_number())
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("x", F.least("block", "other"))
-        .withColumn("y", F.greatest("block", "other"))
-        .drop("other")
-    )
+class Sets:
+    """The weighted sets of a group's rows, one after another."""
+
+    def __init__(self, group: pa.Table):
+        h, w = group["h"].to_pylist(), group["w"].to_pylist()
+        self.nodes = group["node"].to_pylist()
+        self.size = np.array([len(x) // 8 for x in h], dtype=np.int64)
+        self.end = np.cumsum(self.size)
+        self.first = self.end - self.size
+        self.h = np.frombuffer(b"".join(h), dtype=U64)
+        self.w = np.frombuffer(b"".join(y or np.ones(n, np.uint32).tobytes() for y, n in zip(w, self.size.tolist())), dtype=np.uint32).astype(np.int64)
+        self.total = np.add.reduceat(self.w, self.first)
+
+    def alike(self, common: np.ndarray, i: int, similarity: float) -> np.ndarray:
+        """Which rows are linked to row i, from the sums of minima: common / (a + b - common) >= similarity, in whole numbers."""
+        return round(similarity * 1000) * (self.total + self.total[i] - common) <= 1000 * common
+
+
+def _stars(s: Settings):
+    """The verified links of each group's first row to the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def edges() -> Iterator[tuple[list[bytes], list[bytes]]]:
+            for group in _by_head(batches):
+                sets = Sets(group)
+                x, p = sets.h[: sets.size[0]], sets.w[: sets.size[0]]
+                at = np.minimum(np.searchsorted(x, sets.h), len(x) - 1)
+                common = np.add.reduceat(np.where(x[at] == sets.h, np.minimum(sets.w, p[at]), 0), sets.first)
+                hit = np.flatnonzero(sets.alike(common, 0, s.similarity))
+                hit = hit[hit > 0]
+                yield [sets.nodes[0]] * len(hit), [sets.nodes[j] for j in hit.tolist()]
+
+        return _pairs(edges())
+
+    return run
+
+
+def _across(s: Settings):
+    """Per pair of blocks, verified edges that join what its pairs join; pairs within a component are passed over."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def edges() -> Iterator[tuple[list[bytes], list[bytes]]]:
+            for group in _groups(batches, ["key", "x", "y"]):
+                block, x, y = group["block"].to_numpy(), group["x"][0].as_py(), group["y"][0].as_py()
+                left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+                _, part = np.unique(group["c"].to_pylist(), return_inverse=True)
+                if not len(left) or not len(right) or len(np.unique(part)) < 2:
+                    continue
+                sets = Sets(group)
+                few, many = (left, right) if len(left) < len(right) else (right, left)
+                _, element = np.unique(sets.h, return_inverse=True)
+                weight = np.zeros(int(element.max()) + 1, dtype=np.int64)
+                of_many = np.zeros(len(block), dtype=bool)
+                of_many[many] = True
+                a, b = [], []
+                for i in few.tolist():
+                    open_ = of_many & (part != part[i])
+                    if x == y:
+                        open_[: i + 1] = False
+                    if not open_.any():
+                        continue
+                    mine = slice(sets.first[i], sets.end[i])
+                    weight[element[mine]] = sets.w[mine]
+                    common = np.add.reduceat(np.minimum(sets.w, weight[element]), sets.first)
+                    weight[element[mine]] = 0
+                    for j in np.flatnonzero(open_ & sets.alike(common, i, s.similarity)).tolist():
+                        if part[j] != part[i]:
+                            part[part == part[j]] = part[i]
+                            a.append(sets.nodes[i])
+                            b.append(sets.nodes[j])
+                yield a, b
+
+        return _pairs(edges())
+
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,51 +402,123 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def linked(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _blocks(count: Column, elements: Column) -> Column:
+    return F.greatest(F.ceil(count / F.lit(BLOCK)), F.ceil(elements * 12 / F.lit(BLOCK_BYTES)), F.lit(1)).cast("int")
+
+
+def _number(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("node"), blocks).cast("int")
+
+
+def _in_stars(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """The links among ``pairs`` (rep, node, blocks); each block of a star holds its centre once."""
+    heads = pairs.select("rep", "blocks").distinct().withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = (
+        pairs.withColumns({"block": _number(F.col("blocks")), "head": F.lit(False)})
+        .select("rep", "blocks", "block", "head", "node")
+        .unionByName(heads.select("rep", "blocks", "block", F.lit(True).alias("head"), F.col("rep").alias("node")))
+    )
+    return (
+        dealt.join(sets, "node")
+        .repartition("rep", "blocks", "block")
+        .sortWithinPartitions("rep", "blocks", "block", F.col("head").desc(), "node")
+        .select("head", "node", "h", "w")
+        .mapInArrow(_stars(s), "a binary, b binary")
+    )
+
+
+def _open_buckets(members: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members with their component c; the buckets whose members, without the star's centre, are in several components)."""
+    placed = members.join(found, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("c"))
+    parts = placed.groupBy("key", "c").agg(
+        F.count(F.lit(1)).alias("m"),
+        F.sum(F.col("size").cast("long")).alias("e"),
+        F.bit_xor(F.xxhash64("node")).alias("f1"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("f2"),
+    )
+    several = (
+        parts.groupBy("key")
+        .agg(
+            F.max(F.struct("m", "e", "c")).alias("top"),
+            F.sum("m").alias("n"),
+            F.sum("e").alias("elements"),
+            F.bit_xor("f1").alias("f1"),
+            F.bit_xor("f2").alias("f2"),
+            F.count(F.lit(1)).alias("parts"),
+        )
+        .where("parts > 1")
+        .groupBy("n", "f1", "f2")
+        .agg(F.min(F.struct("key", "top", "n", "elements")).alias("one"))
+        .select("one.*")
+    )
+    many = _blocks(F.col("top.m"), F.col("top.e"))
+    rest = _blocks(F.col("n") - F.col("top.m"), F.col("elements") - F.col("top.e"))
+    return placed, checkpointed(several.select("key", F.col("top.c").alias("most"), many.alias("many"), rest.alias("rest")))
+
+
+def _in_blocks(placed: DataFrame, buckets: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Links across components. Blocks 0..many-1 hold the largest component, the next ``rest`` all others;
+    x <= y are the two blocks a task compares, at least one of them of the others."""
+    last = F.col("many") + F.col("rest") - 1
+    stray = F.col("c") != F.col("most")
+    return (
+        placed.join(buckets, "key")
+        .withColumn("block", F.when(stray, F.col("many") + _number(F.col("rest"))).otherwise(_number(F.col("many"))))
+        .withColumn("other", F.explode(F.sequence(F.when(stray, F.lit(0)).otherwise(F.col("many")), last)))
+        .select("key", "node", "c", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+        .join(sets, "node")
+        .repartition("key", "x", "y")
+        .sortWithinPartitions("key", "x", "y", "node")
+        .mapInArrow(_across(s), "a binary, b binary")
+    )
+
+
+def linked(documents: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(doc_id, k, node) of every row; (node, component) of the nodes linked to another one."""
     ship_code(documents.sparkSession)
+    s = settings(similarity)
     keyed = documents.select("doc_id", "text", F.xxhash64("text").alias("k"))
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    base = checkpointed(keyed.mapInArrow(_base, f"doc_id {kind}, k long, node binary, sig binary, size int"))
+    base = checkpointed(keyed.mapInArrow(_base(s), f"doc_id {kind}, k long, node binary, sig binary, size int"))
     rows = base.select("doc_id", "k", "node")
     signatures = base.where("sig IS NOT NULL").groupBy("node").agg(F.first("sig").alias("sig"), F.first("size").alias("size"))
 
-    # Keys that one node alone has go no further than a partial count. Buckets
-    # with the same nodes have the same 128 bits; the one of the first band stays.
-    banded = signatures.mapInArrow(_bands, "key long, band int, node binary, size int")
-    blocks = F.greatest(F.ceil(F.col("n") / F.lit(BLOCK)), F.ceil(F.col("elements") * 8 / F.lit(BLOCK_BYTES))).cast("int")
+    # Keys that one node alone has go no further than a partial count; of buckets with the same nodes one stays.
+    banded = signatures.mapInArrow(_bands(s), "key long, node binary, size int")
     buckets = (
         banded.groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.col("size").cast("long")).alias("elements"),
-            F.min("band").alias("band"),
+            F.min("node").alias("rep"),
             F.bit_xor(F.xxhash64("node")).alias("f1"),
             F.bit_xor(F.xxhash64("node", F.lit(1))).alias("f2"),
         )
         .where("n > 1")
-        .groupBy("n", "elements", "f1", "f2")
-        .agg(F.min(F.struct("band", "key")).alias("first"))
-        .select("first.key", "first.band", blocks.alias("blocks"))
+        .groupBy("n", "elements", "rep", "f1", "f2")
+        .agg(F.min("key").alias("key"))
+        .select("key", "rep", _blocks(F.col("n"), F.col("elements")).alias("blocks"))
     )
-    members = checkpointed(banded.select("key", "node").join(buckets, "key"))
-    involved = members.select("node").distinct()
+    members = checkpointed(banded.join(buckets, "key").where("node <> rep"))
+    pairs = checkpointed(members.groupBy("rep", "node").agg(F.max("blocks").alias("blocks")))
+    involved = pairs.select("node").unionByName(pairs.select(F.col("rep").alias("node"))).distinct()
     # One text of each node in a shared bucket, as a weighted set.
     one = rows.groupBy("node").agg(F.min(F.struct("doc_id", "k")).alias("r")).join(involved, "node")
-    text = keyed.join(one, keyed["doc_id"].eqNullSafe(one["r"]["doc_id"]) & (keyed["k"] == one["r"]["k"]))
-    sets = text.select("node", "text").mapInArrow(_sets, "node binary, h binary, w binary").dropDuplicates(["node"])
-    edges = (
-        _in_block_pairs(members.join(sets.join(signatures.select("node", "sig"), "node"), "node"))
-        .repartition("key", "x", "y")
-        .sortWithinPartitions("key", "x", "y", "node")
-        .mapInArrow(_linked_in_buckets, "a binary, b binary")
-    )
-    return rows, components(edges)
+    one = sized(one.select("node", F.col("r.doc_id").alias("id"), F.col("r.k").alias("hash")))
+    text = keyed.join(one, keyed["doc_id"].eqNullSafe(one["id"]) & (keyed["k"] == one["hash"]))
+    sets = checkpointed(text.select("node", "text").mapInArrow(_sets, "node binary, h binary, w binary").dropDuplicates(["node"]))
+
+    found = components(_in_stars(pairs, sets, s))
+    placed, open_ = _open_buckets(members, found)
+    if open_.isEmpty():
+        return rows, found
+    more = _in_blocks(placed, open_, sets, s)
+    return rows, components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
 
-def classes(documents: DataFrame) -> DataFrame:
+def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per row of ``documents``: doc_id, k (hash of the text), class_id, n_class (rows), kept."""
-    rows, found = linked(documents)
+    rows, found = linked(documents, similarity)
     place = F.struct(F.isnull("doc_id").alias("n"), F.col("doc_id"), F.col("k"))
     # Copies are folded into their node before anything is joined.
     nodes = rows.groupBy("node").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"))
@@ -435,18 +530,24 @@ def classes(documents: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(documents: DataFrame) -> DataFrame:
+def deduplicated(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The kept row of each class, with all columns of ``documents``."""
     names = documents.columns
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_strata_row")).withColumn(
         "_strata_k", F.xxhash64("_strata_row.text")
     )
-    kept = checkpointed(classes(documents).where("kept").groupBy("doc_id", "k").agg(F.count(F.lit(1)).alias("copies")))
-    same = rows["_strata_row"]["doc_id"].eqNullSafe(kept["doc_id"]) & (rows["_strata_k"] == kept["k"])
-    out = rows.join(kept.select("doc_id", "k"), same, "left_semi")
-    if not kept.where("copies > 1").isEmpty():  # rows that share doc_id and text: one of them
+    # Rows that share doc_id and text share their class; what is looked up is the rows that go.
+    each = classes(documents, similarity).groupBy("doc_id", "k").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("copies"))
+    each = checkpointed(each.where("NOT kept OR copies > 1"))
+    gone = sized(each.where("NOT kept").select("doc_id", "k"))
+    out = rows.join(gone, rows["_strata_row"]["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["_strata_k"] == gone["k"]), "left_anti")
+    again = each.where("kept").select("doc_id", "k")
+    if not again.isEmpty():  # of rows that share doc_id and text one stays
+        again = sized(again)
+        same = out["_strata_row"]["doc_id"].eqNullSafe(again["doc_id"]) & (out["_strata_k"] == again["k"])
         order = Window.partitionBy("_strata_row.doc_id", "_strata_k").orderBy(F.xxhash64(F.to_json("_strata_row")))
-        out = out.withColumn("_strata_n", F.row_number().over(order)).where("_strata_n = 1")
+        first = out.join(again, same, "left_semi").withColumn("_strata_n", F.row_number().over(order)).where("_strata_n = 1").drop("_strata_n")
+        out = out.join(again, same, "left_anti").unionByName(first)
     return out.select(*[F.col(f"_strata_row.`{c}`").alias(c) for c in names])
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import re
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PACKAGE = Path(__file__).resolve().parent
 _shipped: set[str] = set()
@@ -38,13 +42,19 @@ def ship_code(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, a laptop) a local one is made.
+    Only a local session may leave it unset; a temporary folder is made then, and
+    goes with the process.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
     if current.isEmpty():
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="strata-checkpoint-"))
+        if named is None:
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            named = tempfile.mkdtemp(prefix="strata-checkpoint-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
         current = sc._jsc.sc().getCheckpointDir()
     return named or current.get()
 
@@ -55,6 +65,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: A side of a join is broadcast up to this measured size.
+BROADCAST_BYTES = 16 << 20
+
+
+def sized(df: DataFrame, more: Column | None = None, limit: int | None = None) -> DataFrame:
+    """``df`` written down, and marked for broadcast if it is measured to be small.
+
+    A row counts as 64 bytes and ``more``. Beyond the limit the join is Spark's to
+    choose: it shuffles, and since the written rows are dealt anew for it, AQE can split
+    a hot key of the other side (it can't where an aggregate already dealt them).
+    """
+    kept = checkpointed(df)
+    size = kept.agg(F.sum(F.lit(64) + (F.lit(0) if more is None else F.coalesce(more, F.lit(0))))).first()[0] or 0
+    return F.broadcast(kept) if size <= (BROADCAST_BYTES if limit is None else limit) else kept
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 

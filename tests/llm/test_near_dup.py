@@ -156,3 +156,98 @@ def test_odd_rows_and_an_empty_table(spark, odd, nothing):
     assert kept.schema == odd.schema
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["None", "1", "3", "4", "5", "6", "8", "9", "10"])
     assert near_dup.op9_minhash_near_dedup(nothing).count() == 0 == near_dup.deduplicated(nothing).count()
+
+
+def planted(seed, n=120):
+    """Documents of 50 to 500 words and a copy of each with 1 to 5 % of its words changed."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    pairs = []
+    for _ in range(n):
+        base = prose(rng, rng.randint(50, 500), vocabulary)
+        pairs.append((base, edited(rng, base, max(1, round(len(base.split()) * rng.uniform(0.01, 0.05))))))
+    return pairs
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.5])
+def test_recall_of_planted_edits(spark, threshold):
+    """Every planted pair at the threshold or above is linked, and none below it."""
+    pairs = planted(11)
+    texts = [t for pair in pairs for t in pair]
+    df = spark.createDataFrame(rows_from(texts), SCHEMA).repartition(4, "doc_id")
+    found = {r.doc_id: r.class_id for r in near_dup.classes(df, threshold).collect()}
+    linked = [found[2 * k] == found[2 * k + 1] for k in range(len(pairs))]
+    alike = [similarity(weighted_set(a), weighted_set(b)) for a, b in pairs]
+    assert linked == [x >= threshold for x in alike]
+    # What a threshold leaves out is a matter of the threshold, not of the search (README).
+    assert sum(linked) / len(linked) >= {0.8: 0.35, 0.5: 0.95}[threshold]
+
+
+def test_settings_keep_the_miss():
+    assert near_dup.settings(0.8) == (0.8, 128, 25, 5)
+    for x in (0.3, 0.5, 0.65, 0.8, 0.9, 0.99):
+        s = near_dup.settings(x)
+        assert (1 - x**s.rows) ** s.bands <= near_dup.MISS and s.rows * s.bands <= s.k and s.rows >= 3
+    with pytest.raises(ValueError):
+        near_dup.settings(0.01)
+
+
+def test_links_are_decided_by_the_sets_alone():
+    """Pairs on either side of the threshold, without any signature."""
+    rng = random.Random(12)
+    base = prose(rng, 200, [f"w{k}" for k in range(3000)])
+    others = [base]
+    while similarity(weighted_set(base), weighted_set(others[-1])) > 0.7:
+        others.append(edited(rng, others[-1], 1))
+    texts = [base, *others[1:]]
+    names = [bytes([k]) for k in range(len(texts))]
+    group = pa.Table.from_batches(near_dup._sets(iter([pa.RecordBatch.from_pydict({"node": names, "text": texts})])))
+    group = group.append_column("head", pa.array([True] + [False] * (len(texts) - 1)))
+    found = [e["b"] for batch in near_dup._stars(near_dup.settings())(iter(group.to_batches())) for e in batch.to_pylist()]
+    alike = [similarity(weighted_set(base), weighted_set(t)) for t in texts]
+    assert sorted(found) == [n for n, x in zip(names, alike) if n != names[0] and x >= 0.8]
+
+
+def test_open_buckets_in_blocks(spark, monkeypatch):
+    """A chain of texts, each near the next only, in buckets far larger than a block: stars do not connect it, pairs do."""
+    monkeypatch.setattr(near_dup, "BLOCK", 7)
+    monkeypatch.setattr(near_dup, "band_keys", lambda sig, s: np.zeros((len(sig), s.bands), np.uint64) + np.arange(s.bands, dtype=np.uint64))
+    rng = random.Random(13)
+    texts = [prose(rng, 120, [f"w{k}" for k in range(3000)])]
+    for _ in range(60):
+        texts.append(edited(rng, texts[-1], 2))
+    texts += [prose(rng, 60, [f"v{k}" for k in range(3000)]) for _ in range(30)]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.class_id for r in near_dup.op9_minhash_near_dedup(spark.createDataFrame(rows_from(texts), SCHEMA)).collect()}
+    assert got == brute_classes(rows)
+
+
+def test_a_large_group_is_shipped_in_proportion(spark, monkeypatch):
+    """What a task gets grows with a group's size, not with its square."""
+    monkeypatch.setattr(near_dup, "BLOCK", 20)
+    rng = random.Random(14)
+    base = prose(rng, 150, [f"w{k}" for k in range(3000)])
+    shipped = {}
+    for n in (100, 200, 400):
+        texts = [edited(rng, base, 1) for _ in range(n)]
+        df = spark.createDataFrame(rows_from(texts), SCHEMA)
+        sent = []
+        real = near_dup._in_stars
+        monkeypatch.setattr(near_dup, "_in_stars", lambda pairs, sets, s: sent.append(pairs.count() + pairs.selectExpr("sum(blocks)").first()[0] // 20) or real(pairs, sets, s))
+        assert len({r.class_id for r in near_dup.classes(df).collect()}) == 1
+        monkeypatch.setattr(near_dup, "_in_stars", real)
+        shipped[n] = sent[0]
+    assert shipped[400] < 8 * shipped[100]  # four times the texts; sixteen times were the square
+    assert all(x <= near_dup.settings().bands * n * 1.1 for n, x in shipped.items())
+
+
+def test_joins_beyond_the_broadcast_limit(spark, monkeypatch):
+    from strata.llm import session
+
+    rows = corpus(4)
+    df = spark.createDataFrame(rows_from([t for _, t in rows]), SCHEMA).repartition(4, "doc_id")
+    monkeypatch.setattr(session, "BROADCAST_BYTES", -1)
+    got = {r.doc_id: r.class_id for r in near_dup.op9_minhash_near_dedup(df).collect()}
+    assert got == brute_classes(rows)
+    assert sorted(r.doc_id for r in near_dup.deduplicated(df).collect()) == sorted(set(got.values()))
