@@ -1,35 +1,47 @@
 """Embedding near-dedup by lattice hashing: E8 points of random projections, verified cosines.
 
-A vector of length one is projected on ``8 * blocks`` random orthonormal
-directions per table, scaled, and decoded to the nearest point of the E8
-lattice (per block of eight); that point is its cell. Cells of points close to
-a vector's projection are probed as well: the ``PROBES`` neighbouring cells
-(differences by one of the 240 shortest lattice vectors) that lie nearest.
-A pair is a candidate if in any of ``TABLES`` tables one vector's cell is the
-other's cell or among its probes; candidates are verified in double precision.
-
-At a cosine of exactly 0.98 one table with one block and eight probes finds 99
-of 100 pairs, so six tables miss one in 10^12; closer pairs are found more
-surely. Chance pairs are candidates with probability 0.001 per table, too many
-for very large labels, so the number of blocks follows the largest label
-(``settings_for``): two blocks square that probability, and 24 probes in eight
-tables (87 of 100 pairs each) keep the loss under one in 10^6.
+A vector of length one is projected on 16 random orthonormal directions per
+table, scaled, and decoded to the nearest point of the E8 lattice in each block
+of eight; the pair of points is its cell. Cells close to a vector's projection
+are probed as well: of those that differ in one block by one of the 240 shortest lattice
+vectors the ``PROBES`` nearest. Two vectors meet in a table if one's cell is the
+other's cell or among its probes. Cells are the finer the more
+vectors the largest label has (``cell_scale``), so that the
+number of chance meetings of a vector stays the same; the number of tables
+follows from the share of pairs at the threshold that meet in one, which is measured
+on made-up pairs (``tables_for``): all tables together miss at most ``MISS`` of them.
+
+From cells to links, without emitting the pairs of a group:
+
+1. Probed cells that are nobody's own are dropped by a broadcast Bloom filter while that is small.
+2. A vector stays in a cell if it has a mate there, one of the two being at home, whose
+   128 projection signs differ in at most ``SIGNS`` places (8 are expected at a cosine of 0.98, 64 by
+   chance; over 36 have a probability of 1e-13). That is two semi-joins, which stop at the first mate.
+3. The few that stay are compared in their cell's task: cosines by matrix products in double precision.
+   A pair that meets in several cells counts in the first of them, which both
+   vectors' lists of cells tell. A task emits a count for each vector and edges that connect
+   what is linked, not the links. A cell of over ``BLOCK`` vectors is dealt over tasks as pairs of blocks.
+4. Components of the edges.
 
 Equal vectors of a label are folded into one node before hashing, so a vector
 that a third of all rows share is hashed once and its copies are counted, not
-joined. A crowded cell is a skewed equi-join, which AQE splits.
+joined. The number of a vector's links is asked for, so n near copies that all differ cost n^2/2
+cosines, and n/BLOCK shipments of each; rows written grow with n.
 
 Defined cases: a vector that is null, empty, zero, or has a null or non-finite
 component, and a row without label, link with nothing and are their own
-component; only vectors of equal length are compared; rows are counted one by
-one even if they share a vec_id; other columns are ignored.
+component; only vectors of equal length are compared; a cosine of exactly 0.98, as doubles give it, is a
+link; very long vectors are handled whole; rows are counted one by
+one even if they share a vec_id; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +49,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import arrays
+from strata.llm.bloom import bloom
 from strata.llm.components import components
-from strata.llm.session import checkpointed, ship_code
+from strata.llm.session import checkpointed, ship_code, sized
 
 COSINE = 0.98
-TABLES = 6
+MISS = 1e-6
+BLOCKS = 2
 PROBES = 8
-CELL = 1.25  # cell scale against the projections' spread, for the figures above
+SIGNS = 36
 SEED = 20240
+BLOCK = 2048
 
 
 def _roots() -> np.ndarray:
@@ -78,112 +93,247 @@ def nearest_e8(x: np.ndarray) -> np.ndarray:
     return np.where(nearer[:, None], a, b)
 
 
-def projections(dimension: int, tables: int, blocks: int) -> np.ndarray:
-    """(tables, dimension, 8 * blocks) directions, orthonormal within a table as far as the dimension allows, scaled."""
+@lru_cache(maxsize=16)
+def projections(dimension: int, tables: int) -> np.ndarray:
+    """(tables, dimension, 8 * BLOCKS) directions, orthonormal within a table as far as the dimension allows, of unit spread."""
     rng = np.random.default_rng([SEED, dimension])
     out = []
     for _ in range(tables):
-        g = rng.normal(size=(dimension, 8 * blocks))
-        q = np.linalg.qr(g)[0] if dimension >= 8 * blocks else g / np.linalg.norm(g, axis=0)
-        out.append(q * (np.sqrt(dimension) / CELL))
+        g = rng.normal(size=(dimension, 8 * BLOCKS))
+        q = np.linalg.qr(g)[0] if dimension >= 8 * BLOCKS else g / np.linalg.norm(g, axis=0)
+        out.append(q * np.sqrt(dimension))
     return np.array(out)
 
 
-def cells(unit: np.ndarray, tables: int, blocks: int, probes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(table, home (n, 8 blocks), probed (n, probes, 8 blocks)) as whole numbers (twice the lattice points)."""
+# A point's hash is linear in its coordinates, so a neighbour's is the point's plus the step's.
+_MULTIPLIERS = arrays.mix((np.arange(8 * BLOCKS, dtype=np.uint64) + np.uint64(5)) * arrays.BASE).reshape(BLOCKS, 8) | np.uint64(1)
+_STEPS = (np.rint(2 * ROOTS).astype(np.int64).astype(np.uint64)[None] * _MULTIPLIERS[:, None, :]).sum(axis=2, dtype=np.uint64)
+
+
+def cells(unit: np.ndarray, tables: int, scale: float, probes: int = PROBES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per table the hash of each vector's cell (n) and of the cells it probes (n, probes)."""
     n = len(unit)
-    for table, q in enumerate(projections(unit.shape[1], tables, blocks)):
-        y = (unit @ q).reshape(n * blocks, 8)
-        home = nearest_e8(y)
-        # Nearest neighbours of each block's point, and how much further they are.
-        far = ((y - home)[:, None, :] - ROOTS[None]) ** 2
-        extra = far.sum(axis=2) - ((y - home) ** 2).sum(axis=1)[:, None]
-        near = np.argpartition(extra, probes, axis=1)[:, :probes]
-        points = np.concatenate([home[:, None, :], home[:, None, :] + ROOTS[near]], axis=1)
-        cost = np.concatenate([np.zeros((n * blocks, 1)), np.take_along_axis(extra, near, axis=1)], axis=1)
-        points, cost = points.reshape(n, blocks, probes + 1, 8), cost.reshape(n, blocks, probes + 1)
-        joint, total = points[:, 0], cost[:, 0]
-        for b in range(1, blocks):
-            joint = np.concatenate([np.repeat(joint, probes + 1, axis=1), np.tile(points[:, b], (1, joint.shape[1], 1))], axis=2)
-            total = (total[:, :, None] + cost[:, b][:, None, :]).reshape(n, -1)
-        best = np.argsort(total[:, 1:], axis=1, kind="stable")[:, :probes] + 1
-        whole = np.rint(2 * joint).astype(np.int64)
-        yield table, whole[:, 0], np.take_along_axis(whole, best[:, :, None], axis=1)
-
-
-def _cell_keys(points: np.ndarray, seed: np.ndarray) -> np.ndarray:
-    acc = seed.copy()
-    for k in range(points.shape[-1]):
-        acc = arrays.mix(acc * arrays.BASE + points[..., k].astype(np.uint64))
-    return arrays.signed(acc)
+    for q in projections(unit.shape[1], tables):
+        y = (unit @ q).reshape(n * BLOCKS, 8) / scale
+        point = nearest_e8(y)
+        far = (2 - 2 * (y - point) @ ROOTS.T).reshape(n, -1)  # how much further each neighbour is
+        near = np.argpartition(far, probes, axis=1)[:, :probes]
+        whole = np.rint(2 * point).astype(np.int64).astype(np.uint64).reshape(n, BLOCKS, 8)
+        home = (whole * _MULTIPLIERS).sum(axis=(1, 2), dtype=np.uint64)
+        yield home, home[:, None] + _STEPS.reshape(-1)[near]
+
+
+def cell_scale(largest_label: int) -> float:
+    """The cell's size against the projections' spread.
+
+    The probability of a chance meeting goes with the cell's volume, its sixteenth power; the root is
+    the fourteenth, since finer cells need more tables.
+    """
+    return float(np.clip(1.5 * (1e6 / max(1, largest_label)) ** (1 / 14), 0.8, 2.4))
+
+
+@lru_cache(maxsize=64)
+def recall(dimension: int, scale: float, probes: int = PROBES) -> float:
+    """The share of pairs of exactly the threshold that meet in one table, measured on made-up pairs."""
+    rng = np.random.default_rng([SEED, dimension, 1])
+    a = rng.normal(size=(1000, dimension))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    if dimension == 1:
+        return 1.0
+    side = rng.normal(size=a.shape)
+    side -= (side * a).sum(axis=1)[:, None] * a
+    b = COSINE * a + np.sqrt(1 - COSINE**2) * side / np.linalg.norm(side, axis=1)[:, None]
+    found = []
+    for (ha, pa_), (hb, pb) in zip(cells(a, 2, scale, probes), cells(b, 2, scale, probes)):
+        found.append((ha == hb) | (pa_ == hb[:, None]).any(axis=1) | (pb == ha[:, None]).any(axis=1))
+    return float(np.mean(found))
+
+
+def tables_for(dimension: int, scale: float, miss: float = MISS) -> int:
+    """As many tables as let at most ``miss`` of the pairs at the threshold meet in none."""
+    q = min(recall(dimension, scale), 0.995)  # two thousand pairs do not measure more
+    return max(1, math.ceil(math.log(miss) / math.log(1 - q)))
+
+
+@lru_cache(maxsize=16)
+def _sign_directions(dimension: int) -> np.ndarray:
+    return np.random.default_rng([SEED, dimension, 2]).normal(size=(dimension, 128))
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row's node (16 bytes of label and vector; null if it can't link) and its vector's bytes."""
     for batch in batches:
-        nodes: list[bytes | None] = []
-        vectors: list[bytes | None] = []
-        for vector, label in zip(batch["vector"].to_pylist(), batch["label"].to_pylist()):
-            node = raw = None
-            if vector and label is not None and None not in vector:
-                v = np.array(vector, dtype=np.float64)
-                with np.errstate(over="ignore"):
-                    square = float(v @ v)
-                if np.isfinite(v).all() and v.any():
-                    if not 1e-200 < square < 1e200:
-                        v = v / np.abs(v).max()  # same direction, and its square neither overflows nor vanishes
-                    raw = (v + 0.0).tobytes()
-                    node = hashlib.blake2b(label.encode() + b"\0" + raw, digest_size=16).digest()
-            nodes.append(node)
-            vectors.append(raw)
+        lists, labels = batch["vector"], batch["label"].to_pylist()
+        size = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+        flat = lists.flatten()
+        holes = flat.is_null().to_numpy(zero_copy_only=False)
+        values = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=True)
+        values[holes] = np.nan
+        values += 0.0  # one zero
+        end = np.cumsum(size)
+        some = np.flatnonzero(size > 0)
+        good = np.zeros(len(size), dtype=bool)
+        if len(some):
+            first = (end - size)[some]
+            with np.errstate(over="ignore", invalid="ignore"):
+                most = np.maximum.reduceat(np.abs(values), first)
+                square = np.add.reduceat(values * values, first)
+            good[some] = np.isfinite(most) & (most > 0)
+            # Very large or small: the same direction, whose square neither overflows nor vanishes.
+            for k in np.flatnonzero(good[some] & ~((square > 1e-200) & (square < 1e200))).tolist():
+                values[first[k] : end[some[k]]] /= most[k]
+        raw = values.tobytes()
+        nodes: list[bytes | None] = [None] * len(size)
+        vectors: list[bytes | None] = [None] * len(size)
+        for i in np.flatnonzero(good).tolist():
+            if labels[i] is not None:
+                vectors[i] = raw[8 * (end[i] - size[i]) : 8 * end[i]]
+                nodes[i] = hashlib.blake2b(labels[i].encode() + b"\0" + vectors[i], digest_size=16).digest()
         yield pa.RecordBatch.from_arrays(
             [batch["vec_id"], batch["label"], pa.array(nodes, pa.binary()), pa.array(vectors, pa.binary())], ["vec_id", "label", "node", "vector"]
         )
 
 
-def _cells(tables: int, blocks: int, probes: int):
+def _hashed(scale: float):
+    """Each node's cells, own and probed, and its signs."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch["vector"].to_pylist()
             group = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "big") for x in batch["label"].to_pylist()], dtype=np.uint64)
-            sizes = np.array([len(x) for x in raw])
-            for size in np.unique(sizes):
+            sizes = np.array([len(x) // 8 for x in raw], dtype=np.int64)
+            for size in np.unique(sizes).tolist():
                 mine = np.flatnonzero(sizes == size)
+                tables = tables_for(size, scale)
                 for lo in range(0, len(mine), 1024):
                     rows = mine[lo : lo + 1024]
-                    v = np.frombuffer(b"".join(raw[i] for i in rows), dtype=np.float64).reshape(len(rows), -1)
+                    v = np.frombuffer(b"".join(raw[i] for i in rows), dtype=np.float64).reshape(len(rows), size)
                     unit = v / np.linalg.norm(v, axis=1)[:, None]
-                    for table, home, probed in cells(unit, tables, blocks, probes):
-                        seed = arrays.mix(group[rows] + np.uint64(int(size) * tables + table))
-                        keys = np.concatenate([_cell_keys(home, seed)[:, None], _cell_keys(probed, np.repeat(seed[:, None], probed.shape[1], axis=1))], axis=1)
-                        is_home = np.zeros(keys.shape, dtype=bool)
-                        is_home[:, 0] = True
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(keys.ravel()), pa.array(is_home.ravel()), batch["node"].take(pa.array(np.repeat(rows, keys.shape[1])))],
-                            ["cell", "home", "node"],
-                        )
+                    homes, probed = [], []
+                    for table, (home, near) in enumerate(cells(unit, tables, scale)):
+                        seed = arrays.mix(group[rows] + np.uint64(size * 4096 + table))
+                        homes.append(arrays.mix(home + seed))
+                        probed.append(arrays.mix(near + seed[:, None]))
+                    homes, probed = np.stack(homes, axis=1), np.concatenate(probed, axis=1)
+                    signs = np.packbits(unit @ _sign_directions(size) > 0, axis=1).view(np.int64)
+                    lists = [pa.FixedSizeListArray.from_arrays(pa.array(arrays.signed(np.ascontiguousarray(x).ravel())), x.shape[1]) for x in (homes, probed)]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch["node"].take(pa.array(rows)), pa.array(signs[:, 0]), pa.array(signs[:, 1]), *(x.cast(pa.list_(pa.int64())) for x in lists)],
+                        ["node", "s1", "s2", "homes", "probed"],
+                    )
 
     return run
 
 
-def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        good = []
-        for a, b in zip(batch["va"].to_pylist(), batch["vb"].to_pylist()):
-            x, y = np.frombuffer(a), np.frombuffer(b)
-            good.append(len(x) == len(y) and float(x @ y) / float(np.sqrt(x @ x) * np.sqrt(y @ y)) >= COSINE)
-        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+def _placed(shared):
+    """A row for each node and cell: its own, and the probed ones that may be some vector's own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in ("homes", "probed"):
+                cell = batch[name].flatten().to_numpy()
+                row = np.repeat(np.arange(len(batch)), batch[name].value_lengths().to_numpy())
+                if name == "probed":
+                    keep = shared.value.passes(cell.view(np.uint64))
+                    cell, row = cell[keep], row[keep]
+                rows = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell), pa.array(np.full(len(row), name == "homes")), *(batch[c].take(rows) for c in ("node", "s1", "s2"))],
+                    ["cell", "home", "node", "s1", "s2"],
+                )
+
+    return run
 
 
-def settings_for(largest_label: int) -> dict[str, int]:
-    """Tables, blocks and probes for labels of up to so many vectors; none of them loses pairs."""
-    if largest_label <= 1_000_000:
-        return {"tables": TABLES, "blocks": 1, "probes": PROBES}
-    return {"tables": 8, "blocks": 2, "probes": 24}
+def _mates(some: DataFrame, others: DataFrame) -> DataFrame:
+    """The rows of ``some`` with a mate of like signs among ``others`` in their cell."""
+    o = others.select(F.col("cell").alias("c2"), F.col("node").alias("n2"), F.col("s1").alias("t1"), F.col("s2").alias("t2"))
+    differ = F.bit_count(F.col("s1").bitwiseXOR(F.col("t1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("t2")))
+    return some.join(o, (F.col("cell") == F.col("c2")) & (F.col("node") != F.col("n2")) & (differ <= SIGNS), "left_semi")
 
 
-def linked(embeddings: DataFrame, tables: int = TABLES, blocks: int = 1, probes: int = PROBES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows: vec_id, node), (nodes: node, copies, vector, first id), (edges a, b between different nodes)."""
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each (cell, x, y) of a sorted partition."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        now = pa.concat_tables([rest, now]).combine_chunks() if rest is not None else now
+        keys = np.stack([now[c].to_numpy() for c in ("cell", "x", "y")])
+        starts = np.append(0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1)
+        for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            yield now.slice(s, e - s)
+        rest = now.slice(int(starts[-1]))
+    if rest is not None and len(rest):
+        yield rest
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per cell or pair of its blocks: (node, null, links that count here) and (a, b, null) edges that connect what is linked."""
+    rows: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        a, b, n = zip(*rows) if rows else ((), (), ())
+        rows.clear()
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(n, pa.int64())], ["a", "b", "n"])
+
+    for group in _groups(batches):
+        raw = group["vector"].to_pylist()
+        sizes = np.array([len(x) for x in raw])
+        for size in np.unique(sizes).tolist():  # one, but for a collision of hashes
+            mine = np.flatnonzero(sizes == size)
+            if len(mine) > 1:
+                rows += _within(group.take(pa.array(mine)), [raw[i] for i in mine.tolist()])
+        if len(rows) > 1 << 15:
+            yield batch()
+    yield batch()
+
+
+def _within(group: pa.Table, raw: list[bytes]) -> list[tuple]:
+    cell, x, y = (group[c][0].as_py() for c in ("cell", "x", "y"))
+    block, copies, nodes = group["block"].to_numpy(), group["copies"].to_numpy(), group["node"].to_pylist()
+    left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+    if not len(left) or not len(right):
+        return []
+    v = np.frombuffer(b"".join(raw), dtype=np.float64).reshape(len(raw), -1)
+    norm = np.sqrt(np.einsum("ij,ij->i", v, v))
+    # Which of the cells before this one each vector is in, and at home in.
+    lists = group["cells"].combine_chunks()
+    row = np.repeat(np.arange(len(nodes)), lists.value_lengths().to_numpy())
+    entry = lists.flatten()
+    where, home = entry.field("cell").to_numpy(), entry.field("home").to_numpy(zero_copy_only=False)
+    here = np.zeros(len(nodes), dtype=bool)
+    here[row[(where == cell) & home]] = True
+    known, number, times = np.unique(where, return_inverse=True, return_counts=True)
+    early = (where < cell) & (times[number] > 1)
+    used, number = np.unique(number[early], return_inverse=True)
+    member = np.zeros((len(nodes), max(1, len(used))), dtype=np.float32)
+    at_home = np.zeros_like(member)
+    member[row[early], number] = 1
+    at_home[row[early], number] = home[early]
+    links = np.zeros(len(nodes), dtype=np.int64)
+    part = np.arange(len(nodes))
+    out: list[tuple] = []
+    for lo in range(0, len(left), 256):
+        i = left[lo : lo + 256]
+        close = (v[i] @ v[right].T) / (norm[i][:, None] * norm[right]) >= COSINE
+        close &= here[i][:, None] | here[right]
+        close &= (i[:, None] < right) if x == y else True
+        if not close.any():
+            continue
+        # Connected here, whichever cell counts the pair.
+        for k in np.flatnonzero(close.any(axis=1)).tolist():
+            for p in np.unique(part[right[close[k]]]).tolist():
+                if p != part[i[k]]:
+                    out.append((nodes[i[k]], nodes[p], None))
+                    part[part == p] = part[i[k]]
+        close &= ~((member[i] @ at_home[right].T + at_home[i] @ member[right].T) > 0)
+        links[i] += close @ copies[right]
+        links[right] += copies[i] @ close
+    return out + [(nodes[k], None, int(links[k])) for k in np.flatnonzero(links).tolist()]
+
+
+def linked(embeddings: DataFrame, scale: float | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows: vec_id, node), (nodes: node, copies, first id), (a, b, n: edges, and counts of links where b is null)."""
     ship_code(embeddings.sparkSession)
     slim = embeddings.select(
         "vec_id", F.col("embedding").cast("array<double>").alias("vector"), F.col("label").cast("string").alias("label")
@@ -195,31 +345,45 @@ def linked(embeddings: DataFrame, tables: int = TABLES, blocks: int = 1, probes:
         .groupBy("node")
         .agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("first_id"), F.first("label").alias("label"), F.first("vector").alias("vector"))
     )
-    placed = checkpointed(nodes.select("node", "label", "vector").mapInArrow(_cells(tables, blocks, probes), "cell long, home boolean, node binary"))
-    home = placed.where("home").select("cell", F.col("node").alias("p"))
-    pairs = (
-        home.join(placed.select("cell", F.col("node").alias("q")), "cell")
-        .where("p <> q")
-        .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
-        .distinct()
+    if scale is None:
+        scale = cell_scale(nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0)
+    hashed = checkpointed(
+        nodes.select("node", "label", "vector").mapInArrow(_hashed(scale), "node binary, s1 long, s2 long, homes array<long>, probed array<long>")
+    )
+    shared = embeddings.sparkSession.sparkContext.broadcast(bloom(hashed.select(F.explode("homes").alias("h"))))
+    placed = hashed.mapInArrow(_placed(shared), "cell long, home boolean, node binary, s1 long, s2 long")
+    home, probe = placed.where("home"), placed.where("NOT home")
+    stay = _mates(placed, home).unionByName(_mates(home, probe)).groupBy("cell", "node").agg(F.max("home").alias("home"))
+    members = checkpointed(stay)
+
+    number = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    crowds = members.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = (
+        members.select("cell", "node")
+        .join(sized(crowds), "cell")
+        .withColumn("block", number)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("cell", "node", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
     )
-    vector = nodes.select("node", "vector")
-    edges = (
-        pairs.join(vector.select(F.col("node").alias("a"), F.col("vector").alias("va")), "a")
-        .join(vector.select(F.col("node").alias("b"), F.col("vector").alias("vb")), "b")
-        .mapInArrow(_close, "a binary, b binary")
+    # At most tables * (1 + PROBES) cells a node.
+    info = members.groupBy("node").agg(F.collect_list(F.struct("cell", "home")).alias("cells")).join(nodes.select("node", "copies", "vector"), "node")
+    found = (
+        dealt.join(info, "node")
+        .repartition("cell", "x", "y")
+        .sortWithinPartitions("cell", "x", "y", "node")
+        .mapInArrow(_linked, "a binary, b binary, n long")
+        .groupBy("a", "b")
+        .agg(F.sum("n").alias("n"))
     )
-    return rows, nodes, checkpointed(edges)
+    return rows, nodes, checkpointed(found)
 
 
-def near_duplicate_vectors(embeddings: DataFrame, **options: int) -> DataFrame:
+def near_duplicate_vectors(embeddings: DataFrame, scale: float | None = None) -> DataFrame:
     """vec_id, n_links, component_id, kept, one row per row of ``embeddings``."""
-    rows, nodes, edges = linked(embeddings, **options)
-    copies = nodes.select("node", "copies")
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = both.join(copies.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.sum("copies").alias("near"))
-    found = components(edges)
-    named = nodes.select("node", "copies", "first_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows, nodes, found = linked(embeddings, scale)
+    near = found.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("near"))
+    parts = components(found.where("b IS NOT NULL").select("a", "b"))
+    named = nodes.select("node", "copies", "first_id").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     per_node = (
         named.join(lowest, "component")
@@ -236,8 +400,7 @@ def near_duplicate_vectors(embeddings: DataFrame, **options: int) -> DataFrame:
 
 
 def op2_lattice_near_dedup(embeddings: DataFrame) -> DataFrame:
-    largest = embeddings.where("label IS NOT NULL").groupBy("label").count().agg(F.max("count")).first()[0]
-    return near_duplicate_vectors(embeddings, **settings_for(largest or 0))
+    return near_duplicate_vectors(embeddings)
 
 
 ORACLE_SQL = """
