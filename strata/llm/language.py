@@ -23,9 +23,12 @@ The model is a few tables: the code length of each three-byte context's known
 bytes in every language, and of what escapes from it. Scoring is a table
 look-up per byte of whole texts.
 
-Defined cases: a text without a letter, or null, is ``und`` with score 0, and so
+Defined cases: a text without a letter (a character of the Unicode categories L; a fraction, a
+superscript or a Roman numeral sign is none), or null, is ``und`` with score 0, and so
 is every text if no language was learned; equal code lengths go to the first
-language in order; a null doc_id is neither held out nor trained on.
+language in order; a null doc_id is neither held out nor trained on; repeated rows are counted
+and predicted one by one; a very long text is read whole; an empty table gives no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -45,7 +48,6 @@ BLOCK_CELLS = 1 << 22  # of a block's table: listed grams times languages
 PAIRS = 1 << 16  # contexts of two bytes
 UNDETERMINED = "und"
 FOLDS, HELD_OUT = 5, 0
-_LETTER = re.compile(r"[^\W\d_]")
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
 EMPTY = np.uint32(0xFFFFFFFF)
 
@@ -243,23 +245,9 @@ def _by_language(counts: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     return {name: (grams_[which == i], n[which == i]) for i, name in enumerate(lang.dictionary.to_pylist())}
 
 
-def train(documents: DataFrame, max_nodes: int | None = None) -> Model:
-    """The context trees of all rows with a text and a lang, in one piece; columns text, lang.
-
-    ``max_nodes``, where given, keeps at most so many leaves, the most frequent ones.
-    """
-    counts = counted(documents)
-    if max_nodes is None:
-        return Model(_by_language(counts))
-    # The lowest count (a power of two) at which the tree fits.
-    sizes = counts.groupBy(F.floor(F.log2("n")).alias("b")).count().collect()
-    least, room = 0, max_nodes
-    for r in sorted(sizes, key=lambda r: -r["b"]):
-        room -= r["count"]
-        if room < 0:
-            least = 2 ** (r["b"] + 1)
-            break
-    return Model(_by_language(counts.where(F.col("n") >= least)))
+def train(documents: DataFrame) -> Model:
+    """The context trees of all rows with a text and a lang, in one piece; columns text, lang."""
+    return Model(_by_language(counted(documents)))
 
 
 class Blocks:
@@ -288,7 +276,7 @@ class Blocks:
 
 
 def has_letter(text: bytes) -> bool:
-    return bool(_ASCII_LETTER.search(text)) or not text.isascii() and bool(_LETTER.search(text.decode()))
+    return bool(_ASCII_LETTER.search(text)) or not text.isascii() and any(c.isalpha() for c in text.decode())
 
 
 PREDICTED = "lang_pred string, score double, bits_per_byte double"

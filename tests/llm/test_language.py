@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 import pyarrow as pa
 from conftest import TESTDATA
 from llm_fixtures import SCHEMA, nothing, odd, odd_rows, prose, rows_from  # noqa: F401
@@ -61,12 +62,19 @@ def test_code_lengths_are_those_of_the_context_trees():
             assert abs(sum(plain.distribution(context)) - 1) < 1e-9
 
 
-def test_the_pruned_tree_is_bounded(spark):
-    rng = random.Random(2)
-    docs = spark.createDataFrame(rows_from([prose(rng, 200, [f"w{rng.random()}" for _ in range(300)]) for _ in range(20)]), SCHEMA)
-    model = language.train(docs, max_nodes=500)
-    assert 0 < len(model.u4) <= 500 and model.languages == ["en"]
-    assert len(language.train(docs).u4) > 500
+@pytest.mark.parametrize("text, letter", [("\u00bd", False), ("\u00b2", False), ("\u2167", False), ("12 _ 3", False), ("\u0301", False), ("\U0001f600", False), ("\u00aa", True), ("\u02b0", True), ("\u8a9e", True), ("\u00bd x", True), ("\u00e9", True)])
+def test_what_a_letter_is(spark, text, letter):
+    """A character of the categories L; a fraction, a superscript, a Roman numeral sign or a mark is none."""
+    import unicodedata
+
+    assert any(unicodedata.category(c).startswith("L") for c in text) == letter
+    assert language.has_letter(text.encode()) == letter
+
+
+def test_texts_without_letters_are_undetermined(spark):
+    texts = ["the cat and the dog"] * 9 + ["\u00bd \u00b2", "\u2167", "\u00e9t\u00e9"]
+    got = {r.doc_id: r.lang_pred for r in language.op4_language_id(spark.createDataFrame(rows_from(texts), SCHEMA)).collect()}
+    assert (got[9], got[10], got[11]) == ("und", "und", "en")
 
 
 def test_held_out_accuracy(spark):
