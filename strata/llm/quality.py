@@ -9,14 +9,15 @@
    corpus, and come from a map-side partial aggregate.
 3. The posterior of a document's pattern is its label. A linear scorer over
    hashed token shapes learns them from a sample of ``TRAIN_DOCS`` documents
-   (spread over the corpus by a hash of their row), and scores every document.
+   (those with the smallest hashes of their rows), and scores every document.
 
 The scorer sees how a text is written throughout, not the thresholds, and
 decides where labellers disagree or abstain.
 
 Defined cases: a null or empty text is scored as a text without tokens (the
-``empty`` labeller calls it bad); repeated rows get equal scores; an empty table
-gives an empty result; other columns pass through unchanged.
+``empty`` labeller calls it bad); a very long text is read whole; a score equal to the threshold
+is kept; repeated rows get equal scores; an empty table gives an empty result; other columns pass
+through unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -122,9 +123,9 @@ def measures(t: Tokens) -> dict[str, np.ndarray]:
     }
 
 
-def votes(t: Tokens) -> np.ndarray:
+def votes(t: Tokens, m: dict[str, np.ndarray] | None = None) -> np.ndarray:
     """(documents, labellers): 1 good, 2 bad, 0 no vote. Without tokens only ``empty`` votes."""
-    m = measures(t)
+    m = m or measures(t)
     out = np.zeros((t.n_docs, len(LABELLERS)), dtype=np.int64)
     for j, (name, bad, good) in enumerate(LABELLERS):
         if good is not None:
@@ -164,7 +165,7 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
     return float(prior[1]), table, post
 
 
-def features(t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def features(t: Tokens, m: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, dimension, value) of the hashed features, by document.
 
     Token shapes (letter case, digits, punctuation; runs collapsed), pairs of
@@ -188,7 +189,7 @@ def features(t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     doc, dim, value = cell // DIMENSIONS, cell % DIMENSIONS, np.log1p(n)
     value /= np.sqrt(np.bincount(doc, weights=value**2, minlength=t.n_docs))[doc]
     # How much of the text is repeated, and its length: one flag each.
-    m = measures(t)
+    m = m or measures(t)
     flags = [np.floor(10 * m["repeat_share"]), np.floor(10 * np.minimum(m["distinct_share"], 1)), np.floor(np.log2(t.count + 1.0))]
     rows = np.arange(t.n_docs)
     flag = [(arrays.mix(x.astype(U64) + U64(1000 * (k + 1))) >> U64(52)).astype(np.int64) for k, x in enumerate(flags)]
@@ -223,17 +224,19 @@ def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, _, data, at in arrays.chunks(batch["text"]):
+        for lo, hi, data, at in arrays.chunks(batch["text"]):
             t = Tokens(data, at)
-            doc, dim, value = features(t)
-            cut = np.searchsorted(doc, np.arange(1, t.n_docs))
+            m = measures(t)
+            doc, dim, value = features(t, m)
+            ends = pa.array(np.searchsorted(doc, np.arange(t.n_docs + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(pattern(votes(t))),
-                    pa.array([x.tolist() for x in np.split(dim, cut)], pa.list_(pa.int32())),
-                    pa.array([x.tolist() for x in np.split(value, cut)], pa.list_(pa.float32())),
+                    batch["h"].slice(lo, hi - lo),
+                    pa.array(pattern(votes(t, m))),
+                    pa.ListArray.from_arrays(ends, pa.array(dim, pa.int32())),
+                    pa.ListArray.from_arrays(ends, pa.array(value, pa.float32())),
                 ],
-                ["pattern", "dim", "value"],
+                ["h", "pattern", "dim", "value"],
             )
 
 
@@ -262,15 +265,17 @@ def train(documents: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
 
     share = min(1.0, train_docs / counts.sum())
     by_row = F.pmod(F.xxhash64(*[documents[f"`{c}`"] for c in ("doc_id", "text")]), F.lit(1 << 30))
-    chosen = documents.where(by_row < int(share * (1 << 30))).select("text")
-    # A hash shares rows out evenly, but equal rows all share one fate: the bound is enforced.
-    rows = chosen.mapInArrow(_sample, "pattern long, dim array<int>, value array<float>").limit(2 * train_docs).collect()
-    sizes = np.array([len(r["dim"]) for r in rows], dtype=np.int64)
+    chosen = documents.select("text", by_row.alias("h")).where(F.col("h") < int(share * (1 << 30)))
+    # A hash shares rows out evenly, but equal rows all share one fate: the bound is enforced, and those
+    # with the smallest hashes stay, in whatever partitions they are.
+    made = chosen.mapInArrow(_sample, "h long, pattern long, dim array<int>, value array<float>")
+    rows = made.orderBy("h", "pattern", F.xxhash64("dim", "value")).limit(2 * train_docs).select("pattern", "dim", "value").toArrow().combine_chunks()
+    dims, values = (rows[c].combine_chunks() for c in ("dim", "value"))
     model.weights = fit(
-        np.repeat(np.arange(len(rows)), sizes),
-        np.array([d for r in rows for d in r["dim"]], dtype=np.int64),
-        np.array([v for r in rows for v in r["value"]], dtype=np.float64),
-        model.posterior[np.array([r["pattern"] for r in rows], dtype=np.int64)],
+        np.repeat(np.arange(len(rows)), dims.value_lengths().to_numpy()),
+        dims.flatten().to_numpy().astype(np.int64),
+        values.flatten().to_numpy().astype(np.float64),
+        model.posterior[rows["pattern"].to_numpy()],
     )
     return model
 
@@ -280,8 +285,9 @@ def _judged(column: pa.Array, posterior: np.ndarray, weights: np.ndarray) -> tup
     scores, weak, all_votes = [np.zeros(0)], [np.zeros(0)], [np.zeros((0, len(LABELLERS)), dtype=np.int64)]
     for _, _, data, at in arrays.chunks(column):
         t = Tokens(data, at)
-        v = votes(t)
-        scores.append(probability(*features(t), t.n_docs, weights))
+        m = measures(t)
+        v = votes(t, m)
+        scores.append(probability(*features(t, m), t.n_docs, weights))
         weak.append(posterior[pattern(v)])
         all_votes.append(v)
     return np.concatenate(scores), np.concatenate(weak), np.concatenate(all_votes)
