@@ -4,18 +4,21 @@ A page is its leaf blocks in order (``html_blocks``); each is tagged main text
 or not. Features of a block: its own tag, which elements and which words of
 class, id and role its ancestors have (in groups such as menu, advert, article),
 its length, share of linked text, punctuation, a few telling words, its place
-in the page and the groups of its neighbours' ancestors.
+in the page, the groups of its neighbours' ancestors and whether the neighbours are links.
 
 The CRF is trained on labelled pages made on the driver: the blocks of
 ``TRAIN_PAGES`` pages of the table whose markup names its parts (article, nav,
 footer, ...) are labelled by it, and their texts are also set into other page
 layouts, where each text's part is known. So it learns layouts that the table's
 pages do not show. The sample is fixed by a hash of the rows, whatever the
-table's size; an empty table trains on filler sentences.
+table's size; an empty table trains on filler sentences. Of a training page at most
+``TRAIN_BLOCKS`` blocks are learned from and ``TRAIN_TEXTS`` long and as many short texts are set into
+other layouts; extraction reads whole pages.
 
 Defined cases: null or blank html gives an empty text; a page whose every block
-is tagged as not main gives an empty text; repeated rows are handled one by
-one; other columns are ignored.
+is tagged as not main gives an empty text; a very long page is read whole; of equally good taggings
+Viterbi takes the one with fewer main blocks from the end; repeated rows are handled one by
+one; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,7 +36,8 @@ from strata.llm import crf
 from strata.llm.html_blocks import Block, Node, blocks
 from strata.llm.session import ship_code
 
-TRAIN_PAGES = 48
+# Bounds of the training sample.
+TRAIN_PAGES, TRAIN_BLOCKS, TRAIN_TEXTS = 48, 200, 20
 OTHER, MAIN = 0, 1
 
 # Words of class, id and role, by what they name.
@@ -58,8 +62,8 @@ INNERMOST = ("article", "main", "nav", "header", "footer", "aside", "form", "dia
 TELLING = ("©", "copyright", "all rights reserved", "cookie", "subscribe", "sign in", "log in", "newsletter", "privacy", "menu", "share", "advertisement", "sponsored", "reply", "comments", "related", "read more", "terms")
 OWN = ("p", "h1", "h2", "h3", "h4", "li", "td", "th", "div", "a", "span", "pre", "blockquote", "figcaption", "dt", "dd", "article", "main", "section", "body", "footer", "header", "nav", "aside", "form", "button", "summary", "legend", "address", "caption")
 
-# Slots: own tag; a flag per group and per element; innermost element and innermost group; length; links; end; words; place; first; last; neighbours.
-SIZES = (len(OWN) + 1, *[2] * len(GROUPS), *[2] * len(ELEMENTS), len(INNERMOST) + 1, len(GROUPS) + 1, 8, 4, 3, 2, 6, 2, 2, len(GROUPS) + len(INNERMOST) + 1, len(GROUPS) + len(INNERMOST) + 1)
+# Slots: own tag; a flag per group and per element; innermost element and innermost group; length; links; end; words; place; first; last; neighbours' ancestors; whether the neighbours are links.
+SIZES = (len(OWN) + 1, *[2] * len(GROUPS), *[2] * len(ELEMENTS), len(INNERMOST) + 1, len(GROUPS) + 1, 8, 4, 3, 3, 6, 2, 2, len(GROUPS) + len(INNERMOST) + 1, len(GROUPS) + len(INNERMOST) + 1, 4)
 OFFSETS = np.cumsum((0, *SIZES))
 
 
@@ -94,7 +98,8 @@ def features(page: list[Block]) -> np.ndarray:
     for i, b in enumerate(page):
         v = view(b.node)
         own = b.node.tag if b.node else ""
-        low = b.text.lower() if len(b.text) < 400 else ""
+        low = b.text.lower()
+        telling = sum(low.count(w) for w in TELLING)
         row = [
             OWN.index(own) + 1 if own in OWN else 0,
             *((k in v.groups for k in range(len(GROUPS))) if v else [0] * len(GROUPS)),
@@ -104,7 +109,7 @@ def features(page: list[Block]) -> np.ndarray:
             int(np.searchsorted((10, 25, 50, 100, 200, 400, 1000), len(b.text))),
             min(3, int(4 * b.linked / max(1, len(b.text)))),
             2 if b.text[-1] in ".!?…。:;" else 1 if any(c in b.text for c in ".,") else 0,
-            any(w in low for w in TELLING),
+            0 if not telling else 1 if 100 * telling < len(low) else 2,  # a word in a long text tells little
             min(5, int(6 * i / len(page))),
             i == 0,
             i == len(page) - 1,
@@ -112,8 +117,11 @@ def features(page: list[Block]) -> np.ndarray:
         inner.append(v.group + len(INNERMOST) if v and v.group else v.element if v else 0)
         out[i, : len(row)] = row
     if page:
-        out[1:, -2] = inner[:-1]
-        out[:-1, -1] = inner[1:]
+        out[1:, -3] = inner[:-1]
+        out[:-1, -2] = inner[1:]
+        link = np.array([b.linked >= len(b.text) for b in page], dtype=np.int64)
+        out[1:, -1] = link[:-1]
+        out[:-1, -1] += 2 * link[1:]
     return out + OFFSETS[:-1]
 
 
@@ -163,10 +171,11 @@ def _layouts(rng: random.Random, texts: list[str], shorts: list[str]) -> Iterato
 
         def menu() -> str:
             items = "".join(put("li", short(), OTHER).replace("<li>", "<li><a href='/x'>").replace("</li>", "</a></li>") for _ in range(rng.randint(2, 7)))
-            return rng.choice((f"<nav><ul>{items}</ul></nav>", f"<div{name('menu')}><ul>{items}</ul></div>", f"<ul{name('menu')}>{items}</ul>"))
+            plain = (f"<ul>{items}</ul>", f"<div><ul>{items}</ul></div>")  # told by its links alone
+            return rng.choice((f"<nav><ul>{items}</ul></nav>", f"<div{name('menu')}><ul>{items}</ul></div>", f"<ul{name('menu')}>{items}</ul>", *plain))
 
         def junk(group: str) -> str:
-            body = "".join(put(rng.choice(("p", "div", "h3")), rng.choice((short(), long())), OTHER) for _ in range(rng.randint(1, 3)))
+            body = "".join(put(rng.choice(("p", "div", "h2", "h3")), rng.choice((short(), long())), OTHER) for _ in range(rng.randint(1, 3)))
             plain = {"side": "aside", "footer": "footer", "header": "header", "form": "form", "notice": "dialog"}
             if group in plain and rng.random() < 0.5:
                 return f"<{plain[group]}>{body}</{plain[group]}>"
@@ -185,11 +194,11 @@ def _layouts(rng: random.Random, texts: list[str], shorts: list[str]) -> Iterato
                 out.append(f"<header>{h}</header>" if rng.random() < 0.25 else h)
             for _ in range(rng.randint(1, 8)):
                 kind = rng.random()
-                if kind < 0.68:
+                if kind < 0.60:
                     out.append(put("p", long(), MAIN))
-                elif kind < 0.76:
+                elif kind < 0.70:
                     out.append(put(rng.choice(("h2", "h3")), short(), MAIN))
-                elif kind < 0.82:
+                elif kind < 0.80:
                     out.append("<ul>" + "".join(put("li", rng.choice((short(), long())), MAIN) for _ in range(rng.randint(1, 4))) + "</ul>")
                 elif kind < 0.86:
                     out.append("<blockquote>" + put("p", long(), MAIN) + "</blockquote>")
@@ -207,9 +216,9 @@ def _layouts(rng: random.Random, texts: list[str], shorts: list[str]) -> Iterato
             if rng.random() < 0.55:
                 page += menu() if part == "menu" else ad() if part == "advert" else junk(part)
         if shell == "article":
-            page += f"<article>{main_part()}{junk('footer') if rng.random() < 0.2 else ''}</article>"
+            page += f"<article>{main_part()}{junk(rng.choice(('footer', 'comment'))) if rng.random() < 0.3 else ''}</article>"
         elif shell == "main":
-            page += f"<main>{main_part()}</main>"
+            page += f"<main>{main_part()}{junk('comment') if rng.random() < 0.3 else ''}</main>"
         elif shell == "div":
             page += f"<div{name('article')}>{main_part()}</div>"
         elif shell == "main-div":
@@ -229,12 +238,12 @@ def training_pages(sample: list[str], seed: int = 7) -> list[tuple[np.ndarray, n
     rng = random.Random(seed)
     out, texts, shorts = [], [], []
     for page in sample:
-        found = blocks(page)[:200]  # of a training page; extraction reads whole pages
+        found = blocks(page)[:TRAIN_BLOCKS]
         marks = [named_label(b) for b in found]
         if found and None not in marks:
             out.append((features(found), np.array(marks)))
-        texts += [b.text for b in found if len(b.text) >= 80][:20]
-        shorts += [b.text for b in found if len(b.text) < 80][:20]
+        texts += [b.text for b in found if len(b.text) >= 80][:TRAIN_TEXTS]
+        shorts += [b.text for b in found if len(b.text) < 80][:TRAIN_TEXTS]
     texts, shorts = texts or list(FILLER[:3]), shorts or list(FILLER[3:])
     for _ in range(30):
         for page, label in _layouts(rng, texts, shorts):

@@ -7,6 +7,7 @@ import html as html_module
 import numpy as np
 import pytest
 from conftest import TESTDATA
+from pages_by_hand import PAGES
 
 from strata.llm import html_extract as hx
 from strata.llm.html_blocks import blocks
@@ -118,3 +119,32 @@ def test_training_is_repeatable():
     b = hx.training_pages([PAGE])
     assert all((x == u).all() and (y == v).all() for (x, y), (u, v) in zip(a, b)) and len(a) > 100
     assert all(set(np.unique(y)) <= {0, 1} for _, y in a)
+
+
+@pytest.fixture(scope="module", params=["sf0.01", "sf0.1"])
+def trained(request, spark):
+    return hx.train(spark.read.parquet(str(TESTDATA / request.param / "pages.parquet")))
+
+
+@pytest.mark.parametrize("name", sorted(PAGES))
+def test_pages_written_by_hand(trained, name):
+    html, want = PAGES[name]
+    assert hx.main_text([html], trained) == ["\n\n".join(want)]
+
+
+def test_telling_words_count_in_blocks_of_any_length(trained):
+    """No switch at a length: the feature follows the share of telling words."""
+    for n in (398, 399, 400, 401, 900):
+        found = blocks("<p>" + ("cookie privacy terms " * 60)[:n] + "</p>")
+        assert hx.features(found)[0, 4 + len(hx.GROUPS) + len(hx.ELEMENTS) + 2] - hx.OFFSETS[4 + len(hx.GROUPS) + len(hx.ELEMENTS) + 2] == 2
+        plain = blocks("<p>" + ("river bridge meadow " * 60)[:n] + "</p>")
+        assert hx.features(plain)[0, 4 + len(hx.GROUPS) + len(hx.ELEMENTS) + 2] - hx.OFFSETS[4 + len(hx.GROUPS) + len(hx.ELEMENTS) + 2] == 0
+
+
+def test_whole_pages_beyond_the_training_bounds(trained):
+    """Training takes so many blocks and texts of a page; extraction takes all."""
+    n = hx.TRAIN_BLOCKS + 150
+    texts = [f"Sentence number {k} of a long article that goes on for many paragraphs, each of them like this one." for k in range(n)]
+    html = "<html><body><nav><a href='/'>Home</a></nav><article>" + "".join(f"<p>{t}</p>" for t in texts) + "</article><footer><p>Copyright</p></footer></body></html>"
+    assert hx.main_text([html], trained) == ["\n\n".join(texts)]
+    assert len(hx.training_pages([html])) > 1
