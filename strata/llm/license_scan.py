@@ -10,8 +10,13 @@ Beside them stand the base phrases, found as consecutive words.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased.
 
-Defined cases: a null text is empty and has no words and no labels; repeated
-rows are scanned one by one; other columns are ignored.
+Templates are the notices and short licences of ``license_templates.TEMPLATES`` and the full
+texts of the long ones; they are broadcast (bounded by the templates, about 130 KB) and compiled once per
+worker.
+
+Defined cases: a null text is empty and has no words and no labels; a very long text is
+scanned whole; where several templates accept at one place all count; repeated
+rows are scanned one by one; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import arrays
-from strata.llm.license_templates import EQUAL, TEMPLATES
+from strata.llm.license_templates import EQUAL, TEMPLATES, full_texts
 from strata.llm.session import ship_code
 
 # The base phrases and their labels.
@@ -120,6 +125,15 @@ class Automaton:
 
 
 class Scanner:
+    _made: dict[tuple, Scanner] = {}
+
+    @classmethod
+    def of(cls, templates: dict[str, str]) -> Scanner:
+        key = tuple(sorted(templates.items()))
+        if key not in cls._made:
+            cls._made = {key: cls(templates)}
+        return cls._made[key]
+
     def __init__(self, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES):
         self.automata = {label: Automaton(t) for label, t in templates.items()}
         self.phrases = [(words_of(p), label) for p, label in phrases.items()]
@@ -166,17 +180,20 @@ def _following(w: arrays.Words, i: int) -> Iterator[bytes]:
         yield _EQUAL.get(x, x)
 
 
-def scan_licenses(documents: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def scan_licenses(documents: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """doc_id, n_words, found: array of (kind, label, first, n) in word positions.
 
+    templates: those of ``license_templates`` unless others are given.
+
     kind is "base" for a phrase and "template" for an accepted template.
     """
     ship_code(documents.sparkSession)
+    shared = documents.sparkSession.sparkContext.broadcast(TEMPLATES | full_texts() if templates is None else templates)
     kind = documents.schema["doc_id"].dataType.simpleString()
     place = pa.list_(pa.struct([("kind", pa.string()), ("label", pa.string()), ("first", pa.int64()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates)
+        scanner = Scanner.of(shared.value)
         for batch in batches:
             counts, found = [], []
             for lo, hi, data, at in arrays.chunks(batch["text"]):

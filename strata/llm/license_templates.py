@@ -2,9 +2,22 @@
 
 ``<<beginOptional>> ... <<endOptional>>`` may be absent; ``<<var N>>`` stands
 for zero to N words of any kind; everything else is mandatory wording. Spelling
-variants that count as equal are in ``EQUAL``.
+variants that count as equal are in ``EQUAL``. The long licences' full texts, from their
+titles (optional) to the end of their terms, are files of the same markup under ``licenses``.
 """
 
+from __future__ import annotations
+
+from pathlib import Path
+
+FULL_TEXTS = Path(__file__).resolve().parent / "licenses"
+
+
+def full_texts() -> dict[str, str]:
+    """Apache-2.0, GPL-2.0, GPL-3.0, LGPL-2.1, LGPL-3.0 and MPL-2.0 by label; read on the driver."""
+    return {p.stem: p.read_text(encoding="utf-8") for p in sorted(FULL_TEXTS.glob("*.txt"))}
+
+
 # Published license wordings.
 TEMPLATES: dict[str, str] = {
     "mit": """

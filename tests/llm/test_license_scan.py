@@ -12,6 +12,7 @@ from llm_fixtures import SCHEMA, nothing, odd, odd_rows, rows_from  # noqa: F401
 
 from strata.llm import arrays
 from strata.llm import license_scan as ls
+from strata.llm import license_templates
 from strata.llm.license_templates import TEMPLATES
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -148,3 +149,36 @@ def test_the_bsd_liability_clause_is_mandatory(label):
     assert ("template", label) in [x[:2] for x in found(full)]
     for text in (full[: full.index("IN NO EVENT")], full.replace("STRICT LIABILITY", "NO LIABILITY")):
         assert ("template", label) not in [x[:2] for x in found(text)]
+
+
+FULL = license_templates.full_texts()
+
+
+@pytest.mark.parametrize("label", sorted(FULL))
+def test_a_full_text_is_accepted_and_one_altered_word_is_not(label):
+    text = ls.MARKUP.sub(" ", FULL[label].replace("<<beginOptional>>Library<<endOptional>>", ""))
+    automaton = ls.Automaton(FULL[label])
+    words = ls.words_of(text)
+    body = words[words.index(automaton.anchor[0]) :]
+    while not automaton.longest(iter(body)):
+        body = body[body.index(automaton.anchor[0], 1) :]  # the anchor's first word may stand in the title
+    assert automaton.longest(iter(body + [b"and", b"more"])) == len(body) and automaton.mandatory > 1000
+    rng = random.Random(len(body))
+    for k in [0, len(body) - 1, *rng.sample(range(len(body)), 20)]:
+        if body[k] in (b"lesser", b"library") and label == "gpl-2.0":
+            continue
+        assert not automaton.longest(iter([*body[:k], b"altered", *body[k + 1 :]]))
+        assert not automaton.longest(iter([*body[:k], *body[k + 1 :]])) or body[k : k + 1] == body[k + 1 : k + 2]
+
+
+def test_full_texts_in_documents(spark):
+    texts = []
+    for label in sorted(FULL):
+        text = ls.MARKUP.sub(" ", FULL[label].replace("<<beginOptional>>Library<<endOptional>>", ""))
+        texts += ["/* \n * " + text.replace("\n", "\n * ").upper() + "*/ int x;", text.replace("shall", "may", 1).replace("must", "may", 1)]
+    got = {r.doc_id: r for r in ls.op8_license_scan(spark.createDataFrame(rows_from(texts), SCHEMA)).collect()}
+    for k, label in enumerate(sorted(FULL)):
+        assert label in got[2 * k].labels.split(",") and got[2 * k].score == 1.0
+        assert label not in got[2 * k + 1].labels.split(",")
+    older = ls.MARKUP.sub(" ", FULL["gpl-2.0"].replace("<<beginOptional>>Lesser<<endOptional>>", ""))
+    assert "gpl-2.0" in ls.op8_license_scan(spark.createDataFrame(rows_from([older]), SCHEMA)).first().labels.split(",")
