@@ -4,9 +4,10 @@ Base spans are the patterns' matches (leftmost, not overlapping, per kind);
 they are always reported. The CRF learns from them: all documents are labelled
 first; about ``TRAIN_DOCS`` of those with a base span give ``TRAIN_WINDOWS``
 labelled windows around base secrets, and about as many of all documents give as
-many around other unusual tokens (each sample by a hash of the rows), each secret
-also once with its neighbours hidden, so that the shape of a secret counts
-without a keyword before it. Its features are a token's shape (length, character sets, switches
+many around other unusual tokens (each sample by a hash of the rows, at most ``PER_TEXT`` of a text), each secret
+also once with its neighbours and the file's features hidden, so that the shape of a secret counts
+without a keyword before it, and once with other random characters in its place (``disguised``), so that it isn't
+the one shape that counts which the table's secrets happen to have. Its features are a token's shape (length, character sets, switches
 between letters and digits), its first bytes, the neighbouring words, and what
 the file contains. Whole texts are then decoded by Viterbi; a tagged span that
 does not lie wholly inside one base span is reported as kind ``crf``.
@@ -15,13 +16,16 @@ Tokens are runs of letters, digits, ``_`` and non-ASCII bytes, and runs of
 other visible characters. Offsets are code points, ends exclusive.
 
 Defined cases: a null text is empty and has no spans; without any base secret
-in the table the CRF adds nothing; repeated rows are scanned one by one; other
-columns are ignored.
+in the table the CRF adds nothing; a very long text is scanned whole; spans that start at one place
+are ordered by kind, then end; repeated rows are scanned one by one; an empty table gives no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +44,8 @@ HEX = re.compile(rb"[0-9a-f]+")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 KEYWORDS = ("password", "passwd", "pwd", "secret", "token", "api", "key", "apikey", "api_key", "auth", "bearer", "credential", "access", "private")
-TRAIN_DOCS, TRAIN_WINDOWS = 20_000, 1_000
+# Bounds of the training sample; whole texts are scanned whatever they are.
+TRAIN_DOCS, TRAIN_WINDOWS, PER_TEXT = 20_000, 1_000, 8
 WINDOW, AROUND = 24, 11
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 U64 = np.uint64
@@ -168,6 +173,27 @@ def labels(t: Tokens) -> np.ndarray:
     return tags
 
 
+ALPHABETS = (string.ascii_letters + string.digits, string.ascii_uppercase + string.digits, string.ascii_lowercase + string.digits)
+
+
+def random_secret(rng: random.Random) -> str:
+    """A string of one alphabet, sometimes in two parts or behind a short word."""
+    made = "".join(rng.choices(rng.choice(ALPHABETS), k=rng.randint(18, 48)))
+    if rng.random() < 0.3:
+        made = "".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 5))) + "_" + made
+    return made
+
+
+def disguised(text: bytes, seed: int) -> bytes:
+    """The text with other random characters in place of each secret that a keyword names."""
+    rng, out, at = random.Random(seed), [], 0
+    for kind, _, end, secret in sorted(base_spans(text), key=lambda x: x[3]):
+        if kind == "assign" and secret >= at:
+            out += [text[at:secret], random_secret(rng).encode()]
+            at = end
+    return b"".join([*out, text[at:]])
+
+
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row's hash, and whether its text has a base span."""
     for batch in batches:
@@ -192,21 +218,27 @@ def _windows(below_held: int, below_all: int):
                 h = hashes[rows[lo:hi]]
                 # Rows beyond the common sample count only where they hold a secret.
                 use = [i for i in range(hi - lo) if h[i] < below_all or base_spans(data[at[i] : at[i + 1]].tobytes())]
-                data, at = arrays.texts(pa.array([data[at[i] : at[i + 1]].tobytes() for i in use], pa.binary()))
+                given = [data[at[i] : at[i + 1]].tobytes() for i in use]
+                # Disguised copies follow the texts, and give windows with a secret only.
+                copies = [(i, disguised(x, int(h[i]))) for i, x in zip(use, given) if base_spans(x)]
+                plain, use = len(given), use + [i for i, _ in copies]
+                data, at = arrays.texts(pa.array(given + [x for _, x in copies], pa.binary()))
                 t = Tokens(data, at)
                 ids, tags = features(t), labels(t)
                 begin = tags == BEGIN
                 other = np.flatnonzero(~begin & (ids[:, 3] - OFFSETS[3] == 5) & (t.end - t.start >= 6))
-                # At most eight windows of either kind of a text: the sample is of documents, not of their repetitions.
+                # At most PER_TEXT windows of either kind of a text: the sample is of documents, not of their repetitions.
                 for secrets, centre in ((True, np.flatnonzero(begin)), (False, np.union1d(other, t.first[:-1][np.diff(t.first) > 0]))):
                     rank = np.arange(len(centre)) - np.searchsorted(t.doc[centre], t.doc[centre])
+                    few = rank < PER_TEXT
+                    rank += PER_TEXT * (t.doc[centre] >= plain)
                     out = {"ids": [], "tags": [], "secret": [], "h": [], "rank": []}
-                    for c, r in zip(centre[rank < 8].tolist(), rank[rank < 8].tolist()):
+                    for c, r in zip(centre[few].tolist(), rank[few].tolist()):
                         lo_ = max(int(t.first[t.doc[c]]), c - AROUND)
                         hi_ = min(int(t.first[t.doc[c] + 1]), lo_ + WINDOW)
                         own = h[use[t.doc[c]]]
                         # A window beside a secret that shows it is one with a secret already.
-                        if (tags[lo_:hi_] > 0).any() != secrets or own >= (below_held if secrets else below_all):
+                        if t.doc[c] >= plain and not secrets or (tags[lo_:hi_] > 0).any() != secrets or own >= (below_held if secrets else below_all):
                             continue
                         for name, x in zip(out, (ids[lo_:hi_].astype(np.int32).tobytes(), tags[lo_:hi_].astype(np.int32).tobytes(), secrets, int(own), r)):
                             out[name].append(x)
@@ -216,6 +248,20 @@ def _windows(below_held: int, below_all: int):
     return run
 
 
+def hide(ids: np.ndarray, seed: int = 11) -> np.ndarray:
+    """Windows without what surrounds a secret: three of five among words, the others at a text's edge, in
+    files with and without keywords and assignments."""
+    out, rng = ids.copy(), np.random.default_rng(seed)
+    near = np.where(rng.random(len(ids)) < 0.6, 8, 0)[:, None]
+    file = rng.integers(0, 4, len(ids))[:, None]
+    for slot in (4, 5, 6):
+        out[:, :, slot] = OFFSETS[slot] + near
+    out[:, :, 7] = OFFSETS[7] + near * 30 + (ids[:, :, 7] - OFFSETS[7]) % 3
+    own = ids[:, :, 8] - OFFSETS[8]
+    out[:, :, 8] = OFFSETS[8] + own // 16 * 16 + 4 * file + own % 4
+    return out
+
+
 def train(documents: DataFrame, train_docs: int = TRAIN_DOCS) -> crf.Chain | None:
     """The CRF fitted to the base patterns' secrets of about ``train_docs`` documents that have some; None if none has."""
     ship_code(documents.sparkSession)
@@ -244,10 +290,7 @@ def train(documents: DataFrame, train_docs: int = TRAIN_DOCS) -> crf.Chain | Non
     if not secret.any():
         return None
     plain, held = np.flatnonzero(~secret), np.flatnonzero(secret)
-    hidden = ids[held].copy()
-    for slot in (4, 5, 6, 7):
-        hidden[:, :, slot] = OFFSETS[slot]
-    hidden[:, :, 7] += np.maximum(ids[held][:, :, 7] - OFFSETS[7], 0) % 3
+    hidden = hide(ids[held])
     use = np.concatenate([held, plain])
     chain = crf.Chain(int(OFFSETS[-1]), 3)
     weight = np.concatenate([np.ones(len(use)), np.full(len(held), 0.5)])

@@ -165,3 +165,29 @@ def test_a_tagged_span_beyond_a_base_span_is_reported(monkeypatch):
     [got] = list(ss.scan(pa.array([text]), crf.Chain(1, 3)))
     assert [(s["kind"], s["start"], s["end"]) for s in got if s["kind"] == "crf"] == [("crf", *spans[0][1:])]
     assert [(s["kind"], s["start"], s["end"]) for s in got if s["kind"] != "crf"] == brute(text)
+
+
+def test_precision_and_recall_on_shapes_not_trained_on(spark):
+    """Trained on the given documents, whose secrets are all of one shape; measured on eight other shapes without keywords."""
+    from secrets_by_shape import OTHERS, SECRETS, documents
+
+    chain = ss.train(spark.read.parquet(str(TESTDATA / "sf0.1" / "documents.parquet")))
+    rng = random.Random(21)
+    secrets, others = documents(rng, prose, SECRETS, 40), documents(rng, prose, OTHERS, 40)
+    found = list(ss.scan(pa.array([t for _, t, _ in secrets]), chain))
+    assert not any(s["kind"] != "crf" for spans in found for s in spans)  # the base patterns see none of them
+    whole = sum(any(s["start"] <= t.index(x) and s["end"] >= t.index(x) + len(x) for s in spans) for (_, t, x), spans in zip(secrets, found))
+    extra = sum(s["end"] <= t.index(x) or s["start"] >= t.index(x) + len(x) for (_, t, x), spans in zip(secrets, found) for s in spans)
+    wrong = sum(len(spans) for spans in ss.scan(pa.array([t for _, t, _ in others]), chain))
+    assert whole / len(secrets) >= 0.95
+    assert whole / (whole + wrong + extra) >= 0.95
+
+
+def test_the_sample_crosses_its_bound_per_text(spark):
+    """More secrets in a text than are sampled of it: the rest is found all the same."""
+    rng = random.Random(22)
+    texts = [" ".join(f"{prose(rng, 6)} token = {random_secret(rng)}" for _ in range(ss.PER_TEXT * 2)) for _ in range(30)]
+    texts += [prose(rng, 60) + " 2023-11-30 abc123 " + prose(rng, 30) for _ in range(60)]
+    chain = ss.train(spark.createDataFrame(rows_from(texts), SCHEMA))
+    hidden = [prose(rng, 9) + " " + random_secret(rng) + " " + prose(rng, 9) for _ in range(40)]
+    assert sum(bool(x) for x in ss.scan(pa.array(hidden), chain)) >= 36
