@@ -11,12 +11,14 @@ inside a later occurrence, each distinct line stays somewhere.
 How it scales: a window travels as a 128-bit hash with its place. Occurrences
 are counted with a map-side partial aggregate, so a window that stands in a
 third of all documents sends one row per task. The repeated windows (one row
-each) are joined back; a hot window is a skewed join whose large side AQE
-splits, and no task gathers its occurrences. Only the removed line numbers are
-grouped, per document.
+each) are written down and joined back: by a broadcast while they are measured to be
+small, so that no other window leaves its task; else by a join for which both sides are dealt
+anew, so that AQE can split a hot window. Only the removed line numbers are grouped, per
+document; they reach the texts in the same way, so a text without a removed line crosses no shuffle
+while they are small.
 
 Defined cases: a null text stays null and a text of fewer than three non-blank
-lines is never changed; a null doc_id orders after all others; rows that agree
+lines is never changed; a very long text is handled whole; an empty table stays one; a null doc_id orders after all others; rows that agree
 in doc_id and text are one document and share one result; other columns pass
 through unchanged, whatever their names.
 """
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import arrays
-from strata.llm.session import ship_code
+from strata.llm.session import ship_code, sized
 
 LINES = 3
 # Names of the columns added while it runs; the input's own are set aside.
@@ -95,7 +97,7 @@ def removals(documents: DataFrame) -> DataFrame:
         .select("w1", "w2", "first")
     )
     return (
-        w.join(repeated, ["w1", "w2"])
+        w.join(sized(repeated), ["w1", "w2"])
         .where(place > F.col("first"))
         .groupBy("doc_id", "k")
         .agg(F.collect_set(F.struct("line", "last")).alias("spans"))
@@ -132,7 +134,7 @@ def _gaps(covered: np.ndarray) -> list[tuple[int, int]]:
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
     """All columns of ``documents`` with the repeated lines gone, and ``_strata_gone``, their number."""
-    gone = removals(documents)
+    gone = sized(removals(documents), 16 * F.size("spans"))
     names = documents.columns
     left = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias(ROW)).withColumn(KEY, F.xxhash64(F.col(f"{ROW}.text")))
     joined = left.join(gone, left[ROW]["doc_id"].eqNullSafe(gone["doc_id"]) & (left[KEY] == gone["k"]), "left")

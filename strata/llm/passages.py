@@ -12,11 +12,13 @@ its anchor. Equal windows have equal anchors at the same place, and neighbouring
 windows mostly share theirs, so one row for about thirteen words is shuffled to
 find the anchors that repeat. The windows with such an anchor then travel as a
 128-bit hash with their place and are grouped and joined back as in line dedup:
-partial counts in the tasks, the repeated windows one row each, the large side of
-a hot join split by AQE. Only the starts of cut windows are grouped, per document.
+partial counts in the tasks, the repeated windows one row each, written down, and broadcast while
+they are measured to be small; else both sides are dealt for the join, so that AQE can
+split a hot window. Only the starts of cut windows are grouped, per document. Texts
+are reached the same way: while the documents to look at are few, no other text is shuffled.
 
 Defined cases: a null text stays null and a text of fewer words than a window is
-never changed; a null doc_id orders after all others; rows that agree in doc_id
+never changed; a very long text is handled whole; an empty table stays one; a null doc_id orders after all others; rows that agree in doc_id
 and text are one document and share one result; other columns pass through
 unchanged, whatever their names, but n_chars follows the text.
 """
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import arrays
 from strata.llm.decontaminate import PAIRS, _cutter, _given
-from strata.llm.session import checkpointed, same_columns, ship_code
+from strata.llm.session import checkpointed, same_columns, ship_code, sized
 
 WORDS = 50
 
@@ -129,7 +131,8 @@ def repeats(documents: DataFrame, words: int = WORDS) -> DataFrame:
     kind = slim.schema["doc_id"].dataType.simpleString()
     runs = slim.mapInArrow(_runs(words), f"doc_id {kind}, k long, a long, first int, last int")
     again = runs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
-    open_ = runs.join(again, "a").groupBy("doc_id", "k").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    open_ = runs.join(sized(again), "a").groupBy("doc_id", "k").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    open_ = sized(open_, 8 * F.size("runs"))
     same = slim["doc_id"].eqNullSafe(open_["doc_id"]) & (slim["k"] == open_["k"])
     texts = slim.join(open_, same).select(slim["doc_id"], slim["k"], "text", "runs")
     w = checkpointed(texts.mapInArrow(_windows(words), f"doc_id {kind}, k long, start int, w1 long, w2 long"))
@@ -141,7 +144,7 @@ def repeats(documents: DataFrame, words: int = WORDS) -> DataFrame:
         .select("w1", "w2", "earliest")
     )
     return (
-        w.join(repeated, ["w1", "w2"])
+        w.join(sized(repeated), ["w1", "w2"])
         .where(place > F.col("earliest"))
         .groupBy("doc_id", "k")
         .agg(F.collect_set("start").alias("starts"))
@@ -151,7 +154,7 @@ def repeats(documents: DataFrame, words: int = WORDS) -> DataFrame:
 
 def cut_passages(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """``documents`` without the later occurrences, all rows and columns kept; reads ``documents`` several times."""
-    found = repeats(documents, words)
+    found = sized(repeats(documents, words), 16 * F.size("spans"))
     names = documents.columns
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_strata_row"), F.xxhash64("text").alias("_strata_k"))
     same = rows["_strata_row"]["doc_id"].eqNullSafe(found["doc_id"]) & (rows["_strata_k"] == found["k"])
