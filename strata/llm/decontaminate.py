@@ -6,16 +6,24 @@ is one window of its own length. Every document's words are hashed in windows
 of the same lengths and looked up; each hit is verified against the item's
 words themselves, so a hash collision changes nothing.
 
-The set is broadcast only within a proven bound: the items' total size is
-measured first, and items beyond ``block_bytes`` are dealt over several blocks.
-Each is read, broadcast (about six bytes for a byte of text) and scanned for in
+The set is broadcast only within a proven bound: equal items are folded and their total size is
+measured first. Items beyond ``block_bytes`` are dealt over several blocks, each measured too;
+each is read, broadcast (about six bytes for a byte of text) and scanned for in
 a pass of its own, whose hits are written before the next block is read; then
 they are merged per document. The driver holds one block at a time.
 
+Beyond ``max_blocks`` blocks, or if a block is larger than its bound (one huge item), the
+items stay distributed: their windows are written as hashes with their words, and the documents'
+windows are joined to them, words compared. A broadcast Bloom filter of bounded size (``bloom``)
+keeps most other windows in their tasks; a window in a third of all documents is
+a skewed join whose sides are both dealt for it, so AQE can split it.
+
 Defined cases: a null or wordless document has no words and no hits; a null or
 wordless item has no windows; an item without id counts as item ``""``; items
-that share an id count as one item; repeated rows are handled one by one; all
-further columns of the inputs are ignored.
+that share an id count as one item, equal items as one; repeated documents are handled one by one;
+a very long document or item is never cut; a document word in several windows is hit once; an
+empty table of items gives no hits, one of documents no rows; all further columns of
+the inputs are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,10 +36,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import arrays
-from strata.llm.session import checkpointed, same_columns, ship_code
+from strata.llm.bloom import bloom
+from strata.llm.session import checkpointed, same_columns, ship_code, sized
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
+MAX_BLOCKS = 4
 FILTER_BITS = 22
 
 
@@ -101,21 +111,31 @@ def scan(column: pa.Array, windows: WindowSet) -> Iterator[tuple[int, list[tuple
 class Blocks:
     """The items' windows in sets made from about ``block_bytes`` of text each, read one at a time.
 
-    Items are dealt over the blocks by a hash; a single item longer than a block
-    is still whole.
+    Different items are dealt over the blocks by a hash. ``bounded`` says whether every
+    block was measured to be within the bound.
     """
 
     def __init__(self, benchmark: DataFrame, window: int, block_bytes: int):
         self.window = window
-        self.items = benchmark.select(
-            F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").alias("words")
-        ).where("words IS NOT NULL")
-        size = self.items.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-        self.count = 1 if size <= block_bytes else -(-size // max(1, block_bytes // 2))
+        self.items = (
+            benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").alias("words"))
+            .where("words IS NOT NULL")
+            .distinct()
+        )
+        size = F.octet_length("words") + F.octet_length("item") + 64
+        whole = self.items.agg(F.sum(size)).first()[0] or 0
+        self.count, self.bounded = 1, True
+        if whole > block_bytes:
+            self.count = -(-whole // max(1, block_bytes // 2))
+            largest = self.items.groupBy(self._number()).agg(F.sum(size).alias("s")).agg(F.max("s")).first()[0]
+            self.bounded = largest <= block_bytes
+
+    def _number(self):
+        return F.pmod(F.xxhash64("item", "words"), F.lit(self.count))
 
     def __iter__(self) -> Iterator[WindowSet]:
         for k in range(self.count):
-            part = self.items.where(F.pmod(F.xxhash64("item", "words"), F.lit(self.count)) == k) if self.count > 1 else self.items
+            part = self.items.where(self._number() == k) if self.count > 1 else self.items
             yield WindowSet([tuple(r) for r in part.collect()], self.window)
 
 
@@ -128,8 +148,15 @@ UNION = (
 )
 
 
+def _hits(documents: DataFrame, sets: Blocks, max_blocks: int) -> DataFrame:
+    """doc_id, k (hash of the text), spans, items of the documents with a hit, written down."""
+    small = sets.bounded and sets.count <= max_blocks
+    found = _hits_of_blocks(documents, sets) if small else _hits_by_join(documents, sets)
+    return sized(found, 16 * F.size("spans") + F.octet_length(F.array_join("items", ",")) + 16 * F.size("items"))
+
+
 def _hits_of_blocks(documents: DataFrame, sets: Blocks) -> DataFrame:
-    """doc_id, k (hash of the text), spans, items of the documents with a hit; each block's pass is written down."""
+    """The hits of one pass per block; each pass is written down."""
     spark = documents.sparkSession
     slim = documents.select("doc_id", "text", F.xxhash64("text").alias("k"))
     kind = slim.schema["doc_id"].dataType.simpleString()
@@ -141,28 +168,100 @@ def _hits_of_blocks(documents: DataFrame, sets: Blocks) -> DataFrame:
         found = part if found is None else found.unionByName(part)
     # Rows that agree in id and text have the same hits: merging makes them one.
     items = F.array_sort(F.array_distinct(F.flatten(F.collect_list("items"))))
-    return checkpointed(found.groupBy("doc_id", "k").agg(F.expr(UNION).alias("spans"), items.alias("items")))
+    return found.groupBy("doc_id", "k").agg(F.expr(UNION).alias("spans"), items.alias("items"))
+
+
+def _item_windows(window: int):
+    """Every window of each item: its number of words, its hash, its words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, at in arrays.chunks(batch["words"]):
+                w = arrays.Words(data, at)
+                h = w.hashes()
+                for n in sorted({min(window, c) for c in w.count.tolist()} - {0}):
+                    ok = np.flatnonzero(arrays.in_one_text(w.doc, n))
+                    ok = ok if n == window else ok[w.count[w.doc[ok]] == n]
+                    rows = pa.array(lo + w.doc[ok])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch["item"].take(rows),
+                            pa.array(np.full(len(ok), n), pa.int32()),
+                            pa.array(arrays.signed(arrays.roll(h, n)[ok]), pa.int64()),
+                            pa.array([w.text(i, n) for i in ok.tolist()], pa.binary()),
+                        ],
+                        ["item", "n", "h", "win"],
+                    )
+
+    return run
+
+
+def _maybe(lengths: list[int], shared):
+    """The documents' windows that the filter lets pass: the first word's number, the window's size, hash and words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, at in arrays.chunks(batch["text"]):
+                w = arrays.Words(data, at)
+                words = w.hashes()
+                for n in lengths:
+                    h = arrays.roll(words, n)
+                    ok = np.flatnonzero(shared.value.passes(h) & arrays.in_one_text(w.doc, n))
+                    rows = pa.array(lo + w.doc[ok])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch["doc_id"].take(rows),
+                            batch["k"].take(rows),
+                            pa.array(ok - w.first[w.doc[ok]], pa.int64()),
+                            pa.array(np.full(len(ok), n), pa.int32()),
+                            pa.array(arrays.signed(h[ok]), pa.int64()),
+                            pa.array([w.text(i, n) for i in ok.tolist()], pa.binary()),
+                        ],
+                        ["doc_id", "k", "s", "n", "h", "win"],
+                    )
+
+    return run
+
+
+def _hits_by_join(documents: DataFrame, sets: Blocks) -> DataFrame:
+    """The hits of items of any number and size, by a join on window hashes; the windows' words are compared."""
+    spark = documents.sparkSession
+    slim = documents.select("doc_id", "text", F.xxhash64("text").alias("k"))
+    kind = slim.schema["doc_id"].dataType.simpleString()
+    windows = checkpointed(sets.items.mapInArrow(_item_windows(sets.window), "item string, n int, h long, win binary").distinct())
+    known = checkpointed(windows.select("n", "h", "win").distinct())
+    lengths = sorted(r["n"] for r in known.select("n").distinct().collect())  # at most ``window``
+    shared = spark.sparkContext.broadcast(bloom(known.select("h")))
+    maybe = slim.mapInArrow(_maybe(lengths, shared), f"doc_id {kind}, k long, s long, n int, h long, win binary")
+    hit = checkpointed(maybe.join(known, ["n", "h", "win"]))
+    span = F.struct(F.col("s"), (F.col("s") + F.col("n")).alias("e"))
+    spans = hit.groupBy("doc_id", "k").agg(F.collect_set(span).alias("all")).withColumn("spans", F.expr(UNION.replace("flatten(collect_list(spans))", "all")))
+    who = hit.select("doc_id", "k", "n", "h", "win").distinct().join(windows, ["n", "h", "win"]).select("doc_id", "k", "item").distinct()
+    items = who.groupBy("doc_id", "k").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    a, b = spans.select("doc_id", "k", "spans").alias("a"), items.alias("b")
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.k").eqNullSafe(F.col("b.k")))
+    return a.join(b, same).select("a.doc_id", "a.k", "spans", "items")
 
 
 FOUND = f"n_words long, spans {PAIRS}, items array<string>"
 
 
 def contamination(
-    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, max_blocks: int = MAX_BLOCKS
 ) -> DataFrame:
     """doc_id, n_words, spans (merged word spans hit, end exclusive), items (ids, sorted).
 
     One block of items (the usual case): one narrow pass over the documents, no
-    shuffle. Several: a pass each, and their hits joined to the documents.
+    shuffle. Several: a pass each, or a join, and the hits joined to the documents.
     """
     spark = documents.sparkSession
     ship_code(spark)
     slim = documents.select("doc_id", "text")
     kind = slim.schema["doc_id"].dataType.simpleString()
     sets = Blocks(benchmark, window, block_bytes)
-    if sets.count == 1:
+    if sets.count == 1:  # within the bound
         return slim.mapInArrow(_scanner(spark, next(iter(sets)))[0], f"doc_id {kind}, {FOUND}")
-    found = _hits_of_blocks(documents, sets)
+    found = _hits(documents, sets, max_blocks)
     counted = slim.withColumn("k", F.xxhash64("text")).mapInArrow(
         _scanner(spark, WindowSet([], window), ("doc_id", "k"))[0], f"doc_id {kind}, k long, {FOUND}"
     )
@@ -193,7 +292,12 @@ def _scanner(spark: SparkSession, windows: WindowSet, keep: tuple[str, ...] = ("
 
 
 def decontaminated(
-    documents: DataFrame, benchmark: DataFrame, remove: str = "documents", window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+    documents: DataFrame,
+    benchmark: DataFrame,
+    remove: str = "documents",
+    window: int = WINDOW,
+    block_bytes: int = BLOCK_BYTES,
+    max_blocks: int = MAX_BLOCKS,
 ) -> DataFrame:
     """``documents`` without contamination, all columns kept.
 
@@ -211,7 +315,7 @@ def decontaminated(
     if sets.count == 1:
         shared = spark.sparkContext.broadcast(next(iter(sets)))
         return same_columns(documents, _cutter(names, remove, lambda batch: scan(batch.column(names.index("text")), shared.value)))
-    found = _hits_of_blocks(documents, sets)
+    found = _hits(documents, sets, max_blocks)
     row, k = F.struct(*[F.col(f"`{c}`") for c in names]), F.xxhash64("text")
     rows = documents.select(row.alias("_strata_row"), k.alias("_strata_k"))
     same = rows["_strata_row"]["doc_id"].eqNullSafe(found["doc_id"]) & (rows["_strata_k"] == found["k"])
