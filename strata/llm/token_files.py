@@ -430,6 +430,7 @@ def read_parts(spark: SparkSession, path: str, with_ids: bool = True) -> DataFra
 def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """One row per document: doc_id, start (ids of all documents before it), n_tokens, ids_crc32 (and ids)."""
     parts = read_parts(spark, path, with_ids)
+    parts = parts if with_ids else checkpointed(parts)  # a few numbers a document: decoded once, read twice
     more = {"ids": F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("place", "ids"))), lambda x: x["ids"]))} if with_ids else {}
     names = ["doc_id", "file", "start", F.col("total").alias("n_tokens"), F.col("crc").alias("ids_crc32"), *more]
     whole = parts.where("length = total").select(names)
