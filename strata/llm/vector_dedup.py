@@ -18,6 +18,7 @@ From cells to links, without emitting the pairs of a group:
    128 projection signs differ in at most ``SIGNS`` places (8 are expected at a cosine of 0.98, 64 by
    chance; over 36 have a probability of 1e-13). That is two semi-joins, which stop at the first mate.
 3. The few that stay are compared in their cell's task: cosines by matrix products in double precision.
+   Of cells that hold the same vectors, all at home, one is looked at.
    A pair that meets in several cells counts in the first of them, which both
    vectors' lists of cells tell. A task emits a count for each vector and edges that connect
    what is linked, not the links. A cell of over ``BLOCK`` vectors is dealt over tasks as pairs of blocks.
@@ -252,77 +253,94 @@ def _mates(some: DataFrame, others: DataFrame) -> DataFrame:
     return some.join(o, (F.col("cell") == F.col("c2")) & (F.col("node") != F.col("n2")) & (differ <= SIGNS), "left_semi")
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each (cell, x, y) of a sorted partition."""
-    rest: pa.Table | None = None
-    for batch in batches:
-        now = pa.Table.from_batches([batch])
-        now = pa.concat_tables([rest, now]).combine_chunks() if rest is not None else now
-        keys = np.stack([now[c].to_numpy() for c in ("cell", "x", "y")])
-        starts = np.append(0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1)
-        for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
-            yield now.slice(s, e - s)
-        rest = now.slice(int(starts[-1]))
-    if rest is not None and len(rest):
-        yield rest
+class _Rows:
+    """A batch's columns as arrays and lists, made once for all of its groups."""
+
+    def __init__(self, table: pa.Table):
+        self.key = [table[c].to_numpy() for c in ("cell", "x", "y")]
+        self.block, self.copies = table["block"].to_numpy(), table["copies"].to_numpy()
+        self.node, self.raw = table["node"].to_pylist(), table["vector"].to_pylist()
+        lists = table["cells"].combine_chunks()
+        self.end = np.cumsum(lists.value_lengths().to_numpy())
+        entry = lists.flatten()
+        self.where, self.home = entry.field("cell").to_numpy(), entry.field("home").to_numpy(zero_copy_only=False)
+
+    def starts(self) -> np.ndarray:
+        """Where a new (cell, x, y) begins."""
+        change = np.zeros(len(self.node), dtype=bool)
+        change[:1] = True
+        for k in self.key:
+            change[1:] |= k[1:] != k[:-1]
+        return np.flatnonzero(change)
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per cell or pair of its blocks: (node, null, links that count here) and (a, b, null) edges that connect what is linked."""
-    rows: list[tuple] = []
+    out: list[tuple] = []
 
     def batch() -> pa.RecordBatch:
-        a, b, n = zip(*rows) if rows else ((), (), ())
-        rows.clear()
+        a, b, n = zip(*out) if out else ((), (), ())
+        out.clear()
         return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(n, pa.int64())], ["a", "b", "n"])
 
-    for group in _groups(batches):
-        raw = group["vector"].to_pylist()
-        sizes = np.array([len(x) for x in raw])
-        for size in np.unique(sizes).tolist():  # one, but for a collision of hashes
-            mine = np.flatnonzero(sizes == size)
-            if len(mine) > 1:
-                rows += _within(group.take(pa.array(mine)), [raw[i] for i in mine.tolist()])
-        if len(rows) > 1 << 15:
+    def groups(rows: _Rows, starts: list[int], end: int) -> None:
+        for s, e in zip(starts, [*starts[1:], end]):
+            sizes = {len(x) for x in rows.raw[s:e]}
+            for size in sizes:  # one, but for a collision of hashes
+                out.extend(_within(rows, [k for k in range(s, e) if len(sizes) == 1 or len(rows.raw[k]) == size]))
+
+    rest: pa.Table | None = None
+    for given in batches:
+        now = pa.Table.from_batches([given])
+        now = pa.concat_tables([rest, now]).combine_chunks() if rest is not None else now
+        rows = _Rows(now)
+        starts = rows.starts()
+        if len(starts) > 1:
+            groups(rows, starts[:-1].tolist(), int(starts[-1]))
+        rest = now.slice(int(starts[-1])) if len(starts) else None
+        if len(out) > 1 << 15:
             yield batch()
+    if rest is not None and len(rest):
+        groups(_Rows(rest.combine_chunks()), [0], len(rest))
     yield batch()
 
 
-def _within(group: pa.Table, raw: list[bytes]) -> list[tuple]:
-    cell, x, y = (group[c][0].as_py() for c in ("cell", "x", "y"))
-    block, copies, nodes = group["block"].to_numpy(), group["copies"].to_numpy(), group["node"].to_pylist()
+def _within(rows: _Rows, mine: list[int]) -> list[tuple]:
+    at = np.array(mine)
+    cell, x, y = (int(k[mine[0]]) for k in rows.key)
+    block, copies, nodes = rows.block[at], rows.copies[at], [rows.node[k] for k in mine]
     left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
-    if not len(left) or not len(right):
+    if len(mine) < 2 or not len(left) or not len(right):
         return []
-    v = np.frombuffer(b"".join(raw), dtype=np.float64).reshape(len(raw), -1)
-    norm = np.sqrt(np.einsum("ij,ij->i", v, v))
     # Which of the cells before this one each vector is in, and at home in.
-    lists = group["cells"].combine_chunks()
-    row = np.repeat(np.arange(len(nodes)), lists.value_lengths().to_numpy())
-    entry = lists.flatten()
-    where, home = entry.field("cell").to_numpy(), entry.field("home").to_numpy(zero_copy_only=False)
-    here = np.zeros(len(nodes), dtype=bool)
+    first = np.where(at > 0, rows.end[at - 1], 0)
+    length = rows.end[at] - first
+    flat = np.repeat(first, length) + arrays.spread(length)
+    row, where, home = np.repeat(np.arange(len(at)), length), rows.where[flat], rows.home[flat]
+    here = np.zeros(len(at), dtype=bool)
     here[row[(where == cell) & home]] = True
-    known, number, times = np.unique(where, return_inverse=True, return_counts=True)
-    early = (where < cell) & (times[number] > 1)
-    used, number = np.unique(number[early], return_inverse=True)
-    member = np.zeros((len(nodes), max(1, len(used))), dtype=np.float32)
+    v = np.frombuffer(b"".join([rows.raw[k] for k in mine]), dtype=np.float64).reshape(len(mine), -1)
+    norm = np.sqrt(np.einsum("ij,ij->i", v, v))
+    early = where < cell
+    used, number = np.unique(where[early], return_inverse=True)
+    member = np.zeros((len(at), max(1, len(used))), dtype=np.float32)
     at_home = np.zeros_like(member)
     member[row[early], number] = 1
     at_home[row[early], number] = home[early]
-    links = np.zeros(len(nodes), dtype=np.int64)
-    part = np.arange(len(nodes))
+    links = np.zeros(len(at), dtype=np.int64)
+    part = np.arange(len(at))
     out: list[tuple] = []
     for lo in range(0, len(left), 256):
         i = left[lo : lo + 256]
         close = (v[i] @ v[right].T) / (norm[i][:, None] * norm[right]) >= COSINE
         close &= here[i][:, None] | here[right]
-        close &= (i[:, None] < right) if x == y else True
+        if x == y:
+            close &= i[:, None] < right
         if not close.any():
             continue
         # Connected here, whichever cell counts the pair.
         for k in np.flatnonzero(close.any(axis=1)).tolist():
-            for p in np.unique(part[right[close[k]]]).tolist():
+            for p in set(part[right[close[k]]].tolist()):
                 if p != part[i[k]]:
                     out.append((nodes[i[k]], nodes[p], None))
                     part[part == p] = part[i[k]]
@@ -332,6 +350,22 @@ def _within(group: pa.Table, raw: list[bytes]) -> list[tuple]:
     return out + [(nodes[k], None, int(links[k])) for k in np.flatnonzero(links).tolist()]
 
 
+def _needed(members: DataFrame) -> DataFrame:
+    """``members`` without cells that see nothing new: of cells with the same vectors one in which all are at home is enough."""
+    cell = members.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("f1"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("f2"),
+        F.min("home").alias("all_home"),
+    )
+    best = cell.groupBy("n", "f1", "f2").agg(
+        F.min(F.when(F.col("all_home"), F.col("cell"))).alias("one"), F.collect_list("cell").alias("cells"), F.first("n").alias("size")
+    )
+    # Cells with the same vectors are at most tables * (1 + PROBES).
+    keep = best.select(F.explode(F.when(F.col("one").isNotNull(), F.array("one")).otherwise(F.col("cells"))).alias("cell"), F.col("size").alias("crowd"))
+    return checkpointed(members.join(sized(keep), "cell"))
+
+
 def linked(embeddings: DataFrame, scale: float | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows: vec_id, node), (nodes: node, copies, first id), (a, b, n: edges, and counts of links where b is null)."""
     ship_code(embeddings.sparkSession)
@@ -354,13 +388,11 @@ def linked(embeddings: DataFrame, scale: float | None = None) -> tuple[DataFrame
     placed = hashed.mapInArrow(_placed(shared), "cell long, home boolean, node binary, s1 long, s2 long")
     home, probe = placed.where("home"), placed.where("NOT home")
     stay = _mates(placed, home).unionByName(_mates(home, probe)).groupBy("cell", "node").agg(F.max("home").alias("home"))
-    members = checkpointed(stay)
+    members = _needed(checkpointed(stay))
 
     number = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    crowds = members.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
     dealt = (
-        members.select("cell", "node")
-        .join(sized(crowds), "cell")
+        members.select("cell", "node", F.ceil(F.col("crowd") / F.lit(BLOCK)).cast("int").alias("blocks"))
         .withColumn("block", number)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("cell", "node", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
