@@ -14,7 +14,9 @@ shuffled afterwards, at most ``group_rows`` to a task, and one join on the bin
 id moves their pieces. No text and no ids are shuffled.
 
 Defined cases: a null text is empty and gives one piece that holds the end id
-alone; repeated rows are packed one by one; other columns are ignored.
+alone; a long text is cut into pieces, never shortened; pieces of one size are packed in the order in
+which they stand; repeated rows are packed one by one; an empty table gives no rows; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -75,7 +77,9 @@ def cut(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.
     return doc, piece, start, np.where(piece == 0, head[doc], capacity)
 
 
-def _local(vocabulary, capacity: int, end_id: int, with_ids: bool):
+def _local(vocabulary, capacity: int, end_id: int, kind: str | None):
+    """Pieces packed per partition; with their ids as bytes if ``kind`` says of what width."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.Encoder.of(vocabulary.value)
         docs, rows, ids_out = [], [], []
@@ -91,15 +95,15 @@ def _local(vocabulary, capacity: int, end_id: int, with_ids: bool):
                 crc = [zlib.crc32(full[s:e]) for s, e in zip(first.tolist(), (first + length).tolist())]
                 docs.append(batch["doc_id"].take(pa.array(lo + doc)))
                 rows.append(np.stack([piece, start, length, np.array(crc, dtype=np.int64)]))
-                if with_ids:
-                    ids_out += [full[s:e] for s, e in zip(first.tolist(), (first + length).tolist())]
+                if kind:
+                    ids_out += [full[s:e].astype(kind).tobytes() for s, e in zip(first.tolist(), (first + length).tolist())]
         if not rows:
             return
         doc_id = pa.chunked_array(docs).combine_chunks()
         table = np.concatenate(rows, axis=1)
         bins, offsets, fill = best_fit(table[2], capacity)
         place = (TaskContext.get().partitionId() << 32) + bins
-        step = 1 << (10 if with_ids else 16)
+        step = 1 << (12 if kind else 16)
         for lo in range(0, len(bins), step):
             s = slice(lo, lo + step)
             columns = [
@@ -107,14 +111,30 @@ def _local(vocabulary, capacity: int, end_id: int, with_ids: bool):
                 pa.array(place[s]), pa.array(offsets[s]), pa.array(fill[bins[s]]),
             ]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "fill"]
-            if with_ids:
-                columns.append(pa.array([x.astype(np.int64) for x in ids_out[s]], pa.list_(pa.int32())))
+            if kind:
+                columns.append(pa.array(ids_out[s], pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
+def _unpacked(kind: str):
+    """The same rows with the ids as numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, len(batch), 1 << 10):
+                part = batch.slice(lo, 1 << 10)
+                raw = part["ids"].to_pylist()
+                size = np.array([len(x) for x in raw], dtype=np.int64) // np.dtype(kind).itemsize
+                ids = np.frombuffer(b"".join(raw), dtype=kind).astype(np.int32)
+                at = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
+                yield part.set_column(part.schema.get_field_index("ids"), "ids", pa.ListArray.from_arrays(at, pa.array(ids)))
+
+    return run
+
+
 def _merge(capacity: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("bin", kind="stable", ignore_index=True)  # whatever order the rows arrived in
@@ -139,11 +159,15 @@ def pack(
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
     spark = documents.sparkSession
     ship_code(spark)
-    shared = spark.sparkContext.broadcast(tokens.vocabulary(vocabulary_path))
+    vocabulary = tokens.vocabulary(vocabulary_path)
+    shared = spark.sparkContext.broadcast(vocabulary)
+    # Kept narrow until the end: a row's ids are moved at most once.
+    size = max(tokens.Encoder.of(vocabulary).tokenizer.get_vocab_size(), end_id + 1) if with_ids else 0
+    width = None if not with_ids else "<u2" if size <= 1 << 16 else "<u4"
     slim = documents.select("doc_id", "text")
     kind = slim.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, fill long"
-    local = checkpointed(slim.mapInArrow(_local(shared, capacity, end_id, with_ids), schema + (", ids array<int>" if with_ids else "")))
+    local = checkpointed(slim.mapInArrow(_local(shared, capacity, end_id, width), schema + (", ids binary" if with_ids else "")))
 
     under = local.where(F.col("fill") < capacity - slack)
     moved = under.where("offset = 0").select(F.col("sequence_id").alias("old"), F.col("sequence_id").alias("bin"), "fill", F.lit(0).cast("long").alias("shift"))
@@ -169,7 +193,11 @@ def pack(
     out = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     done = local.where(F.col("fill") >= capacity - slack).select(*out, "sequence_id", "offset")
     rest = under.join(places, "sequence_id").select(*out, F.col("bin").alias("sequence_id"), (F.col("offset") + F.col("shift")).alias("offset"))
-    return done.unionByName(rest)
+    packed = done.unionByName(rest)
+    if with_ids:
+        names = [f"{c} {packed.schema[c].dataType.simpleString()}" for c in packed.columns]
+        packed = packed.mapInArrow(_unpacked(width), ", ".join(names).replace("ids binary", "ids array<int>"))
+    return packed
 
 
 def op6_best_fit_packing(documents: DataFrame) -> DataFrame:

@@ -120,3 +120,39 @@ def test_odd_rows_and_empty_tables(spark, odd, nothing):
     assert [r.doc_id for r in dc.op10_decontaminate(odd, some).where("contaminated").collect()] == [9]
     assert dc.decontaminated(odd, some).count() == odd.count() - 1
     assert dc.decontaminated(odd, bench).schema == odd.schema
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_joined_windows_give_what_broadcast_ones_give(spark, seed):
+    docs, items = corpus(seed)
+    assert got(spark, docs, items, block_bytes=500, max_blocks=0) == brute(docs, items) == got(spark, docs, items, block_bytes=500, max_blocks=10**6)
+
+
+def test_many_equal_items_are_one(spark):
+    """200,000 rows of one item stay within a block; as many different ids go over blocks or a join, each within its bound."""
+    text = "one two three four five six seven eight nine ten eleven"
+    equal = spark.range(200_000).selectExpr("7 AS item_id", f"'{text}' AS text")
+    sets = dc.Blocks(equal, 10, dc.BLOCK_BYTES)
+    assert sets.count == 1 and sets.bounded and [len(w.ids) for w in sets] == [1]
+    docs = spark.createDataFrame([(1, "zero " + text.upper()), (2, "none"), (3, None)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in dc.contamination(docs, equal).collect()}
+    assert rows[1]["items"] == ["7"] and [tuple(s) for s in rows[1].spans] == [(1, 12)] and not rows[2].spans and not rows[3].spans
+    different = spark.range(20_000).selectExpr("id AS item_id", f"'{text}' AS text")
+    sets = dc.Blocks(different, 10, 1 << 20)
+    assert sets.count > 1 and sets.bounded
+    rows = {r.doc_id: r for r in dc.contamination(docs, different, block_bytes=1 << 20, max_blocks=0).collect()}
+    assert len(rows[1]["items"]) == 20_000 and [tuple(s) for s in rows[1].spans] == [(1, 12)]
+
+
+def test_an_item_larger_than_a_block_is_joined(spark):
+    import random
+
+    rng = random.Random(7)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+    items = [(1, " ".join(words)), (2, "a b c"), (3, " ".join(words[500:512]))]
+    docs = [(1, " ".join(words[100:130])), (2, "x a b c y"), (3, "a b"), (4, " ".join(words[495:520]) + " z"), (None, None)]
+    sets = dc.Blocks(spark.createDataFrame(items, "item_id long, text string"), 10, 2000)
+    assert not sets.bounded
+    assert got(spark, docs, items, block_bytes=2000) == brute(docs, items)
+    cut = dc.decontaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), remove="spans", block_bytes=2000)
+    assert {r.doc_id: r.text for r in cut.collect()} == {1: "", 2: "x  y", 3: "a b", 4: " z", None: None}

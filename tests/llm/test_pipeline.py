@@ -1,8 +1,10 @@
 """The pipeline's stages on planted cases, and the registered queries against their SQL."""
 
 import random
+import zlib
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from conftest import TESTDATA, duck, sorted_rows
 from llm_fixtures import SCHEMA, nothing, odd, odd_rows, prose, rows_from  # noqa: F401
@@ -19,7 +21,7 @@ def test_stage_list():
 def test_all_queries_are_registered():
     names = contract.queries()
     assert [n for n in names if n.startswith("op")] == sorted((n for n in names if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert names["pipeline"] is corpus_pipeline.run
 
 
@@ -86,3 +88,89 @@ def test_every_stage_takes_odd_rows_and_empty_tables(spark, odd, nothing, tmp_pa
     name, stage = corpus_pipeline.STAGES[-1]
     assert stage(spark, odd, str(tmp_path)).where("piece = 0").count() == len(odd_rows())
     assert stage(spark, nothing, str(tmp_path)).count() == 0
+
+
+def plain_pipeline(spark, rows, items):
+    """What is left of each document before packing: brute force, stage by stage (the classifier has its own plain version)."""
+    import test_decontaminate
+    import test_line_dedup
+    import test_near_dup
+    import test_passages
+
+    from strata.llm import quality
+
+    verdict = {r.doc_id: r.kept for r in quality.op1_quality_classifier(spark.createDataFrame(rows_from([t for _, t in rows]), SCHEMA)).collect()}
+    docs = [(k, t) for k, t in rows if verdict[k]]
+    docs = [(k, t) for k, (t, _) in test_line_dedup.brute(docs).items()]
+    kept = test_near_dup.brute_classes(docs)
+    docs = [(k, t) for k, t in docs if kept[k] == k]
+    docs = [(k, t) for k, t in docs if not next(iter(test_decontaminate.brute([(k, t)], items)))[-1]]
+    return test_passages.brute(docs, 50)
+
+
+def test_equals_a_plain_version(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    from strata.llm import tokens
+
+    texts, _ = planted(tmp_path, spark)
+    rows = list(enumerate(texts))
+    items = [tuple(r) for r in spark.read.parquet(str(tmp_path / "benchmark.parquet")).select("item_id", "text").collect()]
+    left = plain_pipeline(spark, rows, items)
+    t = Tokenizer.from_str(tokens.vocabulary())
+    want = {k: [*t.encode(x, add_special_tokens=False).ids, 2] for k, x in left.items()}
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    got = {}
+    for r in sorted(pieces, key=lambda r: (r.doc_id, r.piece)):
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, dtype="<u4").tobytes()) == r.ids_crc32
+        assert len(got.setdefault(r.doc_id, [])) == r.start
+        got[r.doc_id] += r.ids
+    assert got == want
+    places = sorted((r.sequence_id, r.offset, r.length) for r in pieces)
+    for (a, x, n), (b, y, _) in zip(places, places[1:]):
+        assert (y == x + n) if a == b else y == 0
+    assert all(x + n <= 1024 for _, x, n in places)
+
+
+def test_stage_folders_are_deleted(spark, tmp_path):
+    from pathlib import Path
+
+    from strata.llm.session import shared_folder
+
+    planted(tmp_path, spark)
+    home = Path(shared_folder(spark).removeprefix("file:"))
+    before = {p.name for p in home.parent.glob("*/pipeline-*")} | {p.name for p in home.glob("pipeline-*")}
+    rows = corpus_pipeline.run(spark, str(tmp_path))
+    after = {p.name for p in home.parent.glob("*/pipeline-*")} | {p.name for p in home.glob("pipeline-*")}
+    assert after <= before and rows.count() > 0
+
+
+def test_a_cluster_must_name_a_shared_folder(spark, monkeypatch):
+    from strata.llm import session
+
+    class Context:
+        master = "yarn"
+
+        class _jsc:
+            @staticmethod
+            def sc():
+                class Scala:
+                    @staticmethod
+                    def getCheckpointDir():
+                        class Nothing:
+                            isEmpty = staticmethod(lambda: True)
+
+                        return Nothing
+
+                return Scala
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session)
