@@ -13,7 +13,16 @@ STAGES are applied in order, each on all that the one before it kept:
 A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the
 last return the columns of ``documents``. Between stages the rows are written
 as Parquet into the checkpoint folder and read again, so a lost executor never
-repeats an earlier stage.
+repeats an earlier stage; what ``run`` has written there is deleted when the last stage has read it.
+
+The result has one row per piece: doc_id, piece, start, length, ids_crc32, ids (the
+token ids), sequence_id, offset.
+
+Defined cases: a null or empty text is rejected by the first stage; so are rows that the classifier
+gives less than 0.5 (a tie at 0.5 stays); rows that share doc_id and text are one document from
+the third stage on; very long texts are handled whole and cut into pieces by the last stage; nulls in
+other columns, and further columns whatever their names, pass through to the last stage, which
+ignores them; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,9 +35,20 @@ from strata.llm import decontaminate, line_dedup, near_dup, packing, passages, q
 from strata.llm.session import documents, shared_folder, table
 
 
-def _written(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
-    docs.write.parquet(path)
-    return spark.read.parquet(path)
+_folders: list[str] = []  # written since the last ``run`` began
+
+
+def _written(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}-{name}"
+    docs.write.parquet(folder)
+    _folders.append(folder)
+    return spark.read.parquet(folder)
+
+
+def _delete(spark: SparkSession) -> None:
+    while _folders:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,11 +66,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     clean = decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
     # Written, since the search for passages reads its input several times.
-    return passages.cut_passages(_written(spark, clean, f"{shared_folder(spark)}/clean-{uuid.uuid4().hex}"))
+    return passages.cut_passages(_written(spark, clean, "clean"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.op6_best_fit_packing(docs)
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES = [
@@ -67,9 +87,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    _folders.clear()
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = _written(spark, docs, f"{folder}/{k}-{name}")
+            docs = _written(spark, docs, f"{k}-{name}")
+    _delete(spark)  # packing has written its rows down and reads no stage any more
     return docs
