@@ -17,7 +17,7 @@ other layouts; extraction reads whole pages.
 
 Defined cases: null or blank html gives an empty text; a page whose every block
 is tagged as not main gives an empty text; a very long page is read whole; of equally good taggings
-Viterbi takes the one with fewer main blocks from the end; repeated rows are handled one by
+Viterbi takes, from the last block back, the one that says not main; repeated rows are handled one by
 one; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 

@@ -65,7 +65,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-#: A side of a join is broadcast up to this measured size.
+#: A side of a join is broadcast up to this measured size; the session's ``spark.strata.broadcastBytes`` overrides it.
 BROADCAST_BYTES = 16 << 20
 
 
@@ -78,7 +78,9 @@ def sized(df: DataFrame, more: Column | None = None, limit: int | None = None) -
     """
     kept = checkpointed(df)
     size = kept.agg(F.sum(F.lit(64) + (F.lit(0) if more is None else F.coalesce(more, F.lit(0))))).first()[0] or 0
-    return F.broadcast(kept) if size <= (BROADCAST_BYTES if limit is None else limit) else kept
+    if limit is None:
+        limit = int(df.sparkSession.conf.get("spark.strata.broadcastBytes", str(BROADCAST_BYTES)))
+    return F.broadcast(kept) if size <= limit else kept
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
