@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import arrays
 from strata.llm.bloom import bloom
-from strata.llm.session import checkpointed, same_columns, ship_code, sized
+from strata.llm.session import ENTRY_BYTES, checkpointed, same_columns, ship_code, sized
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -152,7 +152,7 @@ def _hits(documents: DataFrame, sets: Blocks, max_blocks: int) -> DataFrame:
     """doc_id, k (hash of the text), spans, items of the documents with a hit, written down."""
     small = sets.bounded and sets.count <= max_blocks
     found = _hits_of_blocks(documents, sets) if small else _hits_by_join(documents, sets)
-    return sized(found, 16 * F.size("spans") + F.octet_length(F.array_join("items", ",")) + 16 * F.size("items"))
+    return sized(found, ENTRY_BYTES * (F.size("spans") + F.size("items")) + F.octet_length(F.array_join("items", ",")))
 
 
 def _hits_of_blocks(documents: DataFrame, sets: Blocks) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import arrays
-from strata.llm.session import ship_code, sized
+from strata.llm.session import ENTRY_BYTES, ship_code, sized
 
 LINES = 3
 # Names of the columns added while it runs; the input's own are set aside.
@@ -134,7 +134,7 @@ def _gaps(covered: np.ndarray) -> list[tuple[int, int]]:
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
     """All columns of ``documents`` with the repeated lines gone, and ``_strata_gone``, their number."""
-    gone = sized(removals(documents), 16 * F.size("spans"))
+    gone = sized(removals(documents), ENTRY_BYTES * F.size("spans"))
     names = documents.columns
     left = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias(ROW)).withColumn(KEY, F.xxhash64(F.col(f"{ROW}.text")))
     joined = left.join(gone, left[ROW]["doc_id"].eqNullSafe(gone["doc_id"]) & (left[KEY] == gone["k"]), "left")

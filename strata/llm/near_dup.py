@@ -63,7 +63,7 @@ from strata.llm.session import checkpointed, ship_code, sized
 SHINGLE = 5
 SIMILARITY = 0.8
 MISS = 1e-4  # a pair at the threshold meets in no band with at most this probability
-BLOCK, BLOCK_BYTES = 1024, 32 << 20
+BLOCK, BLOCK_BYTES = 1024, 8 << 20
 U64 = np.uint64
 
 

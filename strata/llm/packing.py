@@ -103,7 +103,7 @@ def _local(vocabulary, capacity: int, end_id: int, kind: str | None):
         table = np.concatenate(rows, axis=1)
         bins, offsets, fill = best_fit(table[2], capacity)
         place = (TaskContext.get().partitionId() << 32) + bins
-        step = 1 << (12 if kind else 16)
+        step = 1 << (10 if kind else 16)
         for lo in range(0, len(bins), step):
             s = slice(lo, lo + step)
             columns = [
@@ -154,9 +154,14 @@ def pack(
     end_id: int = END_ID,
     slack: int = SLACK,
     with_ids: bool = False,
+    as_bytes: bool = False,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
+
+    ids: an array of int, or with ``as_bytes`` the little-endian unsigned numbers themselves, of 16 bits where
+    the vocabulary has at most 65,536 ids, else of 32.
+    """
     spark = documents.sparkSession
     ship_code(spark)
     vocabulary = tokens.vocabulary(vocabulary_path)
@@ -194,7 +199,7 @@ def pack(
     done = local.where(F.col("fill") >= capacity - slack).select(*out, "sequence_id", "offset")
     rest = under.join(places, "sequence_id").select(*out, F.col("bin").alias("sequence_id"), (F.col("offset") + F.col("shift")).alias("offset"))
     packed = done.unionByName(rest)
-    if with_ids:
+    if with_ids and not as_bytes:
         names = [f"{c} {packed.schema[c].dataType.simpleString()}" for c in packed.columns]
         packed = packed.mapInArrow(_unpacked(width), ", ".join(names).replace("ids binary", "ids array<int>"))
     return packed

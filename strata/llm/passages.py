@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import arrays
 from strata.llm.decontaminate import PAIRS, _cutter, _given
-from strata.llm.session import checkpointed, same_columns, ship_code, sized
+from strata.llm.session import ENTRY_BYTES, checkpointed, same_columns, ship_code, sized
 
 WORDS = 50
 
@@ -132,7 +132,7 @@ def repeats(documents: DataFrame, words: int = WORDS) -> DataFrame:
     runs = slim.mapInArrow(_runs(words), f"doc_id {kind}, k long, a long, first int, last int")
     again = runs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
     open_ = runs.join(sized(again), "a").groupBy("doc_id", "k").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
-    open_ = sized(open_, 8 * F.size("runs"))
+    open_ = sized(open_, ENTRY_BYTES * F.size("runs"))
     same = slim["doc_id"].eqNullSafe(open_["doc_id"]) & (slim["k"] == open_["k"])
     texts = slim.join(open_, same).select(slim["doc_id"], slim["k"], "text", "runs")
     w = checkpointed(texts.mapInArrow(_windows(words), f"doc_id {kind}, k long, start int, w1 long, w2 long"))
@@ -154,7 +154,7 @@ def repeats(documents: DataFrame, words: int = WORDS) -> DataFrame:
 
 def cut_passages(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """``documents`` without the later occurrences, all rows and columns kept; reads ``documents`` several times."""
-    found = sized(repeats(documents, words), 16 * F.size("spans"))
+    found = sized(repeats(documents, words), ENTRY_BYTES * F.size("spans"))
     names = documents.columns
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_strata_row"), F.xxhash64("text").alias("_strata_k"))
     same = rows["_strata_row"]["doc_id"].eqNullSafe(found["doc_id"]) & (rows["_strata_k"] == found["k"])

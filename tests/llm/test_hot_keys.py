@@ -93,6 +93,6 @@ def test_sized_measures(spark):
     plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
     other = spark.range(5000).toDF("x").repartition(3)
     assert "strategy=broadcast" in plan(other.join(session.sized(df), "x"))
-    assert "strategy=broadcast" not in plan(other.join(session.sized(df, limit=63_999), "x"))
-    assert "strategy=broadcast" not in plan(other.join(session.sized(df, F.lit(1000), limit=1_063_999), "x"))
-    assert "strategy=broadcast" in plan(other.join(session.sized(df, F.lit(1000), limit=1_064_000), "x"))
+    assert "strategy=broadcast" not in plan(other.join(session.sized(df, limit=95_999), "x"))
+    assert "strategy=broadcast" not in plan(other.join(session.sized(df, F.lit(1000), limit=1_095_999), "x"))
+    assert "strategy=broadcast" in plan(other.join(session.sized(df, F.lit(1000), limit=1_096_000), "x"))

@@ -8,7 +8,7 @@ import pytest
 from conftest import TESTDATA, rows_of, sorted_rows, spark_conf
 from llm_fixtures import SCHEMA, nothing, odd, odd_rows, prose, rows_from  # noqa: F401
 
-from strata.llm import arrays, token_files, tokens
+from strata.llm import token_files, tokens
 from strata.llm.session import documents
 
 
@@ -156,7 +156,7 @@ def test_odd_rows(odd):
     assert ids == sorted(ids, key=lambda d: (d is not None, d or 0))
 
 
-def test_one_id_for_a_third_of_all_rows(spark):
+def test_one_id_for_a_third_of_all_rows(spark, tmp_path):
     """Rows of one doc_id lie in several files."""
     rng = random.Random(9)
     given = [(5 if k % 3 == 0 else k, prose(rng, 20), "en", "s", 1) for k in range(900)] + [(7, "same", "en", "s", 4)] * 900
@@ -164,7 +164,7 @@ def test_one_id_for_a_third_of_all_rows(spark):
         got = token_files.op12_token_files(spark.createDataFrame(given, SCHEMA).repartition(4))
         parts = [r["count"] for r in got.withColumn("p", got["start"]).groupBy("doc_id").count().collect()]
         assert sum(parts) == 1800
-        path = f"{token_files.shared_folder(spark)}/hot-files"
+        path = f"file://{tmp_path}/files"
         token_files.write_token_files(spark.createDataFrame(given, SCHEMA).repartition(4), path)
         files = [r["n_ids"] for r in spark.read.parquet(f"{path}/files").collect()]
     assert len(files) >= 12

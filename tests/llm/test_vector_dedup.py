@@ -6,7 +6,6 @@ import random
 import numpy as np
 import pytest
 from conftest import TESTDATA, duck, rows_of, sorted_rows
-from llm_fixtures import nothing, odd  # noqa: F401
 
 from strata.llm import vector_dedup as vd
 
