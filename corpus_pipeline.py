@@ -16,7 +16,7 @@ as Parquet into the checkpoint folder and read again, so a lost executor never
 repeats an earlier stage; what ``run`` has written there is deleted when the last stage has read it.
 
 The result has one row per piece: doc_id, piece, start, length, ids_crc32, ids (the
-token ids), sequence_id, offset.
+token ids as little-endian unsigned 16-bit numbers, one after another), sequence_id, offset.
 
 Defined cases: a null or empty text is rejected by the first stage; so are rows that the classifier
 gives less than 0.5 (a tie at 0.5 stays); rows that share doc_id and text are one document from
@@ -70,7 +70,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, with_ids=True)
+    return packing.pack(docs, with_ids=True, as_bytes=True)
 
 
 STAGES = [
