@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.session import measured, ship_code
+
 BITS = 27  # 2**27 flags are 16 MB
 PIECE = 16
 
@@ -41,3 +43,37 @@ def bloom(hashes: DataFrame) -> Bloom:
     for r in slots.groupBy("piece").applyInPandas(_piece, "piece long, raw binary").collect():  # at most 2**(BITS - 3) bytes
         flags[r["piece"] * size : (r["piece"] + 1) * size] = np.frombuffer(r["raw"], dtype=np.uint8)
     return Bloom(bits, flags)
+
+
+MAYBE = "_strata_maybe"
+
+
+def split(left: DataFrame, h: Column, hashes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``left`` that may have a partner, rows that surely have none), by their hash ``h`` and the partners' (column h)."""
+    ship_code(left.sparkSession)
+    shared = left.sparkSession.sparkContext.broadcast(bloom(hashes))
+
+    def passes(x: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.passes(x.to_numpy(dtype=np.int64).view(np.uint64)))
+
+    marked = left.withColumn(MAYBE, F.pandas_udf(passes, "boolean")(h))
+    return marked.where(MAYBE).drop(MAYBE), marked.where(~F.col(MAYBE)).drop(MAYBE)
+
+
+def joined(left: DataFrame, right: DataFrame, on, how: str, left_hash: Column, right_hash: Column, more: Column | None = None) -> DataFrame:
+    """``left.join(right, on, how)`` (inner, left or left_anti) for a right side that few rows of a large left side meet.
+
+    The right side is written down and measured (``more``: bytes beside a row's). While it is small it is
+    broadcast. Beyond that a Bloom filter of its hashes is, and only the rows of ``left`` that it lets pass are shuffled; the
+    others go on as they are. Both sides of that join are dealt for it, so AQE can split a hot key.
+    """
+    kept, small = measured(right, more)
+    if small:
+        return left.join(F.broadcast(kept), on, how)
+    maybe, rest = split(left, left_hash, kept.select(right_hash.alias("h")))
+    out = maybe.join(kept, on, how)
+    if how == "inner":
+        return out
+    if how == "left":
+        rest = rest.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in kept.schema])
+    return out.unionByName(rest)

@@ -11,11 +11,11 @@ inside a later occurrence, each distinct line stays somewhere.
 How it scales: a window travels as a 128-bit hash with its place. Occurrences
 are counted with a map-side partial aggregate, so a window that stands in a
 third of all documents sends one row per task. The repeated windows (one row
-each) are written down and joined back: by a broadcast while they are measured to be
-small, so that no other window leaves its task; else by a join for which both sides are dealt
-anew, so that AQE can split a hot window. Only the removed line numbers are grouped, per
-document; they reach the texts in the same way, so a text without a removed line crosses no shuffle
-while they are small.
+each) are written down and joined back (``bloom.joined``): by a broadcast while they are measured to be
+small, else behind a Bloom filter of bounded size, so that few other windows leave their tasks, in a join for
+which both sides are dealt, so that AQE can split a hot window. Only the removed line numbers are
+grouped, per document; they reach the texts in the same way, so texts without a removed line mostly cross
+no shuffle.
 
 Defined cases: a null text stays null and a text of fewer than three non-blank
 lines is never changed; a very long text is handled whole; an empty table stays one; a null doc_id orders after all others; rows that agree
@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import arrays
-from strata.llm.session import ENTRY_BYTES, ship_code, sized
+from strata.llm.bloom import joined
+from strata.llm.session import ENTRY_BYTES, ship_code
 
 LINES = 3
 # Names of the columns added while it runs; the input's own are set aside.
@@ -97,7 +98,7 @@ def removals(documents: DataFrame) -> DataFrame:
         .select("w1", "w2", "first")
     )
     return (
-        w.join(sized(repeated), ["w1", "w2"])
+        joined(w, repeated, ["w1", "w2"], "inner", F.col("w1"), F.col("w1"))
         .where(place > F.col("first"))
         .groupBy("doc_id", "k")
         .agg(F.collect_set(F.struct("line", "last")).alias("spans"))
@@ -134,12 +135,14 @@ def _gaps(covered: np.ndarray) -> list[tuple[int, int]]:
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
     """All columns of ``documents`` with the repeated lines gone, and ``_strata_gone``, their number."""
-    gone = sized(removals(documents), ENTRY_BYTES * F.size("spans"))
+    gone = removals(documents)
     names = documents.columns
     left = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias(ROW)).withColumn(KEY, F.xxhash64(F.col(f"{ROW}.text")))
-    joined = left.join(gone, left[ROW]["doc_id"].eqNullSafe(gone["doc_id"]) & (left[KEY] == gone["k"]), "left")
+    same = F.col(f"{ROW}.doc_id").eqNullSafe(F.col("doc_id")) & (F.col(KEY) == F.col("k"))
+    hashes = F.xxhash64(F.col(f"{ROW}.doc_id"), F.col(KEY)), F.xxhash64("doc_id", "k")
+    both = joined(left, gone, same, "left", *hashes, ENTRY_BYTES * F.size("spans"))
     cutter = F.pandas_udf(_cut, "struct<text:string,n:int>")
-    cut = joined.select(
+    cut = both.select(
         ROW, cutter(F.when(F.col("spans").isNotNull(), F.col(f"{ROW}.text")), F.col("spans")).alias("cut"), "spans"
     )
     text = F.when(F.col("spans").isNull(), F.col(f"{ROW}.text")).otherwise(F.col("cut.text"))

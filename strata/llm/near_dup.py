@@ -34,7 +34,7 @@ Names of 16 bytes travel until step 3 ships each weighted set once per star, and
 once per block it must meet: a large group of near copies costs in proportion to its size. A
 bucket of n nodes that are alike in a band but in nothing else needs its n^2/2 comparisons.
 The texts of nodes in shared buckets are reached by a broadcast of their (doc_id, hash) if
-these are measured to be small (``session.sized``), so no other text is shuffled; beyond that by a shuffle.
+these are measured to be small, else behind a Bloom filter of them (``bloom.joined``), so few other texts are shuffled.
 
 Defined cases: a null text counts as empty; empty and wordless texts form a
 class only with equal texts; a class is named by its smallest doc_id (null if
@@ -57,6 +57,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import arrays
+from strata.llm.bloom import joined
 from strata.llm.components import components
 from strata.llm.session import checkpointed, ship_code, sized
 
@@ -504,8 +505,9 @@ def linked(documents: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
     involved = pairs.select("node").unionByName(pairs.select(F.col("rep").alias("node"))).distinct()
     # One text of each node in a shared bucket, as a weighted set.
     one = rows.groupBy("node").agg(F.min(F.struct("doc_id", "k")).alias("r")).join(involved, "node")
-    one = sized(one.select("node", F.col("r.doc_id").alias("id"), F.col("r.k").alias("hash")))
-    text = keyed.join(one, keyed["doc_id"].eqNullSafe(one["id"]) & (keyed["k"] == one["hash"]))
+    one = one.select("node", F.col("r.doc_id").alias("id"), F.col("r.k").alias("hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("k") == F.col("hash"))
+    text = joined(keyed, one, same, "inner", F.xxhash64("doc_id", "k"), F.xxhash64("id", "hash"))
     sets = checkpointed(text.select("node", "text").mapInArrow(_sets, "node binary, h binary, w binary").dropDuplicates(["node"]))
 
     found = components(_in_stars(pairs, sets, s))
@@ -539,8 +541,10 @@ def deduplicated(documents: DataFrame, similarity: float = SIMILARITY) -> DataFr
     # Rows that share doc_id and text share their class; what is looked up is the rows that go.
     each = classes(documents, similarity).groupBy("doc_id", "k").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("copies"))
     each = checkpointed(each.where("NOT kept OR copies > 1"))
-    gone = sized(each.where("NOT kept").select("doc_id", "k"))
-    out = rows.join(gone, rows["_strata_row"]["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["_strata_k"] == gone["k"]), "left_anti")
+    gone = each.where("NOT kept").select("doc_id", "k")
+    same = F.col("_strata_row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_strata_k") == F.col("k"))
+    hashes = F.xxhash64(F.col("_strata_row.doc_id"), F.col("_strata_k")), F.xxhash64("doc_id", "k")
+    out = joined(rows, gone, same, "left_anti", *hashes)
     again = each.where("kept").select("doc_id", "k")
     if not again.isEmpty():  # of rows that share doc_id and text one stays
         again = sized(again)

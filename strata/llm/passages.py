@@ -13,9 +13,10 @@ windows mostly share theirs, so one row for about thirteen words is shuffled to
 find the anchors that repeat. The windows with such an anchor then travel as a
 128-bit hash with their place and are grouped and joined back as in line dedup:
 partial counts in the tasks, the repeated windows one row each, written down, and broadcast while
-they are measured to be small; else both sides are dealt for the join, so that AQE can
+they are measured to be small; else a Bloom filter keeps most others in their tasks (``bloom.joined``), and both sides are
+dealt for the join, so that AQE can
 split a hot window. Only the starts of cut windows are grouped, per document. Texts
-are reached the same way: while the documents to look at are few, no other text is shuffled.
+are reached the same way, so texts without a repeat mostly cross no shuffle.
 
 Defined cases: a null text stays null and a text of fewer words than a window is
 never changed; a very long text is handled whole; an empty table stays one; a null doc_id orders after all others; rows that agree in doc_id
@@ -33,8 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import arrays
+from strata.llm.bloom import joined
 from strata.llm.decontaminate import PAIRS, _cutter, _given
-from strata.llm.session import ENTRY_BYTES, checkpointed, same_columns, ship_code, sized
+from strata.llm.session import ENTRY_BYTES, checkpointed, same_columns, ship_code
 
 WORDS = 50
 
@@ -131,10 +133,11 @@ def repeats(documents: DataFrame, words: int = WORDS) -> DataFrame:
     kind = slim.schema["doc_id"].dataType.simpleString()
     runs = slim.mapInArrow(_runs(words), f"doc_id {kind}, k long, a long, first int, last int")
     again = runs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
-    open_ = runs.join(sized(again), "a").groupBy("doc_id", "k").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
-    open_ = sized(open_, ENTRY_BYTES * F.size("runs"))
-    same = slim["doc_id"].eqNullSafe(open_["doc_id"]) & (slim["k"] == open_["k"])
-    texts = slim.join(open_, same).select(slim["doc_id"], slim["k"], "text", "runs")
+    open_ = joined(runs, again, ["a"], "inner", F.col("a"), F.col("a")).groupBy("doc_id", "k").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    open_ = open_.select(F.col("doc_id").alias("id"), F.col("k").alias("hash"), "runs")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("k") == F.col("hash"))
+    hashes = F.xxhash64("doc_id", "k"), F.xxhash64("id", "hash")
+    texts = joined(slim, open_, same, "inner", *hashes, ENTRY_BYTES * F.size("runs")).select("doc_id", "k", "text", "runs")
     w = checkpointed(texts.mapInArrow(_windows(words), f"doc_id {kind}, k long, start int, w1 long, w2 long"))
     place = F.struct(F.isnull("doc_id").alias("n"), F.col("doc_id"), F.col("k"), F.col("start"))
     repeated = (
@@ -144,7 +147,7 @@ def repeats(documents: DataFrame, words: int = WORDS) -> DataFrame:
         .select("w1", "w2", "earliest")
     )
     return (
-        w.join(sized(repeated), ["w1", "w2"])
+        joined(w, repeated, ["w1", "w2"], "inner", F.col("w1"), F.col("w1"))
         .where(place > F.col("earliest"))
         .groupBy("doc_id", "k")
         .agg(F.collect_set("start").alias("starts"))
@@ -154,11 +157,13 @@ def repeats(documents: DataFrame, words: int = WORDS) -> DataFrame:
 
 def cut_passages(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """``documents`` without the later occurrences, all rows and columns kept; reads ``documents`` several times."""
-    found = sized(repeats(documents, words), ENTRY_BYTES * F.size("spans"))
+    found = repeats(documents, words)
     names = documents.columns
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_strata_row"), F.xxhash64("text").alias("_strata_k"))
-    same = rows["_strata_row"]["doc_id"].eqNullSafe(found["doc_id"]) & (rows["_strata_k"] == found["k"])
+    same = F.col("_strata_row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_strata_k") == F.col("k"))
+    hashes = F.xxhash64(F.col("_strata_row.doc_id"), F.col("_strata_k")), F.xxhash64("doc_id", "k")
+    both = joined(rows, found, same, "left", *hashes, ENTRY_BYTES * F.size("spans"))
     spans = F.coalesce("spans", F.expr(f"cast(array() as {PAIRS})")).alias("_strata_spans")
-    out = rows.join(found, same, "left").select(*[F.col(f"_strata_row.`{c}`").alias(c) for c in names], spans)
+    out = both.select(*[F.col(f"_strata_row.`{c}`").alias(c) for c in names], spans)
     find = lambda batch: _given(batch, names.index("text"))
     return same_columns(out, _cutter([*names, "_strata_spans"], "spans", find)).drop("_strata_spans")

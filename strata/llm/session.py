@@ -66,22 +66,28 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 #: A side of a join is broadcast up to this measured size; the session's ``spark.strata.broadcastBytes`` overrides it.
-BROADCAST_BYTES = 8 << 20
+BROADCAST_BYTES = 1 << 20
 ROW_BYTES, ENTRY_BYTES = 96, 32  # of a row of a few numbers in a hash table; of an entry of an array of pairs
 
 
+def measured(df: DataFrame, more: Column | None = None, limit: int | None = None) -> tuple[DataFrame, bool]:
+    """``df`` written down, and whether it is small enough to broadcast: a row counts as ``ROW_BYTES`` and ``more``."""
+    kept = checkpointed(df)
+    size = kept.agg(F.sum(F.lit(ROW_BYTES) + (F.lit(0) if more is None else F.coalesce(more, F.lit(0))))).first()[0] or 0
+    if limit is None:
+        limit = int(df.sparkSession.conf.get("spark.strata.broadcastBytes", str(BROADCAST_BYTES)))
+    return kept, size <= limit
+
+
 def sized(df: DataFrame, more: Column | None = None, limit: int | None = None) -> DataFrame:
     """``df`` written down, and marked for broadcast if it is measured to be small.
 
-    A row counts as ``ROW_BYTES`` and ``more``. Beyond the limit the join is Spark's to
+    Beyond the limit the join is Spark's to
     choose: it shuffles, and since the written rows are dealt anew for it, AQE can split
     a hot key of the other side (it can't where an aggregate already dealt them).
     """
-    kept = checkpointed(df)
-    size = kept.agg(F.sum(F.lit(ROW_BYTES) + (F.lit(0) if more is None else F.coalesce(more, F.lit(0))))).first()[0] or 0
-    if limit is None:
-        limit = int(df.sparkSession.conf.get("spark.strata.broadcastBytes", str(BROADCAST_BYTES)))
-    return F.broadcast(kept) if size <= limit else kept
+    kept, small = measured(df, more, limit)
+    return F.broadcast(kept) if small else kept
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
