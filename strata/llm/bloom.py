@@ -46,6 +46,7 @@ def bloom(hashes: DataFrame) -> Bloom:
 
 
 MAYBE = "_strata_maybe"
+KEY_ROWS = 500_000  # about 12 MB as a hash table of longs
 
 
 def split(left: DataFrame, h: Column, hashes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -64,13 +65,19 @@ def joined(left: DataFrame, right: DataFrame, on, how: str, left_hash: Column, r
     """``left.join(right, on, how)`` (inner, left or left_anti) for a right side that few rows of a large left side meet.
 
     The right side is written down and measured (``more``: bytes beside a row's). While it is small it is
-    broadcast. Beyond that a Bloom filter of its hashes is, and only the rows of ``left`` that it lets pass are shuffled; the
+    broadcast. Beyond that its hashes alone are, as a table of at most ``KEY_ROWS`` or as a Bloom filter, and only the rows
+    of ``left`` that pass are shuffled; the
     others go on as they are. Both sides of that join are dealt for it, so AQE can split a hot key.
     """
     kept, small = measured(right, more)
     if small:
         return left.join(F.broadcast(kept), on, how)
-    maybe, rest = split(left, left_hash, kept.select(right_hash.alias("h")))
+    hashes = kept.select(right_hash.alias("h"))
+    if hashes.count() <= KEY_ROWS:
+        keys = F.broadcast(hashes.select(F.col("h").alias(MAYBE)).distinct())
+        maybe, rest = (left.join(keys, left_hash == F.col(MAYBE), kind) for kind in ("left_semi", "left_anti"))
+    else:
+        maybe, rest = split(left, left_hash, hashes)
     out = maybe.join(kept, on, how)
     if how == "inner":
         return out

@@ -6,7 +6,7 @@ import pytest
 from conftest import rows_of, spark_conf
 from llm_fixtures import SCHEMA, prose, rows_from
 
-from strata.llm import components, decontaminate, line_dedup, passages, session
+from strata.llm import bloom, components, decontaminate, line_dedup, passages, session
 
 # Small partitions count as skewed; nothing is broadcast.
 SPLIT = {
@@ -80,10 +80,11 @@ def test_broadcasts_change_no_result(spark, monkeypatch):
     texts = hot_lines(rng, 200) + [prose(rng, 120)] * 3 + ["x " + prose(random.Random(9), 90)] * 2
     docs = spark.createDataFrame(rows_from(texts), SCHEMA).repartition(5)
     both = []
-    for limit in (-1, 1 << 30):
+    for limit, keys in ((-1, -1), (1 << 30, 0), (-1, 10**6)):  # a Bloom filter, a broadcast, a table of hashes
         monkeypatch.setattr(session, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(bloom, "KEY_ROWS", keys)
         both.append((rows_of(line_dedup.op3_line_dedup(docs)), rows_of(passages.cut_passages(docs))))
-    assert both[0] == both[1]
+    assert both[0] == both[1] == both[2]
 
 
 def test_sized_measures(spark):
