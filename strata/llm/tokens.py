@@ -3,13 +3,16 @@
 The ids are those of the ``tokenizers`` library. It is slow on running text but
 its first step cuts the text at white space and before stops, so the ids of a text are the ids
 of these pieces one after another. A special token's string in a text is that token, as in a plain call. A task therefore encodes each
-distinct piece once and looks repeated ones up in a direct-mapped table.
+distinct piece once and looks repeated ones up in a direct-mapped table. Of a vocabulary that lower-cases, a
+piece which its normaliser and pattern do no more to than lower-case goes straight to the library's BPE model.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,9 +23,33 @@ from strata.llm import arrays
 SLOTS = 20  # 2**20 table entries
 STORE_IDS = 1 << 23  # the table starts anew beyond this many ids
 
-_LETTER = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", np.uint8))
-_STOP = np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
-_GRAPHIC = (np.arange(256) >= 0x21) & (np.arange(256) <= 0x7E)
+STOPS = b".,;:!?"
+
+# What LowerCasing may take to the model alone: a word, and signs other than an apostrophe behind it, in a
+# vocabulary with exactly this way to the model. The letters (ASCII, U+00C0 to U+00FF) compose with nothing there.
+PLAIN = re.compile(r" ?([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_SPECIAL = re.compile(r"<\|\w+\|>")  # never part of a plain piece
+_WAY = {
+    "truncation": None,
+    "padding": None,
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
 
 
 def public(name: str) -> str:
@@ -72,6 +99,9 @@ class Encoder:
         self.used += len(ids)
         return at
 
+    def encode_pieces(self, words: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, one after another; where each text's ids start, and the end)."""
         if self.used > STORE_IDS:
@@ -85,8 +115,8 @@ class Encoder:
         if len(missing):
             new, first, again = np.unique(h[missing], return_index=True, return_inverse=True)
             first = missing[first]
-            words = [data[s:e].tobytes().decode() for s, e in zip(start[first].tolist(), end[first].tolist())]
-            ids = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            raw = data.tobytes()
+            ids = self.encode_pieces([raw[s:e].decode() for s, e in zip(start[first].tolist(), end[first].tolist())])
             n = np.array([len(x) for x in ids], dtype=np.int64)
             begin = self.keep(np.array([i for x in ids for i in x], dtype=np.uint32)) + np.cumsum(n) - n
             where[missing], length[missing] = begin[again], n[again]
@@ -104,12 +134,46 @@ class Encoder:
 class LowerCasing(Encoder):
     """For a vocabulary that lower-cases its texts: words that differ in the case of A-Z are one piece."""
 
+    def __init__(self, vocabulary_json: str):
+        super().__init__(vocabulary_json)
+        from tokenizers import pre_tokenizers
+
+        made = json.loads(vocabulary_json)
+        known = all(made.get(k) == v for k, v in _WAY.items()) and all(_SPECIAL.fullmatch(x["content"]) for x in made["added_tokens"])
+        self.model = self.tokenizer.model if known else None
+        # The model takes bytes as characters; those of ASCII stand for themselves.
+        way = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: way.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
+
+    def encode_pieces(self, words: list[str]) -> list[list[int]]:
+        if self.model is None:
+            return super().encode_pieces(words)
+        tokenize, letters = self.model.tokenize, self.letters
+        out: list = []
+        other = []
+        for w in words:
+            m = PLAIN.fullmatch(w)
+            if not m:
+                other.append(len(out))
+                out.append(None)
+                continue
+            word, signs = m.groups()
+            word = word.lower() if word.isascii() else word.lower().translate(letters)
+            ids = [x.id for x in tokenize(word)]
+            if signs:
+                ids += [x.id for x in tokenize(signs)]
+            out.append(ids)
+        for i, ids in zip(other, super().encode_pieces([words[i] for i in other])):
+            out[i] = ids
+        return out
+
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         # A special token's string is one only as written, so a slice with "<|" stays as it is.
         if len(data) and not ((data[:-1] == 0x3C) & (data[1:] == 0x7C)).any():
             # A letter before a combining mark stays too: W with a ring has no single character, w has one.
-            alone = np.append(data[1:], 0) < 0x80
-            data = np.where(alone, arrays.LOWER[data], data)
+            alone = np.ones(len(data), dtype=bool)
+            alone[:-1] = data[1:] < 0x80
+            data = data + ((data - np.uint8(0x41) < 26) & alone).view(np.uint8) * np.uint8(0x20)
         return super().encode(data, at)
 
 
@@ -124,7 +188,7 @@ def pieces(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     n = len(data)
     cut = np.zeros(n + 1, dtype=bool)
     if n:
-        graphic = _GRAPHIC[data]
+        graphic = data - np.uint8(0x21) < 0x5E
         latin = data == 0xC3
         before = np.zeros(n, dtype=bool)
         before[1:] = graphic[:-1]
@@ -136,7 +200,11 @@ def pieces(data: np.ndarray, at: np.ndarray) -> np.ndarray:
         line = np.flatnonzero(alone & (data == 0x0A))
         cut[line] = True
         cut[line + 1] = True
-        cut[1:n] |= _LETTER[data[:-1]] & _STOP[data[1:]]
+        letter = (data | np.uint8(0x20)) - np.uint8(0x61) < 26
+        stop = np.zeros(n, dtype=bool)
+        for b in STOPS:
+            stop |= data == b
+        cut[1:n] |= letter[:-1] & stop[1:]
     cut[at] = True
     cut[n] = False
     return np.flatnonzero(cut)

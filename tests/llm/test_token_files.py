@@ -119,6 +119,57 @@ def test_ids_of_pieces_equal_those_of_texts():
         assert got == want
 
 
+class Counting:
+    """A tokenizer that keeps what is encoded in full."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.seen = tokenizer, []
+
+    def encode_batch_fast(self, words, **how):
+        self.seen += words
+        return self.tokenizer.encode_batch_fast(words, **how)
+
+
+LETTERS = [chr(c) for c in (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100)) if chr(c).isalpha()]
+SIGNS = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'"]
+
+
+def test_plain_words_skip_the_normaliser():
+    """Only what it or the pattern would change more than by lower-casing is encoded in full."""
+    rng = random.Random(10)
+    plain = ["".join(rng.choices(LETTERS, k=rng.randrange(1, 9))) + "".join(rng.choices(SIGNS, k=rng.choice([0, 0, 1, 3]))) for _ in range(3000)]
+    plain += LETTERS + [a + b for a in LETTERS for b in "aEéÉß.<|"]
+    full = ["it's", "a1", "x-y", "1", "...", "中文", "e\u0301", "aµ", "İ", "x<|endoftext|>", "Å\u0301b"]
+    encoder = tokens.LowerCasing(tokens.vocabulary(tokens.public(token_files.VOCABULARY)))
+    encoder.tokenizer = counting = Counting(encoder.tokenizer)
+    given = plain + [" " + x for x in plain] + full
+    want = [x.ids for x in plain_tokenizer().encode_batch(given, add_special_tokens=False)]
+    assert encoder.encode_pieces(given) == want
+    assert counting.seen == full
+
+
+def test_plain_text_needs_no_full_encoding():
+    rng = random.Random(11)
+    text = " ".join("".join(rng.choices(LETTERS, k=rng.randrange(1, 9))) + rng.choice(["", "", "%", "$$"]) for _ in range(2000))
+    encoder = tokens.LowerCasing(tokens.vocabulary(tokens.public(token_files.VOCABULARY)))
+    encoder.tokenizer = counting = Counting(encoder.tokenizer)
+    ((_, ids, _),) = encoder.encode_column(pa.array([text]))
+    assert ids.tolist() == plain_tokenizer().encode(text, add_special_tokens=False).ids
+    assert counting.seen == []
+
+
+def test_another_way_to_the_model_is_encoded_in_full():
+    text = tokens.vocabulary(tokens.public(token_files.VOCABULARY))
+    for change in (("Lowercase", "Strip"), ("[^\\\\s\\\\p{L}\\\\p{N}]+", "[^\\\\s\\\\p{L}\\\\p{N}]"), ("<|startoftext|>", "start")):
+        assert change[0] in text
+        changed = text.replace(*change)
+        changed = changed.replace('"Strip"', '"Strip", "strip_left": true, "strip_right": true')
+        encoder = tokens.LowerCasing(changed)
+        given = ["Word", " start", "Größe..."]
+        assert encoder.model is None
+        assert encoder.encode_pieces(given) == [x.ids for x in encoder.tokenizer.encode_batch(given, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("settings", [{}, {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"}])
 def test_equals_plain_calls(spark, settings):
     rng = random.Random(7)
