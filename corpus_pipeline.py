@@ -15,6 +15,9 @@ last return the columns of ``documents``. Between stages the rows are written
 as Parquet into the checkpoint folder and read again, so a lost executor never
 repeats an earlier stage; what ``run`` has written there is deleted when the last stage has read it.
 
+Each stage bounds the Arrow batches of the session (``session.small_batches``), since the memory of an
+executor and its Python workers must do for all stages one after another.
+
 The result has one row per piece: doc_id, piece, start, length, ids_crc32, ids (the
 token ids as little-endian unsigned 16-bit numbers, one after another), sequence_id, offset.
 
@@ -32,7 +35,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import decontaminate, line_dedup, near_dup, packing, passages, quality
-from strata.llm.session import documents, shared_folder, table
+from strata.llm.session import documents, shared_folder, small_batches, table
 
 
 _folders: list[str] = []  # written since the last ``run`` began
@@ -52,24 +55,29 @@ def _delete(spark: SparkSession) -> None:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return quality.good_documents(docs)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return line_dedup.dedup_lines(docs).drop(line_dedup.GONE)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return near_dup.deduplicated(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     clean = decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
     # Written, since the search for passages reads its input several times.
     return passages.cut_passages(_written(spark, clean, "clean"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack(docs, with_ids=True, as_bytes=True)
 
 

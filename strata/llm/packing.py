@@ -77,6 +77,11 @@ def cut(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.
     return doc, piece, start, np.where(piece == 0, head[doc], capacity)
 
 
+def _binary(numbers: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The bytes of numbers[at[i]:at[i+1]], as views of one buffer: no object for each."""
+    return pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at * numbers.itemsize), pa.py_buffer(numbers)])
+
+
 def _local(vocabulary, capacity: int, end_id: int, kind: str | None):
     """Pieces packed per partition; with their ids as bytes if ``kind`` says of what width."""
 
@@ -96,10 +101,11 @@ def _local(vocabulary, capacity: int, end_id: int, kind: str | None):
                 docs.append(batch["doc_id"].take(pa.array(lo + doc)))
                 rows.append(np.stack([piece, start, length, np.array(crc, dtype=np.int64)]))
                 if kind:
-                    ids_out += [full[s:e].astype(kind).tobytes() for s, e in zip(first.tolist(), (first + length).tolist())]
+                    ids_out.append(_binary(full.astype(kind), np.append(first, len(full))))
         if not rows:
             return
         doc_id = pa.chunked_array(docs).combine_chunks()
+        ids_of = pa.chunked_array(ids_out, pa.large_binary())
         table = np.concatenate(rows, axis=1)
         bins, offsets, fill = best_fit(table[2], capacity)
         place = (TaskContext.get().partitionId() << 32) + bins
@@ -112,7 +118,7 @@ def _local(vocabulary, capacity: int, end_id: int, kind: str | None):
             ]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "fill"]
             if kind:
-                columns.append(pa.array(ids_out[s], pa.binary()))
+                columns.append(ids_of[s].combine_chunks().cast(pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 

@@ -39,6 +39,20 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python in Arrow batches of about ``BATCH_BYTES``, unless the session names a size itself.
+
+    Spark's own bound is 10,000 rows or 64 MB, which the executor and each of its Python workers hold
+    several times. A setting of the session, since a DataFrame is only run after it was returned.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 

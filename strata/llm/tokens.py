@@ -22,6 +22,7 @@ from strata.llm import arrays
 
 SLOTS = 20  # 2**20 table entries
 STORE_IDS = 1 << 23  # the table starts anew beyond this many ids
+ENCODED = 1 << 11  # pieces in one call of the library: what it returns holds far more than the ids
 
 STOPS = b".,;:!?"
 
@@ -87,7 +88,7 @@ class Encoder:
     def reset(self) -> None:
         self.tag = np.zeros(1 << SLOTS, dtype=np.uint64)
         self.at = np.zeros(1 << SLOTS, dtype=np.int64)
-        self.length = np.zeros(1 << SLOTS, dtype=np.int64)
+        self.length = np.zeros(1 << SLOTS, dtype=np.int32)
         self.store = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
 
@@ -100,7 +101,8 @@ class Encoder:
         return at
 
     def encode_pieces(self, words: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        parts = (words[lo : lo + ENCODED] for lo in range(0, len(words), ENCODED))
+        return [x.ids for part in parts for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
 
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, one after another; where each text's ids start, and the end)."""
@@ -127,7 +129,7 @@ class Encoder:
 
     def encode_column(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids, starts) for consecutive slices of an Arrow column."""
-        for lo, _, data, at in arrays.chunks(column):
+        for lo, _, data, at in arrays.chunks(column, arrays.CHUNK_BYTES // 2):
             yield lo, *self.encode(data, at)
 
 

@@ -44,6 +44,45 @@ def test_a_full_table_starts_anew(tokenizer, monkeypatch):
         assert [ids[s:e].tolist() for s, e in zip(at[:-1], at[1:])] == [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_new_pieces_are_encoded_a_few_at_a_time(tokenizer):
+    """What one call of the library returns holds far more than the ids."""
+    encoder = tokens.Encoder(tokens.vocabulary())
+    calls = []
+
+    class Library:
+        def encode_batch_fast(self, words, **how):
+            calls.append(len(words))
+            return tokenizer.encode_batch_fast(words, **how)
+
+    encoder.tokenizer = Library()
+    text = " ".join(f"w{chr(97 + k % 26)}{k}" for k in range(9000))
+    [(_, ids, _)] = list(encoder.encode_column(pa.array([text])))
+    assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert sum(calls) == 9000 and max(calls) <= 2048
+
+
+def test_ids_are_held_as_few_buffers(monkeypatch):
+    """Not as an object for each piece, between which freed memory can't go back."""
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 3)
+
+    class Shared:
+        value = tokens.vocabulary()
+
+    monkeypatch.setattr(packing, "TaskContext", Task)
+    texts = [f"text {k} of a few words" for k in range(5000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": texts})
+    made = packing._local(Shared, 64, 2, "<u2")(iter([batch]))
+    got = [next(made)]
+    held = made.gi_frame.f_locals["ids_out"]
+    assert len(held) == 1 and len(held[0]) == len(texts)
+    got = pa.Table.from_batches([*got, *made])
+    encoder = tokens.Encoder.of(tokens.vocabulary())
+    [(_, ids, at)] = list(encoder.encode_column(batch["text"]))
+    assert got["ids"].to_pylist() == [np.append(ids[s:e], 2).astype("<u2").tobytes() for s, e in zip(at[:-1], at[1:])]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 16), max_size=60))
 def test_best_fit_takes_the_fullest_bin_that_fits(sizes):
